@@ -25,21 +25,10 @@ def connect(folder: str):
     return con
 
 
-def _cell(v):
-    if isinstance(v, float):
-        return "0.0" if v == 0 else repr(v)
-    return str(v)
-
-
-def _rows(table: pa.Table, names: list[str]) -> list[str]:
-    cols = [[_cell(v) for v in table.column(n).to_pylist()] for n in names]
-    return sorted("\x1f".join(r) for r in zip(*cols)) if cols else []
-
-
 def compare(df, con, sql: str) -> str:
     """Empty string when equal, else what differs."""
     got = df.toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     names = sorted(got.column_names)
     if names != sorted(want.column_names):
         return f"columns: only spark {set(names) - set(want.column_names)}, only sql {set(want.column_names) - set(names)}"
@@ -53,12 +42,17 @@ def compare(df, con, sql: str) -> str:
         return "types: " + ", ".join(kinds)
     if got.num_rows != want.num_rows:
         return f"rows: spark {got.num_rows}, sql {want.num_rows}"
-    a, b = _rows(got, names), _rows(want, names)
-    if a != b:
-        sa, sb = set(a), set(b)
-        left, right = sorted(sa - sb), sorted(sb - sa)
-        show = [x[0].split("\x1f") if x else None for x in (left, right)]
-        return f"values: {len(left)} differ, {names}\n   spark {show[0]}\n   sql   {show[1]}"
+    con.register("got_rows", got)
+    con.register("want_rows", want)
+    cols = ", ".join(f'"{n}"' for n in names)
+    try:
+        extra = [con.execute(f"SELECT {cols} FROM {x} EXCEPT ALL SELECT {cols} FROM {y} ORDER BY ALL").fetchall()
+                 for x, y in (("got_rows", "want_rows"), ("want_rows", "got_rows"))]
+    finally:
+        con.unregister("got_rows")
+        con.unregister("want_rows")
+    if extra[0] or extra[1]:
+        return f"values: {len(extra[0])} differ, {names}\n   spark {extra[0][:1]}\n   sql   {extra[1][:1]}"
     return ""
 
 

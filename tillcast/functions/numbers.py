@@ -36,6 +36,15 @@ def mean_money(c) -> Column:
     return ratio(F.sum(money(c)), F.count(_col(c)))
 
 
+def exact_mean(c, over=None) -> Column:
+    """Mean of a double column whose value does not depend on the order rows are added in."""
+    col = _col(c)
+    num, den = F.sum(col.cast("decimal(24,8)")), F.count(col)
+    if over is not None:
+        num, den = num.over(over), den.over(over)
+    return ratio(num, den)
+
+
 def zero(c) -> Column:
     return F.coalesce(_col(c), F.lit(0.0))
 

@@ -2,11 +2,191 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcast.functions.dates import day_number
+from tillcast.functions.joins import points_in_ranges
+from tillcast.functions.numbers import flag, ratio, total
+
+# Factors and limits of the abnormal-quantity rule.
+REGULAR_FACTOR, PROMO_FACTOR = 175, 200
+ALWAYS_ABNORMAL_QTY = 250
+THRESHOLD_CAP = 50
+CHEQUE = 2
+BAND_DAYS = 35
+TOO_FLAGGED_PERCENT = 20000
+
 
 def on_promo_or_discount() -> Column:
     """True for rows on a promotion or with any discount; never NULL."""
     return (F.col("promo_id").isNotNull() | (F.col("coupon_disc") > 0) | (F.col("promo_disc") > 0)
             | (F.col("member_disc") > 0))
+
+
+def basket_groups(lines: DataFrame, keys: list[str], gap_days: int = 7, day: str = "sale_date") -> DataFrame:
+    """Lines with the number of the purchase group they belong to within their key.
+
+    A group is a run of sales days less than ``gap_days`` apart. The reference's own grouping
+    program is not available; only its output shape is known, so this rule is an assumption.
+    Runs are found on distinct days (a key has at most one row per day there) and joined back
+    by key and day, so a key with very many lines is never gathered in one task.
+    """
+    w = Window.partitionBy(*keys).orderBy(day)
+    opens = F.datediff(day, F.lag(day).over(w))
+    runs = (lines.select(*keys, day).distinct()
+            .withColumn("_new", F.when(opens.isNull() | (opens >= gap_days), 1).otherwise(0))
+            .withColumn("group_id", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+            .drop("_new"))
+    return lines.join(runs, [*keys, day], "left")
+
+
+def quantity_threshold(lines: DataFrame, by: str, keys: list[str]) -> DataFrame:
+    """90th percentile of the quantity per key, day and hour, rounded and capped, for each ``by``.
+
+    Equal hourly quantities are counted first, so the percentile merges small histograms and a
+    dominant item costs no more than its number of different quantities."""
+    hourly = lines.groupBy(*dict.fromkeys([by, *keys]), "sale_date", "hour").agg(F.sum("qty").alias("qty"))
+    counted = hourly.groupBy(by, "qty").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(by).agg(
+        F.least(F.round(F.percentile("qty", F.lit(0.9), F.col("n"))), F.lit(float(THRESHOLD_CAP))).alias("p90"))
+
+
+def bulk_threshold_regular(lines: DataFrame, keys: list[str]) -> DataFrame:
+    return quantity_threshold(lines.where(~on_promo_or_discount()), "item_id", keys)
+
+
+def bulk_threshold_promo(lines: DataFrame, keys: list[str]) -> DataFrame:
+    return quantity_threshold(lines.where(on_promo_or_discount()), "sub_family", keys)
+
+
+def abnormal_groups(lines: DataFrame, regular: DataFrame, promo: DataFrame, payments: DataFrame,
+                    keys: list[str]) -> DataFrame:
+    """Purchase groups per key and day with an abnormal flag.
+
+    Both thresholds are attached in one pass and picked by branch, instead of splitting the
+    groups in two and uniting them again. Abnormal: quantity above factor * log10(p90 + 1),
+    or paid by cheque, or a quantity that is always too large."""
+    groups = lines.where(F.col("qty") > 0).groupBy(*keys, "sale_date", "group_id").agg(
+        F.max("sub_family").alias("sub_family"), F.max("ticket_id").alias("ticket_id"),
+        F.max("promo_id").alias("promo_id"), total("member_disc").alias("member_disc"),
+        total("promo_disc").alias("promo_disc"), total("coupon_disc").alias("coupon_disc"),
+        F.sum("qty").alias("qty"))
+    cheques = payments.where(F.col("media_type") == CHEQUE).select("ticket_id").distinct().withColumn("_cheque", F.lit(1))
+    branch = on_promo_or_discount()
+    limit = F.when(branch, PROMO_FACTOR).otherwise(REGULAR_FACTOR) * F.log10(F.col("p90") + 1)
+    abnormal = (((F.col("qty") > limit) & F.col("group_id").isNotNull()) | F.col("_cheque").isNotNull()
+                | (F.col("qty") >= ALWAYS_ABNORMAL_QTY))
+    return (groups.join(regular.withColumnRenamed("p90", "_regular"), "item_id", "left")
+            .join(promo.withColumnRenamed("p90", "_promo"), "sub_family", "left")
+            .join(cheques, "ticket_id", "left")
+            .withColumn("p90", F.when(branch, F.col("_promo")).otherwise(F.col("_regular")))
+            .withColumn("abnormal_flag", flag(abnormal))
+            .drop("_regular", "_promo", "_cheque"))
+
+
+def item_code_fill(codes: DataFrame, days: DataFrame, key: str) -> DataFrame:
+    """Sparse daily code observations made complete for every day of the calendar.
+
+    Gaps take the last known code; days before the first observation take the first one."""
+    first, last = (days.agg(f("day")).scalar() for f in (F.min, F.max))
+    grid = codes.select(key).distinct().withColumn("day", F.explode(F.sequence(first, last)))
+    series = Window.partitionBy(key).orderBy("day")
+    so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return grid.join(codes, [key, "day"], "left").withColumn(
+        "code", F.coalesce(F.last("code", ignorenulls=True).over(so_far),
+                           F.first("code", ignorenulls=True).over(whole)))
+
+
+def shipment_scope(shipments: DataFrame, id_map: DataFrame, stores: DataFrame, order_prefix: str) -> DataFrame:
+    """Shipped quantity per item, store and day for one kind of order and the scope's stores.
+
+    The code map is reduced to one item per variant and day first, so shipments never multiply."""
+    ids = id_map.groupBy("variant_id", F.col("sale_date").alias("delivery_date")).agg(F.max("item_id").alias("item_id"))
+    return (shipments.where(F.col("order_no").startswith(order_prefix))
+            .join(stores.select("store_id").distinct(), "store_id", "left_semi")
+            .join(ids, ["variant_id", "delivery_date"])
+            .groupBy("item_id", "store_id", "delivery_date").agg(F.sum("qty").alias("delivery_qty")))
+
+
+def shipment_candidates(groups: DataFrame, shipments: DataFrame, keys: list[str]) -> DataFrame:
+    """Abnormal groups and the shipments of the same key at most ``BAND_DAYS`` days away.
+
+    The band is joined through date buckets, so a key meets only shipments near in time."""
+    bands = (groups.where(F.col("abnormal_flag") == 1)
+             .select(*keys, "sale_date", "group_id", "qty",
+                     F.date_sub("sale_date", BAND_DAYS).alias("_lo"), F.date_add("sale_date", BAND_DAYS).alias("_hi")))
+    return points_in_ranges(bands, shipments, keys, "_lo", "_hi", "delivery_date", 2 * BAND_DAYS).select(
+        *keys, "sale_date", "group_id", "qty", "delivery_date", "delivery_qty")
+
+
+def allocate(shipped: list[tuple[int, float]], sold: list[tuple[int, float]], band: int,
+             strict_block: bool = False) -> list[tuple[int, int]]:
+    """Pairs (shipment, sale) by position; both lists are (day number, quantity) sorted by day.
+
+    Each shipment is used up by the next unassigned sales in turn. A sale ``band`` or more
+    days away ends the shipment; if it is too old it is also skipped, so that it cannot hold
+    up later shipments (``strict_block`` keeps it in the way)."""
+    pairs: list[tuple[int, int]] = []
+    j = 0
+    for i, (ship_day, left) in enumerate(shipped):
+        while left > 0 and j < len(sold):
+            sale_day, qty = sold[j]
+            if abs(ship_day - sale_day) >= band:
+                if strict_block or sale_day > ship_day:
+                    break
+                j += 1
+                continue
+            pairs.append((i, j))
+            left = left - qty if left >= qty else 0
+            j += 1
+    return pairs
+
+
+def shipment_match(candidates: DataFrame, keys: list[str], strict_block: bool = False) -> DataFrame:
+    """Sales groups matched to shipments, walking both in date order per key.
+
+    The two inputs are reduced to one row per key and date before grouping: a group holds at
+    most one shipment and one sale per calendar day, however many lines are behind them."""
+    sold = candidates.groupBy(*keys, F.col("sale_date").alias("date")).agg(
+        F.max_by(F.struct("group_id", "qty"), F.struct("qty", "group_id")).alias("_s")).select(
+        *keys, "date", "_s.group_id", "_s.qty")
+    shipped = candidates.groupBy(*keys, F.col("delivery_date").alias("date")).agg(F.max("delivery_qty").alias("qty"))
+    events = (sold.unionByName(shipped, allowMissingColumns=True)
+              .withColumns({"n": day_number("date"), "is_sale": F.col("group_id").isNotNull()}))
+    out = [*keys, "sale_date", "group_id", "qty", "delivery_date", "delivery_qty"]
+    types = dict(candidates.dtypes)
+
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("n")
+        sales, ships = rows[rows["is_sale"]], rows[~rows["is_sale"]]
+        pairs = allocate(list(zip(ships["n"], ships["qty"])), list(zip(sales["n"], sales["qty"])),
+                         BAND_DAYS, strict_block)
+        left = sales.iloc[[j for _, j in pairs]].reset_index(drop=True).rename(columns={"date": "sale_date"})
+        right = ships.iloc[[i for i, _ in pairs]].reset_index(drop=True)
+        return left.assign(delivery_date=right["date"], delivery_qty=right["qty"])[out]
+
+    return events.groupBy(*keys).applyInPandas(walk, ", ".join(f"{c} {types[c]}" for c in out))
+
+
+def bulk_share(links: DataFrame, keys: list[str]) -> DataFrame:
+    """Sold against shipped quantity of the linked groups, in percent, highest first."""
+    distinct = links.select(*keys, "group_id", "qty", "delivery_date", "delivery_qty").distinct()
+    per_group = distinct.groupBy(*keys, "group_id").agg(
+        F.sum("qty").alias("qty"), F.max("delivery_qty").alias("delivery_qty"))
+    return (per_group.groupBy(*keys).agg(F.sum("qty").alias("qty"), F.sum("delivery_qty").alias("delivery_qty"))
+            .withColumn("percent_flagged", ratio("qty", "delivery_qty") * 100)
+            .orderBy(F.desc("percent_flagged"), *keys))
+
+
+def demand_without_bulk(lines: DataFrame, links: DataFrame, shares: DataFrame, keys: list[str],
+                        limit_percent: float = TOO_FLAGGED_PERCENT) -> DataFrame:
+    """Lines that are not part of a planned bulk delivery.
+
+    Lines of linked groups are planned bulk, except for keys whose linked share is beyond the
+    limit: there the links are taken as wrong and all lines stay."""
+    planned = links.select(*keys, "group_id").distinct()
+    trusted = planned.join(shares.where(F.col("percent_flagged") > limit_percent).select(*keys), keys, "left_anti")
+    return lines.join(trusted, [*keys, "group_id"], "left_anti")

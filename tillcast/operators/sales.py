@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import day_number, month_start, week_key, week_start
-from tillcast.functions.numbers import MONEY, flag, mean_money, total
+from tillcast.functions.numbers import MONEY, exact_mean, flag, mean_money, total
 
 
 def enrich_sales(lines: DataFrame, items: DataFrame, stores: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -39,8 +39,8 @@ def daily_sales(lines: DataFrame, keys: list[str], bulk_qty: float = 50) -> Data
         total("member_disc").alias("member_disc"),
         F.min("coupon_disc").cast("double").alias("coupon_min"),
         F.max("coupon_disc").cast("double").alias("coupon_max"),
-        F.round(mean_money("coupon_disc"), 6).alias("coupon_mean"),
-        F.round(F.stddev_pop(F.col("coupon_disc").cast("double")), 4).alias("coupon_std"),
+        mean_money("coupon_disc").alias("coupon_mean"),
+        F.round(F.stddev_pop(F.col("coupon_disc").cast("double")), 6).alias("coupon_std"),
         F.max(flag(F.col("qty") >= bulk_qty)).alias("any_bulk"))
 
 
@@ -109,7 +109,7 @@ def weekly_sales(daily: DataFrame, weeks: DataFrame, plan: DataFrame, keys: list
             for c in ("gross", "coupon_disc", "promo_disc", "member_disc")]
     rolled = daily.groupBy(*keys, week_start("sale_date").alias("week_start")).agg(
         F.sum("demand").alias("qty"), *sums, F.min("coupon_min").alias("coupon_min"),
-        F.max("coupon_max").alias("coupon_max"), F.round(F.avg("coupon_mean"), 4).alias("coupon_mean"),
+        F.max("coupon_max").alias("coupon_max"), exact_mean("coupon_mean").alias("coupon_mean"),
         F.size(F.collect_set("promo_id")).alias("n_current"), F.size(F.collect_set("next_promo_id")).alias("n_next"),
         F.max("promo_id").alias("promo_id"), F.max("next_promo_id").alias("next_promo_id"),
         F.max("out_of_stock").alias("any_oos"), F.max("any_bulk").alias("any_bulk"))

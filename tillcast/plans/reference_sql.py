@@ -83,7 +83,7 @@ SELECT item_id, variant_id AS barcode, sale_date AS created,
        CASE WHEN return_flag = 'R' THEN sale_date END AS ended
 FROM lines""",
     "shipments": """
-SELECT item_id, store_id, sale_date AS delivery_date, qty, ticket_id, line_status
+SELECT variant_id, store_id, sale_date AS delivery_date, qty, line_status || CAST(ticket_id AS VARCHAR) AS order_no
 FROM lines WHERE return_flag = 'R'""",
     "payments": """
 SELECT o_orderkey AS ticket_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS media_type
@@ -146,8 +146,8 @@ LEFT JOIN (SELECT sub_family, city_id, sale_date, CAST(sum(gross) AS DOUBLE) AS
                   CAST(sum(coupon_disc) AS DOUBLE) AS coupon_disc, CAST(sum(promo_disc) AS DOUBLE) AS promo_disc,
                   CAST(sum(member_disc) AS DOUBLE) AS member_disc, CAST(min(coupon_disc) AS DOUBLE) AS coupon_min,
                   CAST(max(coupon_disc) AS DOUBLE) AS coupon_max,
-                  round(CAST(sum(coupon_disc) AS DOUBLE) / count(coupon_disc), 6) AS coupon_mean,
-                  round(stddev_pop(CAST(coupon_disc AS DOUBLE)), 4) AS coupon_std,
+                  CAST(sum(coupon_disc) AS DOUBLE) / count(coupon_disc) AS coupon_mean,
+                  round(stddev_pop(CAST(coupon_disc AS DOUBLE)), 6) AS coupon_std,
                   max(CASE WHEN qty >= 50 THEN 1 ELSE 0 END) AS any_bulk
            FROM sold_lines GROUP BY ALL) x USING (sub_family, city_id, sale_date)""",
     "dense_promo": """
@@ -166,11 +166,11 @@ SELECT w.*, c.week_key, c.year, c.month_start, c.first_day, c.last_day, c.n_days
        p.promo_end, p.promo_price, p.list_price, p.slot, p.announced, q.promo_start AS next_promo_start,
        q.promo_end AS next_promo_end, q.announced AS next_announced
 FROM (SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(demand) AS qty,
-             round(sum(CAST(gross AS DECIMAL(18,4)))::DOUBLE, 4) AS gross,
+             sum(CAST(gross AS DECIMAL(18,4)))::DOUBLE AS gross,
              sum(CAST(coupon_disc AS DECIMAL(18,4)))::DOUBLE AS coupon_disc,
              sum(CAST(promo_disc AS DECIMAL(18,4)))::DOUBLE AS promo_disc,
              sum(CAST(member_disc AS DECIMAL(18,4)))::DOUBLE AS member_disc,
-             min(coupon_min) AS coupon_min, max(coupon_max) AS coupon_max, round(avg(coupon_mean), 4) AS coupon_mean,
+             min(coupon_min) AS coupon_min, max(coupon_max) AS coupon_max, CAST(sum(CAST(coupon_mean AS DECIMAL(24,8))) AS DOUBLE) / count(coupon_mean) AS coupon_mean,
              CAST(count(DISTINCT promo_id) AS INTEGER) AS n_current,
              CAST(count(DISTINCT next_promo_id) AS INTEGER) AS n_next, max(promo_id) AS promo_id,
              max(next_promo_id) AS next_promo_id, max(out_of_stock) AS any_oos, max(any_bulk) AS any_bulk
@@ -180,4 +180,60 @@ JOIN (SELECT week_start, max(week_key) AS week_key, max(year) AS year, max(month
              CAST(sum(holiday) AS INTEGER) AS holiday_days FROM calendar GROUP BY ALL) c USING (week_start)
 LEFT JOIN plan p ON p.sub_family = w.sub_family AND p.city_id = w.city_id AND p.promo_id = w.promo_id
 LEFT JOIN plan q ON q.sub_family = w.sub_family AND q.city_id = w.city_id AND q.promo_id = w.next_promo_id""",
+    # ---- bulk orders
+    "sold_promo": """
+SELECT l.*, p.promo_id FROM sold_lines l
+LEFT JOIN plan p ON p.sub_family = l.sub_family AND p.city_id = l.city_id
+                AND l.sale_date BETWEEN p.promo_start AND p.promo_end""",
+    "day_groups": """
+SELECT item_id, store_id, sale_date,
+       CAST(sum(CASE WHEN prev IS NULL OR sale_date - prev >= 7 THEN 1 ELSE 0 END)
+            OVER (PARTITION BY item_id, store_id ORDER BY sale_date) AS INTEGER) AS group_id
+FROM (SELECT *, lag(sale_date) OVER (PARTITION BY item_id, store_id ORDER BY sale_date) AS prev
+      FROM (SELECT DISTINCT item_id, store_id, sale_date FROM sold_lines) d) x""",
+    "p90_regular": """
+SELECT item_id, least(round(quantile_cont(qty, 0.9)), 50) AS p90
+FROM (SELECT item_id, store_id, sale_date, hour, sum(qty) AS qty FROM sold_promo
+      WHERE promo_id IS NULL AND coupon_disc = 0 AND promo_disc = 0 AND member_disc = 0 GROUP BY ALL) h
+GROUP BY item_id""",
+    "p90_promo": """
+SELECT sub_family, least(round(quantile_cont(qty, 0.9)), 50) AS p90
+FROM (SELECT sub_family, item_id, store_id, sale_date, hour, sum(qty) AS qty FROM sold_promo
+      WHERE promo_id IS NOT NULL OR coupon_disc > 0 OR promo_disc > 0 OR member_disc > 0 GROUP BY ALL) h
+GROUP BY sub_family""",
+    "flagged_groups": """
+WITH g AS (SELECT s.item_id, s.store_id, max(s.sub_family) AS sub_family, s.sale_date, max(s.ticket_id) AS ticket_id,
+                  d.group_id, max(s.promo_id) AS promo_id, CAST(sum(s.member_disc) AS DOUBLE) AS member_disc,
+                  CAST(sum(s.promo_disc) AS DOUBLE) AS promo_disc, CAST(sum(s.coupon_disc) AS DOUBLE) AS coupon_disc,
+                  sum(s.qty) AS qty
+           FROM sold_promo s JOIN day_groups d USING (item_id, store_id, sale_date)
+           WHERE s.qty > 0 GROUP BY s.item_id, s.store_id, s.sale_date, d.group_id),
+     b AS (SELECT g.*, r.p90, 175 AS factor FROM g LEFT JOIN p90_regular r USING (item_id)
+           WHERE promo_id IS NULL AND member_disc = 0 AND promo_disc = 0 AND coupon_disc = 0
+           UNION ALL
+           SELECT g.*, r.p90, 200 AS factor FROM g LEFT JOIN p90_promo r USING (sub_family)
+           WHERE promo_id IS NOT NULL OR member_disc > 0 OR promo_disc > 0 OR coupon_disc > 0)
+SELECT b.* EXCLUDE (factor),
+       CASE WHEN (qty > factor * log10(p90 + 1) AND group_id IS NOT NULL) OR qty >= 250
+                 OR ticket_id IN (SELECT ticket_id FROM payments WHERE media_type = 2) THEN 1 ELSE 0 END AS abnormal_flag
+FROM b""",
+    "shipment_scope_rows": """
+SELECT m.item_id, s.store_id, s.delivery_date, sum(s.qty) AS delivery_qty
+FROM shipments s
+JOIN (SELECT variant_id, sale_date, max(item_id) AS item_id FROM lines GROUP BY ALL) m
+  ON m.variant_id = s.variant_id AND m.sale_date = s.delivery_date
+WHERE s.order_no LIKE 'O%' AND s.store_id IN (SELECT store_id FROM stores WHERE balance >= 0)
+GROUP BY ALL""",
+    "candidates": """
+SELECT g.item_id, g.store_id, g.sale_date, g.group_id, g.qty, s.delivery_date, s.delivery_qty
+FROM flagged_groups g JOIN shipment_scope_rows s ON s.item_id = g.item_id AND s.store_id = g.store_id
+ AND abs(s.delivery_date - g.sale_date) <= 35
+WHERE g.abnormal_flag = 1""",
+    "bulk_shares": """
+SELECT item_id, store_id, sum(qty) AS qty, sum(delivery_qty) AS delivery_qty,
+       sum(qty) / sum(delivery_qty) * 100 AS percent_flagged
+FROM (SELECT item_id, store_id, group_id, sum(qty) AS qty, max(delivery_qty) AS delivery_qty
+      FROM (SELECT DISTINCT item_id, store_id, group_id, qty, delivery_date, delivery_qty FROM candidates) d
+      GROUP BY ALL) g
+GROUP BY item_id, store_id""",
 }

@@ -104,8 +104,8 @@ SELECT item_id, store_id, sale_date, sum(qty) AS qty, CAST(sum(gross) AS DOUBLE)
        sum(CASE WHEN qty > 0 THEN qty END) AS positive_qty, CAST(sum(coupon_disc) AS DOUBLE) AS coupon_disc,
        CAST(sum(promo_disc) AS DOUBLE) AS promo_disc, CAST(sum(member_disc) AS DOUBLE) AS member_disc,
        CAST(min(coupon_disc) AS DOUBLE) AS coupon_min, CAST(max(coupon_disc) AS DOUBLE) AS coupon_max,
-       round(CAST(sum(coupon_disc) AS DOUBLE) / count(coupon_disc), 6) AS coupon_mean,
-       round(stddev_pop(CAST(coupon_disc AS DOUBLE)), 4) AS coupon_std,
+       CAST(sum(coupon_disc) AS DOUBLE) / count(coupon_disc) AS coupon_mean,
+       round(stddev_pop(CAST(coupon_disc AS DOUBLE)), 6) AS coupon_std,
        max(CASE WHEN qty >= 50 THEN 1 ELSE 0 END) AS any_bulk
 FROM lines GROUP BY item_id, store_id, sale_date""")
 def daily_sales(src):

@@ -124,8 +124,8 @@ def business_days(src):
 
 @query("week_distance", """
 SELECT sub_family, city_id, promo_id,
-       CAST(date_diff('week', announced, promo_start) AS INTEGER) AS weeks_notice,
-       CAST(date_diff('week', promo_start, DATE '2001-12-31') AS INTEGER) AS weeks_left
+       CAST((CAST(date_trunc('week', promo_start) AS DATE) - CAST(date_trunc('week', announced) AS DATE)) / 7 AS INTEGER) AS weeks_notice,
+       CAST((DATE '2001-12-31' - CAST(date_trunc('week', promo_start) AS DATE)) / 7 AS INTEGER) AS weeks_left
 FROM promo_lines""")
 def week_distance(src):
     return src.promo_lines().select(

@@ -121,12 +121,11 @@ def item_start(src):
 
 @query("assortment", """
 WITH ids AS (SELECT DISTINCT variant_id, sale_date, item_id, family FROM lines WHERE family IN ('S', 'M', 'E'))
-SELECT a.variant_id, a.sale_date, a.store_id, a.unit_count, a.stopped, round(a.list_price, 6) AS list_price,
+SELECT a.variant_id, a.sale_date, a.store_id, a.unit_count, a.stopped, a.list_price,
        i.item_id, i.family
 FROM assortment_days a JOIN ids i ON i.variant_id = a.variant_id AND i.sale_date = a.sale_date""")
 def assortment(src):
-    return scope.assortment(src.assortment_days(), src.lines(), DEPARTMENTS).withColumn(
-        "list_price", F.round("list_price", 6))
+    return scope.assortment(src.assortment_days(), src.lines(), DEPARTMENTS)
 
 
 @query("active_flag", """

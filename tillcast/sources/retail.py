@@ -181,8 +181,8 @@ class RetailInputs:
     # ---- bulk orders ---------------------------------------------------------------
     def shipments(self) -> DataFrame:
         return (self.lines().where(F.col("return_flag") == "R")
-                .select("item_id", "store_id", F.col("sale_date").alias("delivery_date"),
-                        "qty", "ticket_id", "line_status"))
+                .select("variant_id", "store_id", F.col("sale_date").alias("delivery_date"), "qty",
+                        F.concat("line_status", F.col("ticket_id").cast("string")).alias("order_no")))
 
     def payments(self) -> DataFrame:
         """Payment media per ticket: urgent orders are paid by cheque (media type 2)."""
