@@ -16,12 +16,11 @@ HISTORY_GAP_WEEKS = 7
 UPLIFT_DAYS = 14
 
 
-def promo_agg(daily: DataFrame, plan: DataFrame, items: DataFrame, stores: DataFrame, keys: list[str],
-              plan_keys: list[str], end) -> DataFrame:
+def promo_agg(daily: DataFrame, plan: DataFrame, keys: list[str], plan_keys: list[str], end) -> DataFrame:
     """Sales per key and promotion up to ``end``, plus promotions that start after it.
 
-    Upcoming rows have NULL sales; they are the plan spread over the stores of its city and the
-    items of its sub family, restricted to known (item, store) pairs, minus what has sales."""
+    Upcoming rows have NULL sales: the plan spread over the known (item, store) pairs of its
+    sub family and city, minus what already has sales."""
     day = F.lit(end).cast("date")
     past = (daily.where(F.col("promo_id").isNotNull() & (F.col("sale_date") <= day))
             .groupBy(*keys, *plan_keys, "promo_id").agg(F.sum("qty").alias("sales")))

@@ -72,7 +72,7 @@ LEFT JOIN (SELECT sub_family, city_id, sale_date, sum(qty) AS moved FROM lines G
     "assortment_days": """
 SELECT variant_id, store_id, sale_date, sum(qty) AS unit_count,
        CASE WHEN max(disc_pct) = 0 THEN 'Y' ELSE 'N' END AS stopped,
-       CAST(sum(gross) AS DOUBLE) / sum(qty) AS list_price
+       CAST(sum(gross) AS DOUBLE) AS list_price
 FROM raw_lines GROUP BY ALL""",
     "item_codes": """
 SELECT brand, sale_date AS day, max(variant_id) AS code
@@ -236,4 +236,222 @@ FROM (SELECT item_id, store_id, group_id, sum(qty) AS qty, max(delivery_qty) AS
       FROM (SELECT DISTINCT item_id, store_id, group_id, qty, delivery_date, delivery_qty FROM candidates) d
       GROUP BY ALL) g
 GROUP BY item_id, store_id""",
+    # ---- coupons
+    "coupons": """
+SELECT DISTINCT h.activity_id, h.type_id, h.type_code, h.count_code, h.level, a.area_list, p.start, p."end",
+       i.variant_id, m.item_id
+FROM coupon_headers h
+LEFT JOIN coupon_areas a ON a.activity_id = h.activity_id
+LEFT JOIN coupon_periods p ON p.activity_id = h.activity_id
+LEFT JOIN coupon_items i ON i.activity_id = h.activity_id
+JOIN items m ON m.variant_id = i.variant_id
+WHERE h.status = 'O'
+UNION
+SELECT DISTINCT h.activity_id, h.type_id, h.type_code, h.count_code, h.level, a.area_list, p.start, p."end",
+       i.variant_id, m.item_id
+FROM coupon_headers h
+LEFT JOIN coupon_areas a ON a.activity_id = h.activity_id
+LEFT JOIN coupon_periods p ON p.activity_id = h.activity_id
+LEFT JOIN coupon_items i ON i.activity_id = h.activity_id
+JOIN items m ON m.variant_id = i.variant_id
+WHERE h.status = 'F'""",
+    "coupon_week_rows": """
+SELECT DISTINCT c.activity_id, c.item_id, c.level, c.type_id, c.type_code, c.count_code, c.area_list,
+       CAST(date_trunc('week', d.day) AS DATE) AS week_start
+FROM coupons c, LATERAL (SELECT unnest(generate_series(c.start, c."end", INTERVAL 1 DAY)) AS day) d""",
+    "coupon_links": """
+SELECT DISTINCT w.item_id, w.store_id, w.city_id, w.week_start, c.level, c.activity_id, c.type_id, c.type_code, c.count_code
+FROM weekly w
+LEFT JOIN coupon_week_rows c ON c.item_id = w.item_id AND c.week_start = w.week_start
+  AND instr(c.area_list, lpad(CAST(CASE c.level WHEN 'C' THEN w.city_id ELSE w.store_id END AS VARCHAR), 9, '0')) >= 1""",
+    "coupon_code_rows": """
+SELECT w.item_id, w.store_id, w.week_start, w.qty, w.gross, w.coupon_disc, c.* EXCLUDE (item_id, store_id, week_start)
+FROM weekly w
+LEFT JOIN (SELECT item_id, store_id, week_start, string_agg(DISTINCT type_id, ',' ORDER BY type_id) AS type_ids,
+                  string_agg(DISTINCT type_code, ',' ORDER BY type_code) AS type_codes,
+                  string_agg(DISTINCT count_code, ',' ORDER BY count_code) AS count_codes,
+                  CAST(count(DISTINCT type_id) AS INTEGER) AS n_type_id,
+                  CAST(count(DISTINCT type_code) AS INTEGER) AS n_type_code,
+                  CAST(count(DISTINCT count_code) AS INTEGER) AS n_count_code
+           FROM coupon_links WHERE activity_id IS NOT NULL GROUP BY ALL) c
+  ON c.item_id = w.item_id AND c.store_id = w.store_id AND c.week_start = w.week_start""",
+    "coupon_dummy_rows": """
+SELECT *, CAST(coalesce(instr(type_ids, '01') >= 1, false) AS INTEGER) AS type_dd,
+       CAST(coalesce(instr(type_ids, '02') >= 1, false) AS INTEGER) AS type_np,
+       CAST(coalesce(instr(type_ids, '03') >= 1, false) AS INTEGER) AS type_ac,
+       CAST(coalesce(instr(type_ids, '04') >= 1, false) AS INTEGER) AS type_cc,
+       CAST(coalesce(instr(type_codes, 'CP') >= 1, false) AS INTEGER) AS code_cp,
+       CAST(coalesce(instr(type_codes, 'MPM') >= 1, false) AS INTEGER) AS code_mpm,
+       CAST(coalesce(instr(type_codes, 'MP') >= 1, false) AS INTEGER) AS code_mp,
+       CAST(coalesce(NOT regexp_matches(type_codes, 'CP|MP'), false) AS INTEGER) AS code_other,
+       CAST(coalesce(instr(count_codes, '27') >= 1, false) AS INTEGER) AS count_27,
+       CAST(coalesce(instr(count_codes, '02|25') >= 1, false) AS INTEGER) AS count_02_25,
+       CAST(coalesce(instr(count_codes, '60') >= 1, false) AS INTEGER) AS count_60,
+       CAST(coalesce(instr(count_codes, '4') >= 1, false) AS INTEGER) AS count_4,
+       CAST(coalesce(instr(count_codes, '1') >= 1, false) AS INTEGER) AS count_1,
+       CAST(coalesce(instr(count_codes, '58') >= 1, false) AS INTEGER) AS count_58,
+       CAST(coalesce(instr(count_codes, '11') >= 1, false) AS INTEGER) AS count_11,
+       CAST(coalesce(instr(count_codes, '16|34') >= 1, false) AS INTEGER) AS count_16_34,
+       CAST(coalesce(instr(count_codes, '56') >= 1, false) AS INTEGER) AS count_56,
+       CAST(coalesce(instr(count_codes, '37') >= 1, false) AS INTEGER) AS count_37,
+       CAST(coalesce(instr(count_codes, '44') >= 1, false) AS INTEGER) AS count_44,
+       CAST(coalesce(instr(count_codes, '9') >= 1, false) AS INTEGER) AS count_9,
+       CAST(coalesce(instr(count_codes, '10') >= 1, false) AS INTEGER) AS count_10,
+       CAST(coalesce(NOT regexp_matches(count_codes, '27|02\\|25|60|4|1|58|56|37|9'), false) AS INTEGER) AS count_other
+FROM coupon_code_rows""",
+    # ---- promotion table
+    "promo_day_sales": """
+SELECT item_id, store_id, sub_family, family, brand, city_id, sale_date, sum(qty) AS qty, sum(reward) AS reward,
+       sum(CASE WHEN qty > 0 THEN qty END) AS positive_qty
+FROM lines GROUP BY ALL""",
+    "promos": """
+WITH past AS (SELECT d.item_id, d.store_id, d.sub_family, d.city_id, p.promo_id, sum(d.qty) AS sales
+              FROM promo_day_sales d JOIN plan p ON p.sub_family = d.sub_family AND p.city_id = d.city_id
+               AND d.sale_date BETWEEN p.promo_start AND p.promo_end
+              WHERE d.sale_date <= DATE '2001-06-30' GROUP BY ALL),
+     coming AS (SELECT s.item_id, s.store_id, s.sub_family, s.city_id, p.promo_id, CAST(NULL AS DOUBLE) AS sales
+                FROM plan p JOIN (SELECT DISTINCT item_id, store_id, sub_family, city_id FROM promo_day_sales) s
+                  ON s.sub_family = p.sub_family AND s.city_id = p.city_id
+                WHERE p.promo_start > DATE '2001-06-30'
+                  AND NOT EXISTS (SELECT 1 FROM past x WHERE x.item_id = s.item_id AND x.store_id = s.store_id
+                                  AND x.promo_id = p.promo_id))
+SELECT u.*, p.promo_price, p.list_price, p.promo_start, p.promo_end, p.slot,
+       round(p.promo_price / nullif(p.list_price, 0), 3) AS price_ratio,
+       CAST(date_trunc('week', p.promo_start) AS DATE) AS start_week,
+       CAST(date_trunc('week', p.promo_end) AS DATE) AS end_week,
+       CAST(date_trunc('month', p.promo_start) AS DATE) AS start_month
+FROM (SELECT * FROM past UNION ALL SELECT * FROM coming) u
+JOIN plan p ON p.sub_family = u.sub_family AND p.city_id = u.city_id AND p.promo_id = u.promo_id""",
+    "promo_map": """
+SELECT promo_id, CAST(start - INTERVAL 1 YEAR AS DATE) AS last_start, CAST(start - INTERVAL 1 YEAR AS DATE) + 20 AS last_end
+FROM promo_headers""",
+    "lunar_map": """
+SELECT week_start, lunar_week, CAST(date_trunc('week', lunar_week - 15) AS DATE) AS from_15,
+       CAST(date_trunc('week', lunar_week + 15) AS DATE) AS to_15,
+       CAST(date_trunc('week', lunar_week - 45) AS DATE) AS from_45,
+       CAST(date_trunc('week', lunar_week + 45) AS DATE) AS to_45
+FROM (SELECT week_start, max(lw) OVER (ORDER BY week_start) AS lunar_week
+      FROM (SELECT a.week_start, min(b.week_start) AS lw FROM calendar a LEFT JOIN calendar b ON b.day = a.lunar_day
+            GROUP BY ALL) m) f""",
+    "lunar_promos": """
+SELECT a.item_id, a.store_id, a.promo_id, a.sales, a.start_week, m.lunar_week,
+       sum(b.sales) FILTER (b.start_week BETWEEN m.from_15 AND m.to_15)
+         / nullif(count(b.sales) FILTER (b.start_week BETWEEN m.from_15 AND m.to_15), 0) AS lunar_mean_1m,
+       sum(b.sales) FILTER (b.start_week BETWEEN m.from_15 AND m.to_15) AS lunar_sum_1m,
+       CAST(sum(CAST(b.price_ratio AS DECIMAL(24,8))) FILTER (b.start_week BETWEEN m.from_15 AND m.to_15) AS DOUBLE)
+         / nullif(count(b.price_ratio) FILTER (b.start_week BETWEEN m.from_15 AND m.to_15), 0) AS lunar_ratio_1m,
+       sum(b.sales) / nullif(count(b.sales), 0) AS lunar_mean_3m, sum(b.sales) AS lunar_sum_3m,
+       CAST(sum(CAST(b.price_ratio AS DECIMAL(24,8))) AS DOUBLE) / nullif(count(b.price_ratio), 0) AS lunar_ratio_3m
+FROM promos a LEFT JOIN lunar_map m ON m.week_start = a.start_week
+LEFT JOIN promos b ON b.item_id = a.item_id AND b.store_id = a.store_id AND b.start_week BETWEEN m.from_45 AND m.to_45
+GROUP BY ALL""",
+    "matched": """
+SELECT d.item_id, d.store_id, d.sub_family, d.city_id, p.promo_id, sum(d.qty) AS matched_sales,
+       CAST(sum(d.reward) AS DOUBLE) AS matched_reward
+FROM (SELECT DISTINCT sub_family, city_id, promo_id FROM plan) p
+JOIN promo_map m ON m.promo_id = p.promo_id
+JOIN promo_day_sales d ON d.sub_family = p.sub_family AND d.city_id = p.city_id
+ AND d.sale_date >= m.last_start AND d.sale_date <= m.last_end
+GROUP BY ALL HAVING sum(d.reward) > 0""",
+    "uplift_rows": """
+WITH sold AS (SELECT d.store_id, d.sub_family, d.brand, d.item_id, p.promo_id, m.last_start, m.last_end, sum(d.qty) AS q
+              FROM (SELECT DISTINCT promo_id, sub_family FROM plan) p JOIN promo_map m ON m.promo_id = p.promo_id
+              JOIN promo_day_sales d ON d.sub_family = p.sub_family AND d.sale_date BETWEEN m.last_start AND m.last_end
+              GROUP BY ALL HAVING sum(d.reward) > 0)
+SELECT a.*, b.prior_sales
+FROM (SELECT store_id, sub_family, brand, promo_id, min(last_start) AS last_start, min(last_end) AS last_end,
+             sum(q) AS promo_sales FROM sold GROUP BY ALL) a
+JOIN (SELECT s.store_id, s.sub_family, s.brand, s.promo_id, sum(d.positive_qty) AS prior_sales
+      FROM sold s JOIN promo_day_sales d ON d.item_id = s.item_id AND d.store_id = s.store_id
+       AND d.sale_date BETWEEN s.last_start - 14 AND s.last_start
+      WHERE d.positive_qty > 0 GROUP BY ALL) b
+  ON b.store_id = a.store_id AND b.sub_family = a.sub_family AND b.brand = a.brand AND b.promo_id = a.promo_id""",
+    "baselines": """
+SELECT p.item_id, p.store_id, p.promo_id, p.sub_family, p.promo_start, p.sales, coalesce(sum(d.positive_qty), 0) AS baseline
+FROM promos p
+LEFT JOIN promo_day_sales d ON d.item_id = p.item_id AND d.store_id = p.store_id
+ AND d.sale_date BETWEEN p.promo_start - 56 AND p.promo_start - 28
+GROUP BY ALL""",
+    "uplifts": """
+SELECT p.item_id, p.store_id, p.promo_id, p.sales, (u.promo_sales / nullif(u.last_end - u.last_start, 0))
+         / nullif(u.prior_sales / 14, 0) AS uplift
+FROM promos p
+LEFT JOIN uplift_rows u ON u.store_id = p.store_id AND u.promo_id = p.promo_id AND u.sub_family = p.sub_family
+  AND u.brand = split_part(p.item_id, '|', 2)""",
+    # ---- splitting forecasts into days
+    "regular_day_rows": """
+SELECT d.sub_family, d.city_id, d.sale_date, d.out_of_stock, d.demand, w.week_start, d.dow
+FROM dense_promo d
+JOIN dense_weeks w ON w.sub_family = d.sub_family AND w.city_id = d.city_id
+                  AND w.week_start = date_trunc('week', d.sale_date)
+WHERE w.holiday_days = 0 AND w.n_current = 0 AND w.qty <> 0
+  AND w.week_start > (SELECT min(week_start) FROM calendar) AND w.week_start < (SELECT max(week_start) FROM calendar)""",
+    "good_day_rows": """
+SELECT r.* FROM regular_day_rows r
+JOIN (SELECT sub_family, city_id, week_start FROM regular_day_rows GROUP BY ALL HAVING count(DISTINCT dow) = 7) g
+  ON g.sub_family = r.sub_family AND g.city_id = r.city_id AND g.week_start = r.week_start""",
+    "weekday_shares": """
+SELECT a.sub_family, a.city_id, a.dow, a.day_sales, b.all_sales, a.day_sales / nullif(b.all_sales, 0) AS share
+FROM (SELECT sub_family, city_id, dow, sum(demand) AS day_sales FROM good_day_rows GROUP BY ALL) a
+JOIN (SELECT sub_family, city_id, sum(demand) AS all_sales FROM good_day_rows GROUP BY ALL) b
+  ON b.sub_family = a.sub_family AND b.city_id = a.city_id""",
+    "event_weeks": """
+SELECT * FROM (VALUES ('CNY', 199806), ('CNY', 199807), ('WM', 199809), ('WM', 199810), ('SD', 199845), ('SD', 199846))
+  v(event, week_key)""",
+    "event_impacts": """
+WITH d AS (SELECT p.sub_family, p.city_id, p.sale_date, p.demand, e.event FROM dense_promo p
+           JOIN calendar c ON c.day = p.sale_date JOIN event_weeks e ON e.week_key = c.week_key)
+SELECT a.sub_family, a.city_id, a.sale_date, a.event, a.daily_mean, b.all_mean,
+       (a.daily_mean - b.all_mean) / nullif(b.all_mean, 0) AS impact
+FROM (SELECT sub_family, city_id, sale_date, event, avg(demand) AS daily_mean FROM d GROUP BY ALL) a
+JOIN (SELECT sub_family, city_id, event, avg(demand) AS all_mean FROM d GROUP BY ALL) b
+  ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.event = a.event""",
+    "forecast_in": """
+SELECT sub_family, city_id, week_start, qty, forecast, err2, forecast + 3 * sqrt(abs(err2)) AS upper
+FROM (SELECT a.sub_family, a.city_id, a.week_start, a.qty, avg(b.qty) FILTER (a.rn - b.rn <= 4) AS forecast,
+             sum(b.qty * b.qty) FILTER (a.rn - b.rn <= 12) / (count(*) FILTER (a.rn - b.rn <= 12))
+               - (avg(b.qty) FILTER (a.rn - b.rn <= 12)) * (avg(b.qty) FILTER (a.rn - b.rn <= 12)) AS err2
+      FROM (SELECT *, row_number() OVER (PARTITION BY sub_family, city_id ORDER BY week_start) AS rn FROM dense_weeks) a
+      JOIN (SELECT *, row_number() OVER (PARTITION BY sub_family, city_id ORDER BY week_start) AS rn FROM dense_weeks) b
+        ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.rn < a.rn AND a.rn - b.rn <= 12
+      GROUP BY ALL) x""",
+    "order_rows": """
+SELECT a.sub_family, a.city_id, a.week_start, a.qty, a.forecast, a.err2, a.upper,
+       coalesce(a.upper - (b.upper - b.forecast), a.upper) AS order_qty
+FROM (SELECT *, row_number() OVER (PARTITION BY sub_family, city_id ORDER BY week_start) AS rn FROM forecast_in) a
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY sub_family, city_id ORDER BY week_start) AS rn FROM forecast_in) b
+  ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.rn = a.rn - 1""",
+    "promo_forecast_in": """
+SELECT sub_family, city_id, promo_id, promo_start, promo_end, forecast, forecast + 1.28 * sqrt(abs(err2)) AS upper
+FROM (SELECT sub_family, city_id, promo_id, promo_start, promo_end, sum(demand) AS forecast,
+             sum(demand * demand) AS err2
+      FROM dense_promo WHERE promo_id IS NOT NULL GROUP BY ALL) x""",
+    "patterns": """
+SELECT DISTINCT CAST(promo_end - promo_start AS INTEGER) AS length, CAST(dayofweek(promo_start) + 1 AS INTEGER) AS start_dow,
+       CAST(dayofweek(promo_end) + 1 AS INTEGER) AS end_dow,
+       'P' || CAST(dayofweek(promo_start) + 1 AS VARCHAR) || CAST(dayofweek(promo_end) + 1 AS VARCHAR) AS pattern
+FROM plan WHERE dayofweek(promo_start) + 1 <= 5""",
+    "promo_day_rows": """
+SELECT f.sub_family, f.city_id, f.promo_id, f.promo_start, f.promo_end, f.forecast, f.upper, f.upper AS order_qty,
+       CAST(f.promo_end - f.promo_start AS INTEGER) AS length, c.day AS sale_date, p.pattern,
+       CAST(dayofweek(c.day) + 1 AS INTEGER) AS dow, CAST(c.day - f.promo_start AS INTEGER) AS day_no
+FROM promo_forecast_in f
+JOIN calendar c ON c.day BETWEEN f.promo_start AND f.promo_end
+LEFT JOIN patterns p ON p.length = f.promo_end - f.promo_start AND p.start_dow = dayofweek(f.promo_start) + 1
+                    AND p.end_dow = dayofweek(f.promo_end) + 1""",
+    "promo_history_days": """
+SELECT d.sub_family, d.city_id, d.sale_date, d.demand, d.promo_id, d.promo_start, d.promo_end,
+       CAST(d.promo_end - d.promo_start AS INTEGER) AS length, p.pattern
+FROM dense_promo d
+LEFT JOIN patterns p ON p.length = d.promo_end - d.promo_start AND p.start_dow = dayofweek(d.promo_start) + 1
+                    AND p.end_dow = dayofweek(d.promo_end) + 1
+WHERE d.promo_id IS NOT NULL""",
+    "promo_day_shares": """
+SELECT a.sub_family, a.city_id, a.pattern, a.day_no, a.day_sales, b.all_sales,
+       CASE WHEN b.all_sales = 0 THEN 0 ELSE a.day_sales / nullif(b.all_sales, 0) END AS share
+FROM (SELECT sub_family, city_id, pattern, CAST(sale_date - promo_start AS INTEGER) AS day_no, sum(demand) AS day_sales
+      FROM promo_history_days WHERE pattern IS NOT NULL GROUP BY ALL) a
+JOIN (SELECT sub_family, city_id, pattern, sum(demand) AS all_sales
+      FROM promo_history_days WHERE pattern IS NOT NULL GROUP BY ALL) b
+  ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.pattern = a.pattern""",
 }

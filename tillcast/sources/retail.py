@@ -164,7 +164,7 @@ class RetailInputs:
         return self.raw_lines().groupBy("variant_id", "store_id", "sale_date").agg(
             F.sum("qty").alias("unit_count"),
             F.when(F.max("disc_pct") == 0, "Y").otherwise("N").alias("stopped"),
-            (F.sum("gross") / F.sum("qty")).cast("double").alias("list_price"))
+            F.sum("gross").cast("double").alias("list_price"))
 
     def item_codes(self) -> DataFrame:
         """Sparse daily brand -> code observations: days with an untaxed, undiscounted line."""
