@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder; on a cluster a missing
     setting is an error, as a machine-local folder would be lost with its executor.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if not shared:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="tillcast-")
-        sc.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        named = tempfile.mkdtemp(prefix="tillcast-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a result to the shared folder and read it back, so that later steps neither
+    compute it again nor depend on the executors that made it. Parquet keeps column pruning."""
+    path = f"{shared_folder(df.sparkSession)}/tillcast-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

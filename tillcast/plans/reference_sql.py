@@ -436,7 +436,7 @@ SELECT f.sub_family, f.city_id, f.promo_id, f.promo_start, f.promo_end, f.foreca
        CAST(f.promo_end - f.promo_start AS INTEGER) AS length, c.day AS sale_date, p.pattern,
        CAST(dayofweek(c.day) + 1 AS INTEGER) AS dow, CAST(c.day - f.promo_start AS INTEGER) AS day_no
 FROM promo_forecast_in f
-JOIN calendar c ON c.day BETWEEN f.promo_start AND f.promo_end
+JOIN LATERAL (SELECT CAST(unnest(generate_series(f.promo_start, f.promo_end, INTERVAL 1 DAY)) AS DATE) AS day) c ON true
 LEFT JOIN patterns p ON p.length = f.promo_end - f.promo_start AND p.start_dow = dayofweek(f.promo_start) + 1
                     AND p.end_dow = dayofweek(f.promo_end) + 1""",
     "promo_history_days": """
@@ -454,4 +454,22 @@ FROM (SELECT sub_family, city_id, pattern, CAST(sale_date - promo_start AS INTEG
 JOIN (SELECT sub_family, city_id, pattern, sum(demand) AS all_sales
       FROM promo_history_days WHERE pattern IS NOT NULL GROUP BY ALL) b
   ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.pattern = a.pattern""",
+    # ---- model table: weekly sales per sub family and store
+    "weekly_sf": """
+SELECT sub_family, store_id, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(qty) AS qty,
+       CAST(sum(gross) AS DOUBLE) AS gross, max(CASE WHEN qty >= 50 THEN 1 ELSE 0 END) AS bulk,
+       sum(CASE WHEN return_flag = 'R' THEN -qty ELSE qty END) AS net
+FROM lines GROUP BY ALL""",
+    "dense_sf": """
+SELECT g.sub_family, g.store_id, g.week_start, coalesce(w.qty, -1.0) AS qty, w.gross, w.bulk, w.net, w.city_id
+FROM (SELECT s.sub_family, s.store_id, x.w AS week_start
+      FROM (SELECT DISTINCT sub_family, store_id FROM weekly_sf) s
+      JOIN (SELECT sub_family, CAST(unnest(generate_series(min(week_start), max(week_start), INTERVAL 7 DAY)) AS DATE) AS w
+            FROM weekly_sf GROUP BY sub_family) x ON x.sub_family = s.sub_family) g
+LEFT JOIN weekly_sf w ON w.sub_family = g.sub_family AND w.store_id = g.store_id AND w.week_start = g.week_start""",
+    "naive_sf": """
+SELECT sub_family, store_id, week_start, qty,
+       avg(qty) OVER (PARTITION BY sub_family, store_id ORDER BY week_start ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS forecast
+FROM weekly_sf
+QUALIFY row_number() OVER (PARTITION BY sub_family, store_id ORDER BY week_start) > 1""",
 }

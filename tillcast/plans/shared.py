@@ -18,17 +18,19 @@ def dense_days(src: RetailInputs) -> DataFrame:
 
 
 def dense_demand(src: RetailInputs) -> DataFrame:
-    dense = dense_days(src)
-    return sales.daily_demand(dense, sales.oos_median(dense, DENSE), sales.daily_sales(src.sold_lines(), DENSE), DENSE)
+    per_day = sales.daily_sales(src.sold_lines(), DENSE)
+    dense = sales.full_date_sales(src.stock(), per_day, DENSE)
+    return sales.daily_demand(dense, sales.oos_median(dense, DENSE), per_day, DENSE)
 
 
 def dense_promo(src: RetailInputs) -> DataFrame:
     return promo_join.daily_promo(dense_demand(src), src.plan(), DENSE)
 
 
-def dense_weeks(src: RetailInputs) -> DataFrame:
+def dense_weeks(src: RetailInputs, daily: DataFrame | None = None) -> DataFrame:
+    """Weekly rows; pass the daily rows when the query also uses them, best materialised."""
     weeks = sales.calendar_weeks(src.calendar()).join(sales.holiday_weeks(src.calendar()), "week_start")
-    return sales.weekly_sales(dense_promo(src), weeks, src.plan(), DENSE)
+    return sales.weekly_sales(dense_promo(src) if daily is None else daily, weeks, src.plan(), DENSE)
 
 
 def weekly(src: RetailInputs) -> DataFrame:
