@@ -42,23 +42,32 @@ def basket_groups(lines: DataFrame, keys: list[str], gap_days: int = 7, day: str
     return lines.join(runs, [*keys, day], "left")
 
 
-def quantity_threshold(lines: DataFrame, by: str, keys: list[str]) -> DataFrame:
-    """90th percentile of the quantity per key, day and hour, rounded and capped, for each ``by``.
+def quantity_thresholds(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """90th percentile of the quantity per key, day and hour, rounded and capped: of regular
+    sales per item, of promotion sales per sub family. Both branches come from one pass.
 
     Equal hourly quantities are counted first, so the percentile merges small histograms and a
     dominant item costs no more than its number of different quantities."""
-    hourly = lines.groupBy(*dict.fromkeys([by, *keys]), "sale_date", "hour").agg(F.sum("qty").alias("qty"))
-    counted = hourly.groupBy(by, "qty").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy(by).agg(
+    promo = on_promo_or_discount()
+    branch, key = F.when(promo, "promo").otherwise("regular"), F.when(promo, F.col("sub_family")).otherwise(F.col("item_id"))
+    hourly = lines.groupBy(branch.alias("branch"), key.alias("key"), *keys, "sale_date", "hour").agg(F.sum("qty").alias("qty"))
+    counted = hourly.groupBy("branch", "key", "qty").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("branch", "key").agg(
         F.least(F.round(F.percentile("qty", F.lit(0.9), F.col("n"))), F.lit(float(THRESHOLD_CAP))).alias("p90"))
 
 
+def of_branch(thresholds: DataFrame, branch: str) -> DataFrame:
+    """One branch of the thresholds, under the name of its key."""
+    name = {"regular": "item_id", "promo": "sub_family"}[branch]
+    return thresholds.where(F.col("branch") == branch).select(F.col("key").alias(name), "p90")
+
+
 def bulk_threshold_regular(lines: DataFrame, keys: list[str]) -> DataFrame:
-    return quantity_threshold(lines.where(~on_promo_or_discount()), "item_id", keys)
+    return of_branch(quantity_thresholds(lines.where(~on_promo_or_discount()), keys), "regular")
 
 
 def bulk_threshold_promo(lines: DataFrame, keys: list[str]) -> DataFrame:
-    return quantity_threshold(lines.where(on_promo_or_discount()), "sub_family", keys)
+    return of_branch(quantity_thresholds(lines.where(on_promo_or_discount()), keys), "promo")
 
 
 def abnormal_groups(lines: DataFrame, regular: DataFrame, promo: DataFrame, payments: DataFrame,

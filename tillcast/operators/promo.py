@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.dates import month_start, week_number, week_start
 from tillcast.functions.joins import explode_days, points_in_ranges
-from tillcast.functions.numbers import exact_mean, ratio
+from tillcast.functions.numbers import exact_mean, ratio, total
 from tillcast.functions.windows import top_row
 
 HISTORY_ROWS = 5
@@ -133,7 +133,7 @@ def matched_last_year(daily: DataFrame, mapping: DataFrame, plan: DataFrame, key
                .select(*plan_keys, "promo_id", "last_start", "last_end"))
     hits = points_in_ranges(periods, daily, plan_keys, "last_start", "last_end", "sale_date", 31)
     return (hits.groupBy(*dict.fromkeys([*keys, *plan_keys]), "promo_id")
-            .agg(F.sum("qty").alias("matched_sales"), F.sum("reward").cast("double").alias("matched_reward"))
+            .agg(F.sum("qty").alias("matched_sales"), total("reward").alias("matched_reward"))
             .where(F.col("matched_reward") > 0))
 
 
@@ -154,7 +154,7 @@ def promo_uplift_base(daily: DataFrame, mapping: DataFrame, plan: DataFrame, gro
     inside = points_in_ranges(periods, daily, [plan_item], "last_start", "last_end", "sale_date", 31)
     sold = (inside.groupBy(*group, item, "promo_id")
             .agg(F.min("last_start").alias("last_start"), F.min("last_end").alias("last_end"),
-                 F.sum("qty").alias("_qty"), F.sum("reward").alias("_reward")).where(F.col("_reward") > 0))
+                 F.sum("qty").alias("_qty"), total("reward").alias("_reward")).where(F.col("_reward") > 0))
     during = sold.groupBy(*group, "promo_id").agg(
         F.min("last_start").alias("last_start"), F.min("last_end").alias("last_end"), F.sum("_qty").alias("promo_sales"))
     lead_in = sold.select(*group, item, "promo_id", F.date_sub("last_start", UPLIFT_DAYS).alias("_lo"), "last_start")

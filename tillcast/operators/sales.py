@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import day_number, month_start, week_key, week_start
-from tillcast.functions.numbers import MONEY, exact_mean, flag, mean_money, total
+from tillcast.functions.numbers import exact_mean, flag, mean_money, total
 
 
 def enrich_sales(lines: DataFrame, items: DataFrame, stores: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -37,10 +37,10 @@ def daily_sales(lines: DataFrame, keys: list[str], bulk_qty: float = 50) -> Data
         F.sum(F.when(F.col("qty") > 0, F.col("qty"))).alias("positive_qty"),
         total("coupon_disc").alias("coupon_disc"), total("promo_disc").alias("promo_disc"),
         total("member_disc").alias("member_disc"),
-        F.min("coupon_disc").cast("double").alias("coupon_min"),
-        F.max("coupon_disc").cast("double").alias("coupon_max"),
+        F.min("coupon_disc").alias("coupon_min"),
+        F.max("coupon_disc").alias("coupon_max"),
         mean_money("coupon_disc").alias("coupon_mean"),
-        F.round(F.stddev_pop(F.col("coupon_disc").cast("double")), 6).alias("coupon_std"),
+        F.round(F.stddev_pop("coupon_disc"), 6).alias("coupon_std"),
         F.max(flag(F.col("qty") >= bulk_qty)).alias("any_bulk"))
 
 
@@ -105,8 +105,7 @@ def promo_week_counts(daily: DataFrame, keys: list[str]) -> DataFrame:
 def weekly_sales(daily: DataFrame, weeks: DataFrame, plan: DataFrame, keys: list[str]) -> DataFrame:
     """Dense days rolled up to weeks, with holidays, promotion counts and the plan details of
     the week's current promotion. One grouping; the joined sides have one row per key."""
-    sums = [F.sum(F.col(c).cast(MONEY)).cast("double").alias(c)
-            for c in ("gross", "coupon_disc", "promo_disc", "member_disc")]
+    sums = [total(c).alias(c) for c in ("gross", "coupon_disc", "promo_disc", "member_disc")]
     rolled = daily.groupBy(*keys, week_start("sale_date").alias("week_start")).agg(
         F.sum("demand").alias("qty"), *sums, F.min("coupon_min").alias("coupon_min"),
         F.max("coupon_max").alias("coupon_max"), exact_mean("coupon_mean").alias("coupon_mean"),
@@ -141,6 +140,6 @@ def family_day_sales(lines: DataFrame, keys: list[str]) -> DataFrame:
     """Quantity and amount per family (and brand), store and day; NULL counts as 0."""
     return lines.groupBy(*keys, "sale_date").agg(
         F.sum(F.coalesce("qty", F.lit(0.0))).alias("qty"),
-        F.sum(F.coalesce(F.col("gross"), F.lit(0).cast(MONEY))).cast("double").alias("gross"))
+        F.coalesce(total("gross"), F.lit(0.0)).alias("gross"))
 
 

@@ -12,18 +12,18 @@ LINE = ["ticket_id", "hour", "item_id", "store_id", "sale_date", "qty"]
 
 
 def _grouped(src):
-    sold = promo_join.current_promo(src.sold_lines(), src.plan(), DENSE, [])
+    sold = promo_join.current_promo(src.sold_lines(), src.kept_plan(), DENSE, [])
     return bulk.basket_groups(sold, SERIES)
 
 
 def _sold_promo(src):
-    return promo_join.current_promo(src.sold_lines(), src.plan(), DENSE, [])
+    return promo_join.current_promo(src.sold_lines(), src.kept_plan(), DENSE, [])
 
 
 def _flagged(src):
-    sold = _sold_promo(src)
-    return bulk.abnormal_groups(_grouped(src), bulk.bulk_threshold_regular(sold, SERIES),
-                                bulk.bulk_threshold_promo(sold, SERIES), src.payments(), SERIES)
+    limits = src.keep("limits", lambda: bulk.quantity_thresholds(_sold_promo(src), SERIES))
+    return bulk.abnormal_groups(_grouped(src), bulk.of_branch(limits, "regular"), bulk.of_branch(limits, "promo"),
+                                src.payments(), SERIES)
 
 
 def _shipped(src):
@@ -32,7 +32,7 @@ def _shipped(src):
 
 
 def _candidates(src):
-    return bulk.shipment_candidates(_flagged(src), _shipped(src), SERIES)
+    return src.keep("candidates", lambda: bulk.shipment_candidates(_flagged(src), _shipped(src), SERIES))
 
 
 @query("basket_groups", """

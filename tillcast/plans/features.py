@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillcast.operators import features, sales
 from tillcast.plans.registry import query
-from tillcast.plans.shared import DENSE, SERIES, dense_weeks, weekly
+from tillcast.plans.shared import DENSE, SERIES, dense_weeks, weekly, weekly_kept
 
 WEEK = ["item_id", "store_id", "week_start", "qty"]
 
@@ -43,7 +43,7 @@ JOIN itm i ON i.item_id = w.item_id AND i.store_id = w.store_id AND i.week_start
 
 @query("rolling_means", ROLLING_SQL)
 def rolling_means(src):
-    out = features.rolling_means(weekly(src), SERIES, ["sub_family", "store_id"], ["family", "store_id"])
+    out = features.rolling_means(weekly_kept(src), SERIES, ["sub_family", "store_id"], ["family", "store_id"])
     return out.drop("sub_family", "family", "city_id", "gross", "coupon_disc", "promo_disc", "member_disc", "year")
 
 
@@ -64,7 +64,7 @@ JOIN b ON b.family = w.family AND b.store_id = w.store_id AND b.week_start = w.w
 JOIN c ON c.item_id = w.item_id AND c.week_start = w.week_start
 JOIN d ON d.family = w.family AND d.week_start = w.week_start""")
 def share_to_date(src):
-    return features.share_to_date(weekly(src), "item_id", "family", "store_id").select(
+    return features.share_to_date(weekly_kept(src), "item_id", "family", "store_id").select(
         *WEEK, "share_in_store", "share_national")
 
 
@@ -120,7 +120,7 @@ LEFT JOIN dense_weeks b ON b.sub_family = a.sub_family AND b.city_id = a.city_id
 LEFT JOIN dense_weeks c ON c.sub_family = a.sub_family AND c.city_id = a.city_id
                        AND c.week_start = date_trunc('week', a.next_promo_start + 7)""")
 def next_promo_week_sales(src):
-    weeks = dense_weeks(src).select(*DENSE, "week_start", "qty", "next_promo_start")
+    weeks = src.keep("weeks", lambda: dense_weeks(src).select(*DENSE, "week_start", "qty", "next_promo_start"))
     return features.next_promo_week_sales(weeks, DENSE)
 
 
@@ -196,7 +196,7 @@ SELECT *, {means} FROM r WINDOW {frames}"""
 
 @query("family_item_ratio", _per_item_sql())
 def family_item_ratio(src):
-    out = features.family_item_ratio(weekly(src), SERIES, {"family": ["family", "store_id"],
+    out = features.family_item_ratio(weekly_kept(src), SERIES, {"family": ["family", "store_id"],
                                                            "sub_family": ["sub_family", "store_id"]})
     return out.drop("sub_family", "family", "city_id", "gross", "coupon_disc", "promo_disc", "member_disc", "year")
 

@@ -29,9 +29,9 @@ ITERATIONS, DEPTH = 3, 3
 
 
 def weekly_sf(src):
-    return src.lines().groupBy(*SF, "city_id", week_start("sale_date").alias("week_start")).agg(
+    return src.keep("weekly_sf", lambda: src.lines().groupBy(*SF, "city_id", week_start("sale_date").alias("week_start")).agg(
         F.sum("qty").alias("qty"), total("gross").alias("gross"), F.max(flag(F.col("qty") >= 50)).alias("bulk"),
-        F.sum(F.when(F.col("return_flag") == "R", -F.col("qty")).otherwise(F.col("qty"))).alias("net"))
+        F.sum(F.when(F.col("return_flag") == "R", -F.col("qty")).otherwise(F.col("qty"))).alias("net")))
 
 
 def _dense(src):
@@ -48,7 +48,7 @@ def _naive(src):
 
 def _model_rows(src):
     """Training rows with flat and time features; features never look at the row's own week."""
-    rows = model_table.training_rows(_targets(src))
+    rows = src.keep("training_rows", lambda: model_table.training_rows(_targets(src)))
     territory = src.stores().select("store_id", "territory")
     bulk = model_table.bulk_ratio(weekly_sf(src), SF).select(*SF, "week_start", "bulk_ratio")
     means = {f"mean_{n}": F.avg("qty").over(trailing(SF, "week_start", n)) for n in (4, 12, 52)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillcast.functions.numbers import money
+from tillcast.functions.numbers import total
 from tillcast.operators import promo, promo_join
 from tillcast.plans.registry import query
 from tillcast.plans.shared import DENSE, SERIES
@@ -18,17 +18,27 @@ KEY = [*SERIES, "promo_id", "sales"]
 def day_sales(src):
     """Item, store and day with quantity, reward and the quantity of positive lines."""
     return src.lines().groupBy("item_id", "store_id", "sub_family", "family", "brand", "city_id", "sale_date").agg(
-        F.sum("qty").alias("qty"), F.sum(money("reward")).alias("reward"),
+        F.sum("qty").alias("qty"), total("reward").alias("reward"),
         F.sum(F.when(F.col("qty") > 0, F.col("qty"))).alias("positive_qty"))
 
 
-def promo_table(src):
-    daily = promo_join.current_promo(day_sales(src), src.plan(), DENSE, [])
-    return promo.promo_agg(daily, src.plan(), SERIES, DENSE, END)
+def day_sales_kept(src):
+    return src.keep("day_sales", lambda: day_sales(src))
+
+
+def promo_table(src, daily=None):
+    sold = day_sales(src) if daily is None else daily
+    tagged = promo_join.current_promo(sold, src.kept_plan(), DENSE, [])
+    return promo.promo_agg(tagged, src.kept_plan(), SERIES, DENSE, END)
+
+
+def promo_table_kept(src, daily=None):
+    """The promotion table for queries that join it with itself or read it several times."""
+    return src.keep("promos", lambda: promo_table(src, daily))
 
 
 def with_family(src):
-    return promo_table(src).withColumn("family", F.substring("sub_family", 1, 1))
+    return promo_table_kept(src).withColumn("family", F.substring("sub_family", 1, 1))
 
 
 def mapping(src):
@@ -37,22 +47,23 @@ def mapping(src):
     return src.promo_headers().select("promo_id", start.alias("last_start"), F.date_add(start, 20).alias("last_end"))
 
 
-def lunar(src):
-    return promo.promo_lunar(promo_table(src), promo.lunar_weeks(src.calendar()), SERIES)
+def lunar(src, daily=None):
+    return promo.promo_lunar(promo_table_kept(src, daily), promo.lunar_weeks(src.calendar()), SERIES)
 
 
-def matched(src):
-    return promo.matched_last_year(day_sales(src), mapping(src), src.plan(), SERIES, DENSE)
+def matched(src, daily=None):
+    sold = day_sales(src) if daily is None else daily
+    return promo.matched_last_year(sold, mapping(src), src.kept_plan(), SERIES, DENSE)
 
 
 def uplift_base(src):
-    daily = day_sales(src).select("item_id", *GROUP, "sale_date", "qty", "reward", "positive_qty")
-    return promo.promo_uplift_base(daily, mapping(src), src.plan(), GROUP, "item_id", "sub_family")
+    daily = day_sales_kept(src).select("item_id", *GROUP, "sale_date", "qty", "reward", "positive_qty")
+    return promo.promo_uplift_base(daily, mapping(src), src.kept_plan(), GROUP, "item_id", "sub_family")
 
 
 def with_uplift(src):
     brand = F.split_part("item_id", F.lit("|"), F.lit(2))
-    return promo.promo_uplift(promo_table(src).withColumn("brand", brand), uplift_base(src), GROUP)
+    return promo.promo_uplift(promo_table(src, day_sales_kept(src)).withColumn("brand", brand), uplift_base(src), GROUP)
 
 
 @query("promo_agg", "SELECT * FROM promos")
@@ -111,7 +122,7 @@ SELECT p.item_id, p.store_id, p.promo_id, p.sales, max(c.festival) AS festival
 FROM promos p LEFT JOIN calendar c ON c.day > p.promo_start AND c.day < p.promo_end AND c.festival IS NOT NULL
 GROUP BY ALL""")
 def promo_festival(src):
-    return promo.promo_festival(promo_table(src), src.calendar()).select(*KEY, "festival")
+    return promo.promo_festival(promo_table_kept(src), src.calendar()).select(*KEY, "festival")
 
 
 @query("lunar_weeks", "SELECT * FROM lunar_map")
@@ -137,7 +148,8 @@ SELECT l.item_id, l.store_id, l.promo_id, l.sales, m.matched_sales,
 FROM lunar_promos l
 LEFT JOIN matched m ON m.item_id = l.item_id AND m.store_id = l.store_id AND m.promo_id = l.promo_id""")
 def matched_or_lunar(src):
-    out = promo.matched_or_lunar(lunar(src), matched(src), SERIES)
+    daily = day_sales_kept(src)
+    out = promo.matched_or_lunar(lunar(src, daily), matched(src, daily), SERIES)
     return out.select(*KEY, "matched_sales", *[F.col(c).cast("double").alias(c) for c in ("last_year_1m", "last_year_3m")])
 
 
@@ -153,7 +165,7 @@ def promo_uplift(src):
 
 @query("promo_baseline", "SELECT * FROM baselines")
 def promo_baseline(src):
-    return promo.promo_baseline(promo_table(src), day_sales(src), SERIES).select(
+    return promo.promo_baseline(promo_table_kept(src, day_sales_kept(src)), day_sales_kept(src), SERIES).select(
         *KEY, "sub_family", "promo_start", "baseline")
 
 
@@ -161,5 +173,5 @@ def promo_baseline(src):
 SELECT u.item_id, u.store_id, u.promo_id, u.sales, b.baseline, u.uplift, b.baseline * u.uplift AS uplift_value
 FROM uplifts u JOIN baselines b ON b.item_id = u.item_id AND b.store_id = u.store_id AND b.promo_id = u.promo_id""")
 def uplift_value(src):
-    out = promo.uplift_value(promo.promo_baseline(with_uplift(src), day_sales(src), SERIES))
+    out = promo.uplift_value(promo.promo_baseline(src.keep("uplifts", lambda: with_uplift(src)), day_sales_kept(src), SERIES))
     return out.select(*KEY, "baseline", "uplift", "uplift_value")

@@ -13,29 +13,43 @@ DENSE = ["sub_family", "city_id"]
 SERIES = ["item_id", "store_id"]
 
 
+def sold_days(src: RetailInputs) -> DataFrame:
+    return sales.daily_sales(src.sold_lines(), DENSE)
+
+
 def dense_days(src: RetailInputs) -> DataFrame:
-    return sales.full_date_sales(src.stock(), src.sold_lines(), DENSE)
+    return sales.full_date_sales(src.stock(), sold_days(src), DENSE)
 
 
 def dense_demand(src: RetailInputs) -> DataFrame:
-    per_day = sales.daily_sales(src.sold_lines(), DENSE)
-    dense = sales.full_date_sales(src.stock(), per_day, DENSE)
-    return sales.daily_demand(dense, sales.oos_median(dense, DENSE), per_day, DENSE)
+    sold = src.keep("sold_days", lambda: sold_days(src))
+    dense = src.keep("dense_days", lambda: sales.full_date_sales(src.stock(), sold, DENSE))
+    return sales.daily_demand(dense, sales.oos_median(dense, DENSE), sold, DENSE)
 
 
 def dense_promo(src: RetailInputs) -> DataFrame:
-    return promo_join.daily_promo(dense_demand(src), src.plan(), DENSE)
+    return promo_join.daily_promo(dense_demand(src), src.kept_plan(), DENSE)
+
+
+def dense_promo_kept(src: RetailInputs) -> DataFrame:
+    """The daily rows for queries that use them several times."""
+    return src.keep("dense_promo", lambda: dense_promo(src))
 
 
 def dense_weeks(src: RetailInputs, daily: DataFrame | None = None) -> DataFrame:
-    """Weekly rows; pass the daily rows when the query also uses them, best materialised."""
+    """Weekly rows; pass the kept daily rows when the query uses those as well."""
     weeks = sales.calendar_weeks(src.calendar()).join(sales.holiday_weeks(src.calendar()), "week_start")
-    return sales.weekly_sales(dense_promo(src) if daily is None else daily, weeks, src.plan(), DENSE)
+    return sales.weekly_sales(dense_promo(src) if daily is None else daily, weeks, src.kept_plan(), DENSE)
 
 
 def weekly(src: RetailInputs) -> DataFrame:
     return sales.weekly_totals(src.lines())
 
 
+def weekly_kept(src: RetailInputs) -> DataFrame:
+    """The weekly rows for queries that use them several times."""
+    return src.keep("weekly", lambda: weekly(src))
+
+
 def holidays(src: RetailInputs) -> DataFrame:
     return src.calendar().where("holiday = 1").select(F.col("day").alias("sale_date"), "holiday")

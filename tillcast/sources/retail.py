@@ -13,11 +13,14 @@ store_id     supplier                             city_id      nation of the sup
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import day_number, month_start, week_key, week_start
-from tillcast.functions.numbers import money
+from tillcast.functions.lineage import materialise
+from tillcast.functions.numbers import money, total
 from tillcast.sources.tables import load
 
 # Public holidays (month-day), festivals (type, first and last month-day).
@@ -33,16 +36,24 @@ DRAFT_VERSION = 20
 
 def _pct(c: str) -> Column:
     """A two-decimal rate as whole hundredths, so comparisons are exact."""
-    return F.round(F.col(c) * 100).cast("int")
+    return F.rint(F.col(c) * 100).cast("int")
 
 
 class RetailInputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._kept: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return load(self.spark, self.folder, name)
 
+    def keep(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A step other steps of the same query read several times, written to storage once, so
+        that the sales lines are scanned once for it and not once per use."""
+        if name not in self._kept:
+            self._kept[name] = materialise(make())
+        return self._kept[name]
+
     # ---- masters -------------------------------------------------------------------
     def items(self) -> DataFrame:
         """One row per variant, with the article it belongs to."""
@@ -125,7 +136,12 @@ class RetailInputs:
                 .withColumn("promo_end", F.date_add("promo_start", 13))
                 .withColumn("announced", F.date_sub("promo_start", 28)))
 
+    def kept_plan(self) -> DataFrame:
+        """The plan, a small table, for queries that read it more than once."""
+        return self.keep("plan", self.plan)
+
     def plan(self) -> DataFrame:
+        """The live promotion lines."""
         return self.promo_lines().where(F.col("version") == LIVE_VERSION).drop("version")
 
     def promo_headers(self) -> DataFrame:
@@ -164,7 +180,7 @@ class RetailInputs:
         return self.raw_lines().groupBy("variant_id", "store_id", "sale_date").agg(
             F.sum("qty").alias("unit_count"),
             F.when(F.max("disc_pct") == 0, "Y").otherwise("N").alias("stopped"),
-            F.sum("gross").cast("double").alias("list_price"))
+            total("gross").alias("list_price"))
 
     def item_codes(self) -> DataFrame:
         """Sparse daily brand -> code observations: days with an untaxed, undiscounted line."""
