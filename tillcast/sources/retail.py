@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import day_number, month_start, week_key, week_start
@@ -43,6 +43,7 @@ class RetailInputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._kept: dict[str, DataFrame] = {}
+        self._span: Row | None = None
 
     def table(self, name: str) -> DataFrame:
         return load(self.spark, self.folder, name)
@@ -99,10 +100,13 @@ class RetailInputs:
 
     # ---- calendar ------------------------------------------------------------------
     def sale_days(self) -> DataFrame:
-        """Every day from the first to the last sale: the span comes from the lines."""
-        span = self.table("lineitem").agg(F.to_date(F.min("l_shipdate")).alias("lo"),
-                                          F.to_date(F.max("l_shipdate")).alias("hi"))
-        return span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
+        """Every day from the first to the last sale. The two dates are read from the lines once
+        per query; the days themselves are a constant of the plan."""
+        if self._span is None:
+            self._span = self.table("lineitem").agg(F.to_date(F.min("l_shipdate")).alias("lo"),
+                                                    F.to_date(F.max("l_shipdate")).alias("hi")).first()
+        return self.spark.range(1, numPartitions=1).select(
+            F.explode(F.sequence(F.lit(self._span.lo), F.lit(self._span.hi))).alias("day"))
 
     def calendar(self) -> DataFrame:
         md = F.date_format("day", "MM-dd")
