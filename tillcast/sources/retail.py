@@ -42,11 +42,15 @@ def _pct(c: str) -> Column:
 class RetailInputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
         self._kept: dict[str, DataFrame] = {}
         self._span: Row | None = None
 
     def table(self, name: str) -> DataFrame:
-        return load(self.spark, self.folder, name)
+        """A scan; the table's schema is looked up once per query, however often it is used."""
+        if name not in self._tables:
+            self._tables[name] = load(self.spark, self.folder, name)
+        return self._tables[name]
 
     def keep(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """A step other steps of the same query read several times, written to storage once, so
