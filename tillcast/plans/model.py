@@ -169,8 +169,9 @@ def hold_features(src):
 @query("weekly_forecast")
 def weekly_forecast(src):
     train, test = _split(src)
-    return forecast.weekly_forecast(train, test.drop(*[f"w{h}" for h in range(10)]), SF, range(10),
-                                    iterations=ITERATIONS, depth=DEPTH, step=0.3)
+    out = forecast.weekly_forecast(train, test.drop(*[f"w{h}" for h in range(10)]), SF, range(10),
+                                   iterations=ITERATIONS, depth=DEPTH, step=0.3)
+    return evaluate.order_quantity(evaluate.confidence_bound(out, 3.0), [*SF, "horizon"], "week_start")
 
 
 @query("promo_forecast")
