@@ -27,6 +27,30 @@ def test_query_equals_sql(name, spark, con):
     assert compare(QUERIES[name](spark, FOLDER), con, SQL[name]) == ""
 
 
+@pytest.mark.parametrize("name", ["current_promo", "next_promo_detail", "shipment_candidates", "promo_lunar", "coupon_link",
+                                  "regular_days", "cap_forecast", "densify_weeks", "item_code_fill"])
+def test_plans_have_no_nested_loops(name, spark):
+    from tillcast.plans import QUERIES
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_hot_key_is_spread_over_days(spark, make):
+    """One key with a third of all rows: results are whole and its rows meet the plan by day."""
+    from pyspark.sql import functions as F
+    from tillcast.operators import promo_join
+    hot = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("k"),
+        F.date_add(F.lit("2019-01-01").cast("date"), (F.col("id") % 365).cast("int")).alias("sale_date"))
+    plan = make("k string, promo_id int, promo_start date, promo_end date", [("hot", 1, "2019-03-01", "2019-03-31")])
+    out = promo_join.current_promo(hot, plan, ["k"], [])
+    assert out.count() == 30000
+    want = hot.where("k = 'hot' and sale_date between '2019-03-01' and '2019-03-31'").count()
+    assert out.where("on_promo = 1").count() == want > 0
+    nxt = promo_join.next_promo(hot, plan, ["k"])
+    assert nxt.where("k = 'hot'").count() <= 365
+
+
 def test_entry_points(spark):
     import __spark_entry__ as entry
     assert set(entry.oracle_sql()) <= set(entry.queries())

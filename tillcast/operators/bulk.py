@@ -28,8 +28,8 @@ def on_promo_or_discount() -> Column:
 def basket_groups(lines: DataFrame, keys: list[str], gap_days: int = 7, day: str = "sale_date") -> DataFrame:
     """Lines with the number of the purchase group they belong to within their key.
 
-    A group is a run of sales days less than ``gap_days`` apart. The reference's own grouping
-    program is not available; only its output shape is known, so this rule is an assumption.
+    A group is a run of sales days less than ``gap_days`` apart; this rule is an assumption, as
+    only the shape of such a grouping is given.
     Runs are found on distinct days (a key has at most one row per day there) and joined back
     by key and day, so a key with very many lines is never gathered in one task.
     """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillcast.functions.dates import week_start
 from tillcast.functions.numbers import total
 from tillcast.operators import promo, promo_join
 from tillcast.plans.registry import query
@@ -125,9 +126,14 @@ def promo_festival(src):
     return promo.promo_festival(promo_table_kept(src), src.calendar()).select(*KEY, "festival")
 
 
-@query("lunar_weeks", "SELECT * FROM lunar_map")
+@query("lunar_weeks", """
+WITH w AS (SELECT CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(qty) AS qty FROM raw_lines GROUP BY ALL)
+SELECT m.*, a.qty, b.qty AS lunar_qty
+FROM lunar_map m LEFT JOIN w a ON a.week_start = m.week_start LEFT JOIN w b ON b.week_start = m.lunar_week""")
 def lunar_weeks(src):
-    return promo.lunar_weeks(src.calendar())
+    sold = src.raw_lines().groupBy(week_start("sale_date").alias("week_start")).agg(F.sum("qty").alias("qty"))
+    then = sold.withColumnsRenamed({"week_start": "lunar_week", "qty": "lunar_qty"})
+    return promo.lunar_weeks(src.calendar()).join(sold, "week_start", "left").join(then, "lunar_week", "left")
 
 
 @query("promo_lunar", "SELECT * FROM lunar_promos")

@@ -128,11 +128,15 @@ def daily_demand(src):
 
 
 @query("calendar_weeks", """
-SELECT week_start, max(week_key) AS week_key, max(year) AS year, max(month_start) AS month_start,
-       min(day) AS first_day, max(day) AS last_day, count(*) AS n_days
-FROM calendar GROUP BY week_start""")
+SELECT c.week_start, max(c.week_key) AS week_key, max(c.year) AS year, max(c.month_start) AS month_start,
+       min(c.day) AS first_day, max(c.day) AS last_day, count(*) AS n_days, any_value(s.n_lines) AS n_lines
+FROM calendar c
+LEFT JOIN (SELECT CAST(date_trunc('week', sale_date) AS DATE) AS week_start, count(*) AS n_lines
+           FROM raw_lines GROUP BY ALL) s ON s.week_start = c.week_start
+GROUP BY c.week_start""")
 def calendar_weeks(src):
-    return sales.calendar_weeks(src.calendar())
+    sold = src.raw_lines().groupBy(week_start("sale_date").alias("week_start")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return sales.calendar_weeks(src.calendar()).join(sold, "week_start", "left")
 
 
 @query("holiday_week", """
