@@ -2,30 +2,57 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}  # a local application's own folder, by application id
+_KEPT: dict[str, list[str]] = {}  # what materialise() wrote, by application id
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``; no setting is changed.
 
-    Only a local session may fall back to a temporary folder; on a cluster a missing
-    setting is an error, as a machine-local folder would be lost with its executor.
+    Only a local session may do without: it gets one temporary folder per application, removed
+    when the program ends. On a cluster a missing setting is an error, as a machine-local folder
+    would be lost with its executor.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="tillcast-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="tillcast-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A fresh path in the shared folder, which ``release`` deletes."""
+    path = f"{shared_folder(spark)}/tillcast-{uuid.uuid4().hex}"
+    _KEPT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Write a result to the shared folder and read it back, so that later steps neither
     compute it again nor depend on the executors that made it. Parquet keeps column pruning."""
-    path = f"{shared_folder(df.sparkSession)}/tillcast-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete everything this application has kept so far; to be called when the frames
+    that read it are no longer used. Returns the number of folders."""
+    paths = _KEPT.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
