@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import bpe, piece_counts
+from tillcast.llm import bpe, chosen_path, lattice, piece_counts
 from tillcast.llm.common import documents
 
 
@@ -17,5 +17,14 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return piece_counts.token_counts(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_round_trip, op3_token_counts)}
+def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.jaccard_join(documents(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_bpe_round_trip, op3_token_counts, op7_embedding_near_dedup, op10_ngram_jaccard_join)}
 SQL: dict[str, str] = {}
