@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import bpe, chosen_path, lattice, piece_counts
+from tillcast.llm import bpe, chosen_path, lattice, piece_counts, quality
 from tillcast.llm.common import documents
+from tillcast.llm.sql import SQL  # noqa: F401
 
 
 def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,10 +22,13 @@ def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(documents(spark, folder))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.jaccard_join(documents(spark, folder))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_token_counts, op7_embedding_near_dedup, op10_ngram_jaccard_join)}
-SQL: dict[str, str] = {}
+    op2_bpe_round_trip, op3_token_counts, op7_embedding_near_dedup, op8_quality_rules, op10_ngram_jaccard_join)}
