@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import bpe, chosen_path, lattice, piece_counts, quality
+from tillcast.llm import bpe, chosen_path, lattice, pii, piece_counts, quality, secrets
 from tillcast.llm.common import documents
 from tillcast.llm.sql import SQL  # noqa: F401
 
@@ -18,6 +18,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return piece_counts.token_counts(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return secrets.scan(docs, secrets.train(docs))
+
+
 def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -26,9 +31,14 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(documents(spark, folder))
 
 
+def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.replace_pii(documents(spark, folder), count_col="n_replaced").select("doc_id", "n_replaced", "text")
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.jaccard_join(documents(spark, folder))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_token_counts, op7_embedding_near_dedup, op8_quality_rules, op10_ngram_jaccard_join)}
+    op2_bpe_round_trip, op3_token_counts, op5_secret_scan, op7_embedding_near_dedup, op8_quality_rules,
+    op9_pii_surrogates, op10_ngram_jaccard_join)}
