@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, chosen_path, lattice, pii, piece_counts, quality, secrets
+from tillcast.llm import bpe, chosen_path, kneser_ney, lattice, pii, piece_counts, quality, secrets
 from tillcast.llm.common import documents
 from tillcast.llm.sql import SQL  # noqa: F401
 
@@ -23,6 +24,13 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(docs, secrets.train(docs))
 
 
+def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    docs = documents(spark, folder)
+    scores = kneser_ney.scored(docs, kneser_ney.train(docs.filter(~held_out)))
+    return scores.withColumn("held_out", held_out)
+
+
 def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -40,5 +48,5 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_token_counts, op5_secret_scan, op7_embedding_near_dedup, op8_quality_rules,
+    op2_bpe_round_trip, op3_token_counts, op5_secret_scan, op6_lm_scores, op7_embedding_near_dedup, op8_quality_rules,
     op9_pii_surrogates, op10_ngram_jaccard_join)}
