@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, chosen_path, kneser_ney, lattice, pii, piece_counts, quality, secrets
+from tillcast.llm import bpe, chosen_path, kneser_ney, lattice, packing, pii, piece_counts, quality, secrets
 from tillcast.llm.common import documents
 from tillcast.llm.sql import SQL  # noqa: F401
 
@@ -19,6 +19,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return piece_counts.token_counts(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     return secrets.scan(docs, secrets.train(docs))
@@ -48,5 +52,5 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_token_counts, op5_secret_scan, op6_lm_scores, op7_embedding_near_dedup, op8_quality_rules,
-    op9_pii_surrogates, op10_ngram_jaccard_join)}
+    op2_bpe_round_trip, op3_token_counts, op4_curve_packing, op5_secret_scan, op6_lm_scores,
+    op7_embedding_near_dedup, op8_quality_rules, op9_pii_surrogates, op10_ngram_jaccard_join)}
