@@ -3,8 +3,9 @@
 Every text is the set of its word n-grams, embedded as a list of minima of hash functions: two sets
 agree in a coordinate with the probability of their similarity, as both then chose the same n-gram.
 A run starts with all sets and splits them by the n-gram chosen in one coordinate. A part that is
-still large is split again by the n-grams of ``SPREAD`` further coordinates, picked by the path so far;
-small parts, and what is still together after the last split, are compared set by set. Runs are
+still large is split again by the n-grams of ``SPREAD`` further coordinates, picked by the path so far.
+Small parts, parts whose members are alike on the whole, and what is still together after the last split
+are compared set by set. Runs are
 repeated until a pair at the threshold is met with the target probability."""
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ SPREAD = 2  # coordinates by which a large part is split: each set goes to so ma
 PAIRS_OF_COORDINATES = 4  # that a level chooses from
 LEAF = 64  # members of a part that is compared at once
 DEPTH = 4  # splits
+DENSE = 0.5  # mean similarity at which a large part is compared at once: splits would not part its members
 COLUMNS = 4096  # shared n-grams in a comparison's matrix at once
 NO_ID = -(1 << 63)
 
@@ -201,7 +203,11 @@ def _leaves(classes: DataFrame, runs: int) -> DataFrame:
         large = counted.filter(F.col("n") > LEAF).select("path", "node")
         base = runs + depth * SPREAD * PAIRS_OF_COORDINATES
         pick = F.pmod(F.xxhash64(F.lit(-1), "path"), F.lit(PAIRS_OF_COORDINATES)).cast("int") * SPREAD + base
-        level = (large.join(classes, "node").withColumn("c", pick)
-                 .select("node", F.explode(F.array(*[
-                     F.xxhash64("path", F.col("c") + s, F.expr(f"substring(sig, (c + {s}) * 8 + 1, 8)")) for s in range(SPREAD)])).alias("path")))
+        split = materialise(large.join(classes, "node").withColumn("c", pick).select("path", "node", F.array(*[
+            F.xxhash64("path", F.col("c") + s, F.expr(f"substring(sig, (c + {s}) * 8 + 1, 8)")) for s in range(SPREAD)]).alias("children")))
+        # How often two members agree in a coordinate: their mean similarity.
+        child = split.select("path", F.explode("children").alias("child")).groupBy("path", "child").agg(F.count("*").cast("double").alias("n"))
+        dense = child.groupBy("path").agg((F.sum(F.col("n") * F.col("n")) * SPREAD / F.pow(F.sum("n"), 2)).alias("alike")).filter(F.col("alike") >= DENSE).select("path")
+        leaves = leaves.unionByName(split.join(dense, "path", "left_semi").select(F.col("path").alias("bucket"), "node"))
+        level = split.join(dense, "path", "left_anti").select("node", F.explode("children").alias("path"))
     return materialise(leaves.distinct())

@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, chosen_path, kneser_ney, lattice, packing, pii, piece_counts, quality, secrets
+from tillcast.llm import bpe, chosen_path, kneser_ney, lattice, line_dedup, packing, pii, piece_counts, quality, secrets
 from tillcast.llm.common import documents
 from tillcast.llm.sql import SQL  # noqa: F401
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, folder))
+
+
 def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -52,5 +56,5 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_token_counts, op4_curve_packing, op5_secret_scan, op6_lm_scores,
+    op1_line_dedup, op2_bpe_round_trip, op3_token_counts, op4_curve_packing, op5_secret_scan, op6_lm_scores,
     op7_embedding_near_dedup, op8_quality_rules, op9_pii_surrogates, op10_ngram_jaccard_join)}
