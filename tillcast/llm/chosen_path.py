@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.lineage import materialise
 from tillcast.llm.buckets import bucket_links, link_counts
-from tillcast.llm.common import WordHashes, hashed_words, map_texts, mix, text_bytes
+from tillcast.llm.common import WordHashes, fresh, hashed_words, map_texts, mix, text_bytes
 from tillcast.llm.components import components
 
 SPREAD = 2  # coordinates by which a large part is split: each set goes to so many children
@@ -127,9 +127,9 @@ def keep_one(df: DataFrame, threshold: float = 0.8, words: int = 5, recall: floa
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` with all their columns, one for each group of near-duplicate texts (the one with
     the smallest id; of repeated rows one). Rows whose text has no word stay. Rules as in ``jaccard_join``."""
-    keys = ["__id", "__k1", "__k2"]
+    keys = fresh(df, "key_id", "key_1", "key_2")
     winners = _rows(df, threshold, words, recall, id_col, text_col).filter("kept and k1 is not null").select(
-        F.col("id").alias("__id"), F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
+        *[F.col(c).alias(k) for c, k in zip(("id", "k1", "k2"), keys)])
     keyed = df.withColumns(dict(zip(keys, _keys(id_col, text_col))))
     worded = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = keyed.filter(worded).join(winners, keys, "left_semi").dropDuplicates(keys)

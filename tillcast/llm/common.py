@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of text that Spark hands to Python at once. With texts of some kilobytes that is a few
@@ -35,9 +35,26 @@ def map_texts(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(work, schema)
 
 
-def text_bytes(column: str = "text"):
+def text_bytes(text_col: str = "text") -> Column:
     """The whole text as UTF-8 bytes; a null text counts as empty."""
-    return F.coalesce(F.col(column), F.lit("")).cast("binary")
+    return F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+
+
+def fresh(df: DataFrame, *stems: str) -> list[str]:
+    """Column names that ``df`` does not have, in whatever letter case."""
+    used = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in used:
+            stem += "_"
+        used.add(stem.lower())
+        out.append(stem)
+    return out
+
+
+def column(name: str) -> Column:
+    """A column by its very name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 class WordHashes(dict):

@@ -8,6 +8,7 @@ Vectors that share a cell of some table are compared by their exact cosine."""
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,8 @@ from tillcast.llm.components import components
 
 TABLES = 6
 POINTS = 2  # lattice points of a cell: 8 projected dimensions each
-SCALE = 0.25  # lattice unit on the unit sphere's projection
+#: Lattice unit, in distances that a pair at the threshold has on average in eight projected dimensions.
+UNIT = 1.9
 PROBES = 6  # neighbouring cells that a vector also enters, per table
 NO_ID = -(1 << 63)
 
@@ -64,6 +66,10 @@ def _hash(points: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
+def lattice_unit(threshold: float, dim: int) -> float:
+    return UNIT * math.sqrt(2 - 2 * threshold) * math.sqrt(8 / max(dim, 8))
+
+
 def cells(unit: np.ndarray, tables: int, points: int, scale: float, probes: int) -> np.ndarray:
     """One row per unit vector: the hashes of its own cell and of ``probes`` neighbouring cells of each table."""
     n, dim = unit.shape
@@ -102,7 +108,7 @@ def cosine_links(threshold: float):
     return verify
 
 
-def near_vectors(df: DataFrame, threshold: float = 0.93, tables: int = TABLES, points: int = POINTS, scale: float = SCALE,
+def near_vectors(df: DataFrame, threshold: float = 0.93, tables: int = TABLES, points: int = POINTS,
                  probes: int = PROBES, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per input row: ``vec_id, n_links, component_id, kept``.
 
@@ -128,7 +134,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.93, tables: int = TABLES, p
                     x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
                 good = np.flatnonzero(np.isfinite(x).all(axis=1))
                 if len(good):
-                    found = cells(x[good], tables, points, scale, probes).view(np.int64)
+                    found = cells(x[good], tables, points, lattice_unit(threshold, x.shape[1]), probes).view(np.int64)
                     for g, h in zip(good.tolist(), found):
                         data[rows[g]], hashes[rows[g]] = x[g].tobytes(), h
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary()),

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions.lineage import materialise
+from tillcast.llm.common import column, fresh
 from tillcast.llm.components import components
 
 BITS, BLOCKS, DISTANCE = 60, 5, 3
@@ -171,15 +172,15 @@ def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     per_doc = materialise(per_row.groupBy("id", "doc").agg(F.min_by(F.struct("n", "dropped"), "uid").alias("d"), F.count("*").alias("rows"))
                           .select("id", "doc", "d.n", "d.dropped", "rows").filter("size(dropped) > 0 or rows > 1"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keys = ["__line_id", "__line_doc"]
+    *keys, about = fresh(df, "key_id", "key_doc", "about")
     keyed = df.withColumns(dict(zip(keys, (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.xxhash64(text)))))
-    per_doc = per_doc.select(F.col("id").alias(keys[0]), F.col("doc").alias(keys[1]), F.struct("n", "dropped", "rows").alias("__line_d"))
+    per_doc = per_doc.select(F.col("id").alias(keys[0]), F.col("doc").alias(keys[1]), F.struct("n", "dropped", "rows").alias(about))
     joined = keyed.join(per_doc, keys, "left")
-    d = F.col("__line_d")
+    d = F.col(about)
     split = F.split(text, "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), d["dropped"])
     shorter = F.element_at(F.transform(F.array(split), lambda s: F.array_join(F.transform(stay, lambda i: F.get(s, i)), "\n")), 1)
-    columns = [F.when(d.isNull() | (F.size(d["dropped"]) == 0), F.col(c)).otherwise(shorter).alias(c) if c == text_col else F.col(c) for c in df.columns]
+    columns = [F.when(d.isNull() | (F.size(d["dropped"]) == 0), F.col(c)).otherwise(shorter).alias(c) if c == text_col else column(c) for c in df.columns]
     single = joined.filter(d.isNull() | (d["rows"] == 1) & (F.size(d["dropped"]) < d["n"])).select(*columns)
     repeated = joined.filter((d["rows"] > 1) & (F.size(d["dropped"]) < d["n"])).dropDuplicates(keys).select(*columns)
     return single.unionByName(repeated)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions.lineage import materialise
+from tillcast.llm.common import column, fresh
 
 # Given names by script and gender (detected, and put for one another), titles, syllables.
 GIVEN = {
@@ -178,7 +179,7 @@ def replace_pii(df: DataFrame, key: str = KEY, text_col: str = "text", count_col
     of the others one text of each kind is worked on, so copies and repeated rows come out alike. Null or
     repeated ids do not matter, as texts are told apart by themselves. An empty table gives an empty result."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    k1, k2 = "__pii_k1", "__pii_k2"
+    k1, k2, made = fresh(df, "key_1", "key_2", "replacements")
     hinted = text.rlike(HINT)
     some = df.filter(hinted).withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit(1), text)})
     found = materialise(some.select(F.col(k1), F.col(k2), F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)).alias("mentions"))
@@ -190,11 +191,11 @@ def replace_pii(df: DataFrame, key: str = KEY, text_col: str = "text", count_col
     written = materialise(mentions.join(drawn, ["kind", "canonical"]).select(
         "mention", _laid_out(F.col("kind"), F.col("mention"), F.col("drawn")).alias("new")))
     per_text = materialise(listed.join(written, "mention").groupBy(k1, k2).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("__pii_new")))
-    new = F.col("__pii_new")
+        F.transform(F.sort_array(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias(made)))
+    new = F.col(made)
     rebuilt = F.array_join(F.transform(F.split(F.col(text_col), MENTION, -1), lambda p, i: F.concat(p, F.coalesce(F.get(new, i), F.lit("")))), "")
     counted = [F.coalesce(F.size(new), F.lit(0)).alias(count_col)] if count_col else []
-    columns = [F.when(new.isNull(), F.col(text_col)).otherwise(rebuilt).alias(c) if c == text_col else F.col(c) for c in df.columns]
+    columns = [F.when(new.isNull(), F.col(text_col)).otherwise(rebuilt).alias(c) if c == text_col else column(c) for c in df.columns]
     changed = some.join(per_text, [k1, k2], "left").select(*columns, *counted)
     same = df.filter(~hinted).select("*", *([F.lit(0).alias(count_col)] if count_col else []))
     return same.unionByName(changed)
