@@ -1,15 +1,17 @@
 import datetime as dt
+import os
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tillcast.functions import dates
 from tillcast.functions.joins import explode_days, next_event, points_in_ranges
-from tillcast.functions.lineage import materialise, shared_folder
+from tillcast.functions.lineage import materialise, release, shared_folder
 from tillcast.functions.numbers import exact_mean, ratio, total
 from tillcast.functions.running import exact_quantile, running_total
-from tillcast.functions.texts import code_list, has_code, has_none_of
+from tillcast.functions.texts import code_list, has_code, has_none_of, padded
 
 D = dt.date
 
@@ -96,6 +98,21 @@ def test_running_total_equals_cumsum(make):
         assert whole[i] == sum(v for _, ii, xx, v in data if (xx, ii) <= (x, i))
 
 
+def test_crowded_values_are_spread(spark):
+    """All values in a narrow stretch: the ranges follow the values, not a fixed scale."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20000).select((F.col("id") * 7919 % 20000 / 20000 * 0.015).alias("x"), F.lit(1).alias("n")).repartition(4)
+        kept = running_total(df, [], "x", "n", "c")
+        assert kept.agg(F.max("c"), F.countDistinct("c")).first()[:2] == (20000, 20000)
+        assert kept.where("c != rint(x / 0.015 * 20000) + 1").count() == 0
+        sizes = [r["count"] for r in df.repartitionByRange("x").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 0.6 * sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_quantile_equals_numpy(make, spark):
     random.seed(4)
     xs = [round(random.lognormvariate(2, 1), 2) for _ in range(501)] + [3.0] * 200
@@ -105,6 +122,40 @@ def test_quantile_equals_numpy(make, spark):
         assert abs(got - np.quantile(xs, q)) < 1e-9
 
 
+def test_padding_never_cuts(make, rows):
+    out = make("n bigint", [(7,), (1000000001,), (None,)]).select(padded("n", 9).alias("p"))
+    assert rows(out, "p") == [("000000007",), ("1000000001",), (None,)]
+
+
+def test_local_folder_without_the_setting(spark, make, monkeypatch):
+    class Conf:  # a session whose settings name no folder, and which must not be changed
+        def get(self, *_):
+            return None
+
+        def set(self, *_):
+            raise AssertionError("no setting is written")
+
+    class Context:
+        applicationId, master = "test-app", "local[2]"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    folder = shared_folder(Session())
+    assert folder == shared_folder(Session()) and "tillcast-" in folder
+    Context.master = "spark://somewhere"
+    with pytest.raises(RuntimeError):
+        shared_folder(Session())
+
+
+def test_release_deletes_what_was_kept(spark, make):
+    path = materialise(make("a int", [(1,)])).inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and release(spark) >= 1 and not os.path.exists(path)
+
+
 def test_materialise_uses_the_named_folder(spark, make):
     out = materialise(make("a int", [(1,), (2,)]))
     assert out.agg(F.sum("a")).first()[0] == 3

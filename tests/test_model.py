@@ -49,8 +49,8 @@ def test_cleaning_guards_and_dummies(make, rows):
         model_table.check_features(filled, ["a", "a"])
     cats = make("c string", [("x",), ("y",), (None,)])
     assert model_table.categories(cats, "c") == ["x", "y"]
-    with pytest.raises(ValueError):
-        model_table.categories(cats, "c", limit=1)
+    hot = model_table.one_hot(cats, {"c": ["x"]}).collect()
+    assert [(r.c__x, r.c__other) for r in hot] == [(1, 0), (0, 1), (0, 1)]  # no silent zeros
     assert rows(model_table.one_hot(cats, {"c": ["x", "y"]}), "c", "c__x", "c__y") == [("x", 1, 0), ("y", 0, 1), (None, 0, 0)]
 
 
@@ -112,6 +112,9 @@ def test_analysis_filter(make):
     assert (r.n, r.out_of_stock, r.inactive, r.bulk, r.dropped_ratio) == (4, 1, 1, 1, 0.75)
 
 
+SMALL = forecast.Trees(8, 4, 0.5, columns=1.0)
+
+
 def _training(spark):
     rows = [(k, w, float(10 * k + (w % 4)), float(10 * k + ((w + 1) % 4))) for k in range(4) for w in range(40)]
     df = spark.createDataFrame(rows, "k int, w int, w0 double, w1 double").withColumn(
@@ -122,7 +125,7 @@ def _training(spark):
 def test_forecasts_beat_the_mean(spark):
     rows = _training(spark)
     train, test = rows.where("w < 36"), rows.where("w >= 36")
-    out = forecast.weekly_forecast(train, test.drop("w0", "w1"), ["k"], [0, 1], iterations=8, depth=4, step=0.5)
+    out = forecast.weekly_forecast(train, test.drop("w0", "w1"), ["k"], [0, 1], trees=SMALL, errors=SMALL)
     assert out.count() == 2 * test.count()
     joined = out.where("horizon = 0").join(test, ["k", "week_start"])
     naive = train.agg(F.avg("w0")).first()[0]
@@ -135,20 +138,20 @@ def test_forecasts_beat_the_mean(spark):
 def test_folds_and_mape(spark, make):
     rows = forecast.with_folds(_training(spark), ["k", "week_start"], 3)
     assert rows.select("k", "w", "fold").collect() == forecast.with_folds(_training(spark), ["k", "week_start"], 3).select("k", "w", "fold").collect()
-    predicted = forecast.out_of_fold(rows, "w0", 3, 2, 3, 0.5)
+    predicted = forecast.out_of_fold(rows, "w0", 3, forecast.Trees(2, 3, 0.5))
     assert predicted.count() == rows.count()
     data = predicted.select("fold", "w0", "forecast").collect()
     per_fold = {f: sum(abs(r.forecast - r.w0) for r in data if r.fold == f) / sum(r.w0 for r in data if r.fold == f) for f in range(3)}
     out = forecast.kfold_mape(predicted, "w0").collect()
     assert all(abs(r.mape - per_fold[r.fold]) < 1e-9 and abs(r.mean_mape - np.mean(list(per_fold.values()))) < 1e-9 for r in out)
-    model = forecast.regressor("w0", 2, 3, 0.5, "forecast").fit(rows)
+    model = forecast.fit(rows, "w0", forecast.Trees(2, 3, 0.5), "forecast")
     assert [r.feature for r in forecast.feature_importance(model, ["k", "phase"], top=1).collect()] == ["k"]
 
 
 def test_too_few_rows_are_reported(spark):
     rows = _training(spark).limit(2)
     with pytest.raises(ValueError, match="enough"):
-        forecast.weekly_forecast(rows, rows, ["k"], [0], iterations=1)
+        forecast.weekly_forecast(rows, rows, ["k"], [0], trees=SMALL)
 
 
 def test_missing_features_take_the_mean(make):
@@ -156,6 +159,24 @@ def test_missing_features_take_the_mean(make):
     assert [list(r.features) for r in out.collect()] == [[1.0, 2.0], [2.0, 4.0], [3.0, 3.0]]
 
 
+def test_means_come_from_the_training_rows(make):
+    df = make("a double, part string", [(1.0, "train"), (3.0, "train"), (None, "train"), (100.0, "test"), (None, "test")])
+    out = model_table.feature_array(df, {"g": ["a"]}, ["g"], F.col("part") == "train").collect()
+    assert [r.features[0] for r in out] == [1.0, 3.0, 2.0, 100.0, 2.0]
+
+
+def test_training_stops_early(spark):
+    rows = spark.range(300).select((F.col("id") % 7).cast("double").alias("x"), F.rand(3).alias("w0"))
+    from pyspark.ml.feature import VectorAssembler
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)  # nothing to learn
+    stopped = forecast.fit(rows, "w0", forecast.Trees(30, 3, 0.5, columns=1.0), "forecast")
+    full = forecast.fit(rows, "w0", forecast.Trees(30, 3, 0.5, columns=1.0, patience=False), "forecast")
+    assert stopped.getNumTrees < full.getNumTrees == 30
+    no_gain = forecast.fit(rows, "w0", forecast.Trees(2, 3, 0.5, gain=1e9, patience=False), "forecast")
+    assert no_gain.totalNumNodes == 2  # no split is worth it
+    assert forecast.regressor("w0", forecast.WEEKLY, "f").getFeatureSubsetStrategy() == "0.8"
+
+
 def test_typing(make, rows):
     text = make("full_item string, store_code string, week string, predict_sales string, predict_error string, upper string, order_prediction string", [
         ("12_3", "7", "201901", "1.5", "x", "2", "3"), ("bad", "1234", "w", "1", "1", "1", "1")])

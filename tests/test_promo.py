@@ -114,10 +114,11 @@ def test_coupons_reach_only_their_places(make, rows):
     assert rows(weeks, "activity_id", "week_start") == [(1, "2018-12-31"), (1, "2019-01-07"), (2, "2019-01-07")]
     weekly = make("item_id string, store_id int, city_id int, week_start date, gross double, coupon_disc double", [
         ("i", 21, 1, "2019-01-07", 10.0, 1.0), ("i", 5, 11, "2019-01-07", 10.0, 2.0), ("i", 1, 11, "2019-01-07", 0.0, 2.0), ("i", 9, 9, "2019-01-07", 1.0, 0.0)])
-    hits = coupon.coupon_matches(weekly, weeks)
-    assert rows(hits, "store_id", "activity_id") == [(1, 1), (1, 2), (21, 2), (5, 1)]  # 1 is not found in 11 or 21
-    assert coupon.coupon_link(weekly, hits).count() == 5
-    codes = coupon.coupon_codes(weekly, coupon.coupon_union(hits), ["item_id", "store_id"])
+    hits = coupon.coupon_union(weekly, weeks)
+    # 1 is not found in 11 or 21; the city's coupon is listed once for its two stores.
+    assert rows(hits, "level", "place_id", "activity_id") == [("C", 11, 1), ("S", 1, 2), ("S", 21, 2)]
+    assert coupon.coupon_link(weekly, weeks).count() == 3 + 4  # three cities and four stores
+    codes = coupon.coupon_codes(weekly, weeks, ["item_id", "store_id"])
     assert codes.count() == weekly.count()
     dummies = coupon.coupon_dummies(codes)
     # 11 also sets the dummy of 1; MPM also sets MP; no coupon sets nothing, not even "other".
@@ -130,6 +131,15 @@ def test_coupons_reach_only_their_places(make, rows):
     assert rows(out, "store_id", "coupon_discount") == [(1, 0.1), (21, 0.1), (5, None)]
 
 
+def test_long_ids_are_not_cut(make, rows):
+    weeks = make("activity_id int, item_id string, level string, type_id string, type_code string, count_code string, area_list string, week_start date", [
+        (1, "i", "S", "01", "CP", "1", "1000000001|1000000003", "2019-01-07")])
+    weekly = make("item_id string, store_id bigint, city_id int, week_start date", [("i", 1000000001, 1, "2019-01-07"), ("i", 1000000002, 1, "2019-01-07")])
+    assert rows(coupon.coupon_union(weekly, weeks), "place_id") == [(1000000001,)]
+    codes = coupon.coupon_codes(weekly, weeks, ["item_id", "store_id"])
+    assert rows(codes, "store_id", "type_codes", "n_type_code") == [(1000000001, "CP", 1), (1000000002, None, None)]
+
+
 def test_slot_discount(make, rows):
     lines = make("k string, sale_date date, slot int, coupon_disc double, gross double", [
         ("a", "2019-01-01", 1, 1.0, 10.0), ("b", "2019-01-01", 1, 3.0, 10.0), ("a", "2019-01-02", 2, 9.0, 10.0), ("a", "2019-01-02", 3, 1.0, 0.0)])

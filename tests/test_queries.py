@@ -54,5 +54,6 @@ def test_hot_key_is_spread_over_days(spark, make):
 def test_entry_points(spark):
     import __spark_entry__ as entry
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) == 117
+    from tillcast.plans import QUERIES
+    assert len(QUERIES) == 117 and set(QUERIES) <= set(entry.queries())
     assert entry.entry(spark).limit(1).count() == 1

@@ -71,8 +71,10 @@ def test_out_of_stock_day_takes_the_median_even_without_sale(make, rows):
     lines = make("k string, sale_date date, qty double", sold).withColumns(
         {c: F.lit(0.0) for c in ("gross", "coupon_disc", "promo_disc", "member_disc")})
     per_day = sales.daily_sales(lines, ["k"])
-    dense = sales.full_date_sales(stock, lines, ["k"])
-    assert dense.count() == 29  # empty and stopped on the last day
+    carried = make("k string, sale_date date, stopped string", [("a", start + dt.timedelta(d), "Y" if d == 29 else "N") for d in range(20, 30)])
+    dense = sales.full_date_sales(stock, carried, lines, ["k"])
+    assert dense.count() == 29  # empty and not carried on the last day
+    assert rows(dense.where("dow = 2"), "stopped")[:2] == [("N",), ("N",)] and dense.where("stopped is null").count() == 20
     med = sales.oos_median(dense, ["k"])
     # Mondays 3, 5, 7, 9 and the empty day itself (0): the median is 5.
     assert rows(med, "sale_date", "median_qty") == [("2019-02-04", 5.0)]

@@ -6,10 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The coupon count codes the features know.
+COUNT_CODES = ["27", "02|25", "60", "4", "1", "58", "11", "16|34", "56", "37", "44", "9", "10"]
+
+
 def composite_key(*cols: str) -> Column:
     return F.concat_ws("_", *cols)
 
 
+def padded(c, width: int) -> Column:
+    """A number as text with leading zeros; longer ones stay whole, where lpad alone would cut them."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def key_part(col: str, position: int) -> Column:
     """1-based part of a composite key; NULL when the key has fewer parts."""
     return F.try_element_at(F.split(F.col(col), "_"), F.lit(position))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import business_days, weekend_days
@@ -51,30 +51,34 @@ def check_features(df: DataFrame, features: list[str]) -> list[str]:
     return features
 
 
-def categories(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Distinct values of a category column; an error if there are more than ``limit``."""
-    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values, it is no category")
-    return sorted(found)
+def categories(df: DataFrame, column: str) -> list:
+    """Distinct values of a category column, found on the executors. Each becomes a column of the model, so
+    their number is that of columns, not of rows."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
 def one_hot(df: DataFrame, values: dict[str, list]) -> DataFrame:
-    """0/1 columns named <column>__<value>, for given categories."""
-    return df.withColumns({f"{c}__{v}": F.when(F.col(c) == v, 1).otherwise(0) for c, vs in values.items() for v in vs})
+    """0/1 columns named <column>__<value>, for given categories; <column>__other marks every value that is
+    none of them, NULL included, so that a row without a category never looks like one with."""
+    known = {f"{c}__{v}": F.when(F.col(c) == v, 1).otherwise(0) for c, vs in values.items() for v in vs}
+    other = {f"{c}__other": F.when(F.col(c).isin(list(vs)), 0).otherwise(1) for c, vs in values.items()}
+    return df.withColumns(known | other)
 
 
-def feature_vector(df: DataFrame, groups: dict[str, list[str]], use: list[str], out: str = "features") -> DataFrame:
-    """The features of the chosen groups as one vector; missing numbers take the mean."""
+def feature_vector(df: DataFrame, groups: dict[str, list[str]], use: list[str], out: str = "features",
+                   fit_on: Column | None = None) -> DataFrame:
+    """The features of the chosen groups as one vector; missing numbers take the mean of the rows that
+    ``fit_on`` picks (the training rows), of all rows without it."""
     names = check_features(df, [c for g in use for c in groups[g]])
     typed = df.withColumns({c: F.col(c).cast("double") for c in names})
-    filled = Imputer(inputCols=names, outputCols=[f"_{c}" for c in names]).fit(typed).transform(typed)
+    known = typed if fit_on is None else typed.where(fit_on)
+    filled = Imputer(inputCols=names, outputCols=[f"_{c}" for c in names]).fit(known).transform(typed)
     assembled = VectorAssembler(inputCols=[f"_{c}" for c in names], outputCol=out, handleInvalid="keep").transform(filled)
     return assembled.drop(*[f"_{c}" for c in names])
 
 
-def feature_array(df: DataFrame, groups: dict[str, list[str]], use: list[str]) -> DataFrame:
-    return feature_vector(df, groups, use).withColumn("features", vector_to_array("features"))
+def feature_array(df: DataFrame, groups: dict[str, list[str]], use: list[str], fit_on: Column | None = None) -> DataFrame:
+    return feature_vector(df, groups, use, fit_on=fit_on).withColumn("features", vector_to_array("features"))
 
 
 def densify_weeks(weekly: DataFrame, item: str, store: str) -> DataFrame:

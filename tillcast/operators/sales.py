@@ -44,9 +44,14 @@ def daily_sales(lines: DataFrame, keys: list[str], bulk_qty: float = 50) -> Data
         F.max(flag(F.col("qty") >= bulk_qty)).alias("any_bulk"))
 
 
-def full_date_sales(stock: DataFrame, sold: DataFrame, keys: list[str]) -> DataFrame:
-    """Dense daily sales: stock days that hold stock or are not stopped, quantity 0 if unsold."""
-    kept = stock.where((F.col("balance") > 0) | (F.col("stopped") == "N"))
+def full_date_sales(stock: DataFrame, assortment: DataFrame, sold: DataFrame, keys: list[str]) -> DataFrame:
+    """Dense daily sales: stock days that hold stock, or on which the assortment carries the item
+    (``stopped`` N); quantity 0 if unsold. ``stopped`` is NULL on days without such an entry.
+
+    ``sold`` has one row per key and day."""
+    carried = assortment.where(F.col("stopped") == "N").select(*keys, "sale_date", "stopped").distinct()
+    kept = (stock.drop("stopped").join(carried, [*keys, "sale_date"], "left")
+            .where((F.col("balance") > 0) | (F.col("stopped") == "N")))
     per_day = sold.groupBy(*keys, "sale_date").agg(F.sum("qty").alias("qty"))
     return kept.join(per_day, [*keys, "sale_date"], "left").select(
         *keys, "sale_date", F.dayofweek("sale_date").alias("dow"), "stopped",
@@ -59,7 +64,7 @@ def oos_median(dense: DataFrame, keys: list[str], days: int = 90) -> DataFrame:
 
     A range frame per (key, weekday) holds at most 13 rows for 90 days; no self join."""
     back = (Window.partitionBy(*keys, "dow").orderBy("_day").rangeBetween(-days, Window.currentRow))
-    usable = dense.where((F.col("out_of_stock") == 0) | (F.col("stopped") == "N"))
+    usable = dense.where((F.col("out_of_stock") == 0) | (F.col("stopped") == "N"))  # for frames not made by full_date_sales
     return (usable.withColumn("_day", day_number("sale_date"))
             .withColumn("median_qty", F.percentile("qty", F.lit(0.5)).over(back))
             .where(F.col("out_of_stock") == 1)

@@ -2,39 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from tillcast.operators import bulk, promo_join
+from tillcast.operators import bulk
 from tillcast.plans.registry import query
-from tillcast.plans.shared import DENSE, SERIES
+from tillcast.plans.shared import SERIES, candidates, clean_lines, flagged_groups, shipment_links, shipped, sold_promo
 
 LINE = ["ticket_id", "hour", "item_id", "store_id", "sale_date", "qty"]
 
 
-def _grouped(src):
-    sold = promo_join.current_promo(src.sold_lines(), src.kept_plan(), DENSE, [])
-    return bulk.basket_groups(sold, SERIES)
-
-
-def _sold_promo(src):
-    return promo_join.current_promo(src.sold_lines(), src.kept_plan(), DENSE, [])
-
-
-def _flagged(src):
-    limits = src.keep("limits", lambda: bulk.quantity_thresholds(_sold_promo(src), SERIES))
-    return bulk.abnormal_groups(_grouped(src), bulk.of_branch(limits, "regular"), bulk.of_branch(limits, "promo"),
-                                src.payments(), SERIES)
-
-
-def _shipped(src):
-    large = src.stores().where(F.col("balance") >= 0)
-    return bulk.shipment_scope(src.shipments(), src.lines(), large, "O")
-
-
-def _candidates(src):
-    return src.keep("candidates", lambda: bulk.shipment_candidates(_flagged(src), _shipped(src), SERIES))
-
-
 @query("basket_groups", """
 SELECT l.ticket_id, l.hour, l.item_id, l.store_id, l.sale_date, l.qty, d.group_id
 FROM sold_lines l JOIN day_groups d USING (item_id, store_id, sale_date)""")
@@ -44,17 +18,17 @@ def basket_groups(src):
 
 @query("bulk_threshold_regular", "SELECT * FROM p90_regular")
 def bulk_threshold_regular(src):
-    return bulk.bulk_threshold_regular(_sold_promo(src), SERIES)
+    return bulk.bulk_threshold_regular(sold_promo(src), SERIES)
 
 
 @query("bulk_threshold_promo", "SELECT * FROM p90_promo")
 def bulk_threshold_promo(src):
-    return bulk.bulk_threshold_promo(_sold_promo(src), SERIES)
+    return bulk.bulk_threshold_promo(sold_promo(src), SERIES)
 
 
 @query("abnormal_groups", "SELECT * FROM flagged_groups")
 def abnormal_groups(src):
-    return _flagged(src)
+    return flagged_groups(src)
 
 
 @query("item_code_fill", """
@@ -68,32 +42,24 @@ def item_code_fill(src):
 
 @query("shipment_scope", "SELECT * FROM shipment_scope_rows")
 def shipment_scope(src):
-    return _shipped(src)
+    return shipped(src)
 
 
 @query("shipment_candidates", "SELECT * FROM candidates")
 def shipment_candidates(src):
-    return _candidates(src)
+    return candidates(src)
 
 
-@query("shipment_match")
+@query("shipment_match", "SELECT * FROM shipment_links")
 def shipment_match(src):
-    return bulk.shipment_match(_candidates(src), SERIES)
+    return shipment_links(src)
 
 
 @query("bulk_share", "SELECT * FROM bulk_shares ORDER BY percent_flagged DESC")
 def bulk_share(src):
-    return bulk.bulk_share(_candidates(src), SERIES)
+    return bulk.bulk_share(shipment_links(src), SERIES)
 
 
-@query("demand_without_bulk", """
-SELECT l.ticket_id, l.hour, l.item_id, l.store_id, l.sale_date, l.qty, d.group_id
-FROM sold_lines l JOIN day_groups d USING (item_id, store_id, sale_date)
-WHERE NOT EXISTS (SELECT 1 FROM candidates c
-                  WHERE c.item_id = l.item_id AND c.store_id = l.store_id AND c.group_id = d.group_id
-                    AND NOT EXISTS (SELECT 1 FROM bulk_shares s WHERE s.item_id = c.item_id
-                                    AND s.store_id = c.store_id AND s.percent_flagged > 150))""")
+@query("demand_without_bulk", "SELECT ticket_id, hour, item_id, store_id, sale_date, qty, group_id FROM clean_lines")
 def demand_without_bulk(src):
-    links = _candidates(src)
-    grouped = bulk.basket_groups(src.sold_lines(), SERIES).select(*LINE, "group_id")
-    return bulk.demand_without_bulk(grouped, links, bulk.bulk_share(links, SERIES), SERIES, 150).select(*LINE, "group_id")
+    return clean_lines(src).select(*LINE, "group_id")

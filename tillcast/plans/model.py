@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import week_key, week_start
@@ -20,12 +22,16 @@ SF = ["sub_family", "store_id"]
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 GROUPS = {
     "identification": [*SF, "week_start"],
-    "flat": [f"sub_family__{t}" for t in TYPES] + ["territory"],
+    "flat": [f"sub_family__{t}" for t in [*TYPES, "other"]] + ["territory"],
     "time": ["mean_4", "mean_12", "mean_52", "month", "bulk_ratio"],
     "promo": ["price_ratio", "list_price", "slot", "month", "business_days"],
 }
-# Small forests: enough to check the wiring on every run; callers pass their own sizes.
-ITERATIONS, DEPTH = 3, 3
+#: Sizes of the registered models. The operators' defaults (forecast.WEEKLY, PROMO, ERRORS) hold the full sizes,
+#: up to 10,000 trees for each of ten horizons and two folds; they take hours here, so the queries stop at ten
+#: trees and learn faster. Depth, gain, column sampling and early stopping are those of the defaults.
+WEEKLY = replace(forecast.WEEKLY, iterations=10, step=0.3)
+PROMO = replace(forecast.PROMO, iterations=10)
+ERRORS = replace(forecast.ERRORS, iterations=10)
 
 
 def weekly_sf(src):
@@ -57,19 +63,21 @@ def _model_rows(src):
         .join(territory, "store_id").join(bulk, [*SF, "week_start"], "left"), {"sub_family": TYPES})
 
 
-def _vectors(src):
-    return model_table.feature_vector(_model_rows(src), GROUPS, ["flat", "time"])
+STOP = "2001-01-01"  # first day of the test rows
 
 
-def _split(src, stop="2001-01-01"):
-    rows = model_table.split_by_date(_vectors(src), "week_start", stop)
+def _split(src):
+    """Training and test rows with vectors, written once; means for gaps come from the training rows alone."""
+    rows = model_table.split_by_date(_model_rows(src), "week_start", STOP)
+    rows = src.keep("vectors", lambda: model_table.feature_vector(rows, GROUPS, ["flat", "time"], fit_on=F.col("part") == "train"))
     return rows.where(F.col("part") == "train"), rows.where(F.col("part") == "test")
 
 
 def _promo_rows(src):
     rows = model_table.clean_target(promo_table(src), "sales", ["promo_start", "promo_end"], keep_unknown=True)
     rows = model_table.promo_length(rows, "promo_start", "promo_end").withColumn("month", F.month("promo_start"))
-    return model_table.feature_vector(rows, GROUPS, ["promo"])
+    known = (F.col("sales") > 0) & (F.col("promo_start") < STOP)
+    return src.keep("promo_vectors", lambda: model_table.feature_vector(rows, GROUPS, ["promo"], fit_on=known))
 
 
 @query("clean_target", """
@@ -97,7 +105,8 @@ def bulk_ratio(src):
 
 @query("one_hot", "SELECT sub_family, store_id, week_start, qty, " + ", ".join(
     f"CAST(sub_family = '{t}' AS INTEGER) AS sub_family__{t}" for t in TYPES) + ", " + ", ".join(
-    f"CAST(bulk = {b} AS INTEGER) AS bulk__{b}" for b in (0, 1)) + " FROM weekly_sf")
+    f"CAST(bulk = {b} AS INTEGER) AS bulk__{b}" for b in (0, 1))
+       + f", CAST(sub_family NOT IN ({', '.join(repr(t) for t in TYPES)}) AS INTEGER) AS sub_family__other, 0 AS bulk__other FROM weekly_sf")
 def one_hot(src):
     rows = weekly_sf(src).select(*SF, "week_start", "qty", "bulk")
     return model_table.one_hot(rows, {"sub_family": TYPES, "bulk": [0, 1]}).drop("bulk")
@@ -105,7 +114,8 @@ def one_hot(src):
 
 @query("feature_vector")
 def feature_vector(src):
-    return model_table.feature_array(_model_rows(src), GROUPS, ["flat", "time"]).select(*SF, "week_start", "features")
+    rows = model_table.split_by_date(_model_rows(src), "week_start", STOP)
+    return model_table.feature_array(rows, GROUPS, ["flat", "time"], F.col("part") == "train").select(*SF, "week_start", "features")
 
 
 @query("densify_weeks", "SELECT sub_family, store_id, week_start, qty FROM dense_sf")
@@ -114,10 +124,11 @@ def densify_weeks(src):
 
 
 def _leads_sql(horizons) -> str:
-    cols = ", ".join(f"t{h}.qty AS w{h}" for h in horizons)
-    joins = "\n".join(f"LEFT JOIN dense_sf t{h} ON t{h}.sub_family = d.sub_family AND t{h}.store_id = d.store_id"
-                      f" AND t{h}.week_start = d.week_start + {7 * h}" for h in horizons)
-    return f"SELECT d.sub_family, d.store_id, d.week_start, d.qty, {cols} FROM dense_sf d {joins}"
+    """The weeks of each horizon by one range join on the date, not by row position as in Spark."""
+    cols = ", ".join(f"max(t.qty) FILTER (t.week_start = d.week_start + {7 * h}) AS w{h}" for h in horizons)
+    return (f"SELECT d.sub_family, d.store_id, d.week_start, d.qty, {cols} FROM dense_sf d JOIN dense_sf t"
+            " ON t.sub_family = d.sub_family AND t.store_id = d.store_id"
+            f" AND t.week_start BETWEEN d.week_start AND d.week_start + {7 * max(horizons)} GROUP BY ALL")
 
 
 @query("horizon_targets", f"""
@@ -169,8 +180,7 @@ def hold_features(src):
 @query("weekly_forecast")
 def weekly_forecast(src):
     train, test = _split(src)
-    out = forecast.weekly_forecast(train, test.drop(*[f"w{h}" for h in range(10)]), SF, range(10),
-                                   iterations=ITERATIONS, depth=DEPTH, step=0.3)
+    out = forecast.weekly_forecast(train, test.drop(*[f"w{h}" for h in range(10)]), SF, range(10), trees=WEEKLY, errors=ERRORS)
     return evaluate.order_quantity(evaluate.confidence_bound(out, 3.0), [*SF, "horizon"], "week_start")
 
 
@@ -178,22 +188,22 @@ def weekly_forecast(src):
 def promo_forecast(src):
     rows = _promo_rows(src)
     known = F.col("sales") > 0
-    train = rows.where(known & (F.col("promo_start") < "2001-01-01"))
-    test = rows.where(F.col("sales").isNull() | (F.col("promo_start") >= "2001-01-01"))
-    out = forecast.promo_forecast(train, test, "sales", SERIES, iterations=ITERATIONS, depth=DEPTH)
+    train = rows.where(known & (F.col("promo_start") < STOP))
+    test = rows.where(F.col("sales").isNull() | (F.col("promo_start") >= STOP))
+    out = src.keep("promo_predictions", lambda: forecast.promo_forecast(train, test, "sales", SERIES, trees=PROMO, errors=ERRORS))
     return evaluate.confidence_bound(evaluate.cap_forecast(out), 1.28).withColumn("order_qty", F.col("upper")).select(
         *SERIES, "promo_id", "promo_start", "sales", "forecast", "err2", "upper", "order_qty")
 
 
 def _out_of_fold(src):
     rows = forecast.materialise(forecast.with_folds(_split(src)[0], SF, 2))
-    return forecast.out_of_fold(rows, "w0", 2, ITERATIONS, DEPTH, 0.3)
+    return src.keep("out_of_fold", lambda: forecast.out_of_fold(rows, "w0", 2, WEEKLY))
 
 
 @query("error_model")
 def error_model(src):
     predicted = _out_of_fold(src)
-    model = forecast.fit_error_model(predicted, "w0", ITERATIONS, DEPTH, 0.3)
+    model = forecast.fit_error_model(predicted, "w0", ERRORS)
     return model.transform(predicted).select(*SF, "week_start", F.col("w0").alias("actual"), "forecast", "err2")
 
 
@@ -204,8 +214,7 @@ def kfold_mape(src):
 
 @query("feature_importance")
 def feature_importance(src):
-    rows = forecast.materialise(_split(src)[0])
-    model = forecast.regressor("w0", ITERATIONS, DEPTH, 0.3, "forecast").fit(rows)
+    model = forecast.fit(_split(src)[0].where(F.col("w0").isNotNull()), "w0", WEEKLY, "forecast")
     return forecast.feature_importance(model, GROUPS["flat"] + GROUPS["time"])
 
 
@@ -246,17 +255,16 @@ SELECT sub_family, error, volume, cumulative, cumulative / total AS volume_share
        coalesce((SELECT min(cumulative / total) FROM c d WHERE d.sub_family = c.sub_family AND d.error >= 0), 0) AS share_at_zero
 FROM c""")
 def error_curve(src):
-    curve = evaluate.error_curve(_naive(src), ["sub_family"])
+    curve = src.keep("curve", lambda: evaluate.error_curve(_naive(src), ["sub_family"]))
     return curve.join(evaluate.curve_points(curve, ["sub_family"], 0.8, 10), "sub_family")
 
 
 @query("cap_forecast", """
-WITH p AS (SELECT sub_family, store_id, week_start, qty, greatest(forecast - 20, 0) AS f FROM naive_sf),
-     t AS (SELECT quantile_cont(f, 0.9) AS top FROM p)
-SELECT sub_family, store_id, week_start, qty, CASE WHEN f > top * 1.2 THEN top ELSE f END AS forecast FROM p, t""")
+WITH p AS (SELECT sub_family, store_id, week_start, qty, greatest(forecast, 0) AS f FROM naive_sf),
+     t AS (SELECT quantile_cont(f, 0.999) AS top FROM p)
+SELECT sub_family, store_id, week_start, qty, CASE WHEN f > top * 2 THEN top ELSE f END AS forecast FROM p, t""")
 def cap_forecast(src):
-    shifted = _naive(src).drop("err2").withColumn("forecast", F.col("forecast") - 20)
-    return evaluate.cap_forecast(shifted, 0.9, 1.2)
+    return evaluate.cap_forecast(_naive(src).drop("err2"))
 
 
 @query("item_profile", """

@@ -100,8 +100,8 @@ SELECT o_orderkey AS activity_id, CAST(o_orderdate AS DATE) AS start, CAST(o_ord
 FROM orders""",
     "coupon_areas": """
 SELECT a.activity_id,
-       CASE WHEN o_orderstatus = 'F' THEN lpad(CAST(sa AS VARCHAR), 9, '0') || '|' || lpad(CAST(sb AS VARCHAR), 9, '0')
-            ELSE lpad(CAST(ca AS VARCHAR), 9, '0') || '|' || lpad(CAST(cb AS VARCHAR), 9, '0') END AS area_list
+       CASE WHEN o_orderstatus = 'F' THEN lpad(CAST(sa AS VARCHAR), greatest(9, length(CAST(sa AS VARCHAR)))::INTEGER, '0') || '|' || lpad(CAST(sb AS VARCHAR), greatest(9, length(CAST(sb AS VARCHAR)))::INTEGER, '0')
+            ELSE lpad(CAST(ca AS VARCHAR), greatest(9, length(CAST(ca AS VARCHAR)))::INTEGER, '0') || '|' || lpad(CAST(cb AS VARCHAR), greatest(9, length(CAST(cb AS VARCHAR)))::INTEGER, '0') END AS area_list
 FROM (SELECT ticket_id AS activity_id, min(city_id) AS ca, max(city_id) AS cb, min(store_id) AS sa, max(store_id) AS sb
       FROM lines GROUP BY ALL) a
 JOIN orders ON o_orderkey = a.activity_id""",
@@ -121,65 +121,6 @@ SELECT item_id, sub_family, family, store_id, city_id, CAST(date_trunc('week', s
        CAST(sum(promo_disc) AS DOUBLE) AS promo_disc, CAST(sum(member_disc) AS DOUBLE) AS member_disc,
        CAST(year(CAST(date_trunc('week', sale_date) AS DATE) + 6) AS INTEGER) AS year
 FROM lines GROUP BY ALL""",
-    "dense_days": """
-SELECT s.sub_family, s.city_id, s.sale_date, CAST(dayofweek(s.sale_date) + 1 AS INTEGER) AS dow, s.stopped,
-       CASE WHEN s.balance <= 0 THEN 1 ELSE 0 END AS out_of_stock, coalesce(d.qty, 0.0) AS qty
-FROM stock s
-LEFT JOIN (SELECT sub_family, city_id, sale_date, sum(qty) AS qty FROM sold_lines GROUP BY ALL) d
-  USING (sub_family, city_id, sale_date)
-WHERE s.balance > 0 OR s.stopped = 'N'""",
-    "oos_medians": """
-SELECT a.sub_family, a.city_id, a.sale_date, a.dow, a.out_of_stock, a.stopped, median(b.qty) AS median_qty
-FROM dense_days a
-JOIN dense_days b ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.dow = a.dow
-                 AND b.sale_date BETWEEN a.sale_date - 90 AND a.sale_date
-WHERE a.out_of_stock = 1
-GROUP BY a.sub_family, a.city_id, a.sale_date, a.dow, a.out_of_stock, a.stopped""",
-    "dense_demand": """
-SELECT d.*, m.median_qty, coalesce(x.gross, 0) AS gross, coalesce(x.coupon_disc, 0) AS coupon_disc,
-       coalesce(x.promo_disc, 0) AS promo_disc, coalesce(x.member_disc, 0) AS member_disc, x.coupon_min, x.coupon_max,
-       x.coupon_mean, x.coupon_std, coalesce(x.any_bulk, 0) AS any_bulk,
-       CASE WHEN m.median_qty > d.qty THEN m.median_qty ELSE d.qty END AS demand
-FROM dense_days d
-LEFT JOIN (SELECT sub_family, city_id, sale_date, median_qty FROM oos_medians) m USING (sub_family, city_id, sale_date)
-LEFT JOIN (SELECT sub_family, city_id, sale_date, CAST(sum(gross) AS DOUBLE) AS gross,
-                  CAST(sum(coupon_disc) AS DOUBLE) AS coupon_disc, CAST(sum(promo_disc) AS DOUBLE) AS promo_disc,
-                  CAST(sum(member_disc) AS DOUBLE) AS member_disc, CAST(min(coupon_disc) AS DOUBLE) AS coupon_min,
-                  CAST(max(coupon_disc) AS DOUBLE) AS coupon_max,
-                  CAST(sum(coupon_disc) AS DOUBLE) / count(coupon_disc) AS coupon_mean,
-                  round(stddev_pop(CAST(coupon_disc AS DOUBLE)), 6) AS coupon_std,
-                  max(CASE WHEN qty >= 50 THEN 1 ELSE 0 END) AS any_bulk
-           FROM sold_lines GROUP BY ALL) x USING (sub_family, city_id, sale_date)""",
-    "dense_promo": """
-SELECT d.*, p.promo_id, p.promo_start, p.promo_end, CASE WHEN p.promo_id IS NULL THEN 0 ELSE 1 END AS on_promo,
-       n.promo_id AS next_promo_id, n.promo_start AS next_promo_start
-FROM dense_demand d
-LEFT JOIN plan p ON p.sub_family = d.sub_family AND p.city_id = d.city_id
-                AND d.sale_date BETWEEN p.promo_start AND p.promo_end
-LEFT JOIN (SELECT d.sub_family, d.city_id, d.sale_date, min(q.promo_start) AS promo_start,
-                  arg_min(q.promo_id, q.promo_start) AS promo_id
-           FROM dense_days d JOIN plan q ON q.sub_family = d.sub_family AND q.city_id = d.city_id
-                                        AND q.promo_start > d.sale_date GROUP BY ALL) n
-  ON n.sub_family = d.sub_family AND n.city_id = d.city_id AND n.sale_date = d.sale_date""",
-    "dense_weeks": """
-SELECT w.*, c.week_key, c.year, c.month_start, c.first_day, c.last_day, c.n_days, c.holiday_days, p.promo_start,
-       p.promo_end, p.promo_price, p.list_price, p.slot, p.announced, q.promo_start AS next_promo_start,
-       q.promo_end AS next_promo_end, q.announced AS next_announced
-FROM (SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(demand) AS qty,
-             sum(CAST(gross AS DECIMAL(18,4)))::DOUBLE AS gross,
-             sum(CAST(coupon_disc AS DECIMAL(18,4)))::DOUBLE AS coupon_disc,
-             sum(CAST(promo_disc AS DECIMAL(18,4)))::DOUBLE AS promo_disc,
-             sum(CAST(member_disc AS DECIMAL(18,4)))::DOUBLE AS member_disc,
-             min(coupon_min) AS coupon_min, max(coupon_max) AS coupon_max, CAST(sum(CAST(coupon_mean AS DECIMAL(24,8))) AS DOUBLE) / count(coupon_mean) AS coupon_mean,
-             CAST(count(DISTINCT promo_id) AS INTEGER) AS n_current,
-             CAST(count(DISTINCT next_promo_id) AS INTEGER) AS n_next, max(promo_id) AS promo_id,
-             max(next_promo_id) AS next_promo_id, max(out_of_stock) AS any_oos, max(any_bulk) AS any_bulk
-      FROM dense_promo GROUP BY ALL) w
-JOIN (SELECT week_start, max(week_key) AS week_key, max(year) AS year, max(month_start) AS month_start,
-             min(day) AS first_day, max(day) AS last_day, count(*) AS n_days,
-             CAST(sum(holiday) AS INTEGER) AS holiday_days FROM calendar GROUP BY ALL) c USING (week_start)
-LEFT JOIN plan p ON p.sub_family = w.sub_family AND p.city_id = w.city_id AND p.promo_id = w.promo_id
-LEFT JOIN plan q ON q.sub_family = w.sub_family AND q.city_id = w.city_id AND q.promo_id = w.next_promo_id""",
     # ---- bulk orders
     "sold_promo": """
 SELECT l.*, p.promo_id FROM sold_lines l
@@ -229,13 +170,111 @@ SELECT g.item_id, g.store_id, g.sale_date, g.group_id, g.qty, s.delivery_date, s
 FROM flagged_groups g JOIN shipment_scope_rows s ON s.item_id = g.item_id AND s.store_id = g.store_id
  AND abs(s.delivery_date - g.sale_date) <= 35
 WHERE g.abnormal_flag = 1""",
+    "pair_sales": """
+SELECT item_id, store_id, sale_date, max(group_id) AS group_id, max(qty) AS qty,
+       row_number() OVER (PARTITION BY item_id, store_id ORDER BY sale_date) AS j
+FROM candidates GROUP BY item_id, store_id, sale_date""",
+    "pair_shipments": """
+SELECT item_id, store_id, delivery_date, max(delivery_qty) AS qty,
+       row_number() OVER (PARTITION BY item_id, store_id ORDER BY delivery_date) AS i
+FROM candidates GROUP BY item_id, store_id, delivery_date""",
+    "shipment_links": """
+WITH RECURSIVE walk AS (
+  SELECT h.item_id, h.store_id, h.i, CAST(1 AS BIGINT) AS j, h.qty AS stock, false AS paired, CAST(0 AS BIGINT) AS pi, CAST(0 AS BIGINT) AS pj
+  FROM pair_shipments h WHERE h.i = 1
+  UNION ALL
+  SELECT w.item_id, w.store_id, w.i + CAST(move AS BIGINT), w.j + CASE WHEN move THEN 0 ELSE 1 END,
+         CASE WHEN move THEN n.qty WHEN near THEN greatest(w.stock - w.sold, 0) ELSE w.stock END, near AND NOT move, w.i, w.j
+  FROM (SELECT w.*, s.qty AS sold, abs(h.delivery_date - s.sale_date) < 35 AS near,
+               w.stock <= 0 OR (abs(h.delivery_date - s.sale_date) >= 35 AND s.sale_date > h.delivery_date) AS move
+        FROM walk w JOIN pair_shipments h ON h.item_id = w.item_id AND h.store_id = w.store_id AND h.i = w.i
+        JOIN pair_sales s ON s.item_id = w.item_id AND s.store_id = w.store_id AND s.j = w.j) w
+  LEFT JOIN pair_shipments n ON n.item_id = w.item_id AND n.store_id = w.store_id AND n.i = w.i + 1
+  WHERE NOT move OR n.i IS NOT NULL)
+SELECT s.item_id, s.store_id, s.sale_date, s.group_id, s.qty, h.delivery_date, h.qty AS delivery_qty
+FROM walk w JOIN pair_sales s ON s.item_id = w.item_id AND s.store_id = w.store_id AND s.j = w.pj
+JOIN pair_shipments h ON h.item_id = w.item_id AND h.store_id = w.store_id AND h.i = w.pi
+WHERE w.paired""",
     "bulk_shares": """
 SELECT item_id, store_id, sum(qty) AS qty, sum(delivery_qty) AS delivery_qty,
        sum(qty) / sum(delivery_qty) * 100 AS percent_flagged
 FROM (SELECT item_id, store_id, group_id, sum(qty) AS qty, max(delivery_qty) AS delivery_qty
-      FROM (SELECT DISTINCT item_id, store_id, group_id, qty, delivery_date, delivery_qty FROM candidates) d
+      FROM (SELECT DISTINCT item_id, store_id, group_id, qty, delivery_date, delivery_qty FROM shipment_links) d
       GROUP BY ALL) g
 GROUP BY item_id, store_id""",
+    "clean_lines": """
+SELECT l.*, d.group_id
+FROM sold_lines l JOIN day_groups d USING (item_id, store_id, sale_date)
+WHERE NOT EXISTS (SELECT 1 FROM shipment_links c
+                  WHERE c.item_id = l.item_id AND c.store_id = l.store_id AND c.group_id = d.group_id
+                    AND NOT EXISTS (SELECT 1 FROM bulk_shares s WHERE s.item_id = c.item_id
+                                    AND s.store_id = c.store_id AND s.percent_flagged > 20000))""",
+    # ---- dense daily demand, from the lines without planned bulk
+    "assortment_state": """
+SELECT DISTINCT i.sub_family, s.city_id, a.sale_date, a.stopped
+FROM assortment_days a JOIN items i ON i.variant_id = a.variant_id JOIN stores s ON s.store_id = a.store_id
+WHERE a.stopped = 'N'""",
+    "dense_days": """
+SELECT s.sub_family, s.city_id, s.sale_date, CAST(dayofweek(s.sale_date) + 1 AS INTEGER) AS dow, a.stopped,
+       CASE WHEN s.balance <= 0 THEN 1 ELSE 0 END AS out_of_stock, coalesce(d.qty, 0.0) AS qty
+FROM stock s
+LEFT JOIN assortment_state a USING (sub_family, city_id, sale_date)
+LEFT JOIN (SELECT sub_family, city_id, sale_date, sum(qty) AS qty FROM clean_lines GROUP BY ALL) d
+  USING (sub_family, city_id, sale_date)
+WHERE s.balance > 0 OR a.stopped = 'N'""",
+    "oos_medians": """
+SELECT a.sub_family, a.city_id, a.sale_date, a.dow, a.out_of_stock, a.stopped, median(b.qty) AS median_qty
+FROM dense_days a
+JOIN dense_days b ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.dow = a.dow
+                 AND b.sale_date BETWEEN a.sale_date - 90 AND a.sale_date
+  AND (b.out_of_stock = 0 OR b.stopped = 'N')
+WHERE a.out_of_stock = 1
+GROUP BY a.sub_family, a.city_id, a.sale_date, a.dow, a.out_of_stock, a.stopped""",
+    "dense_demand": """
+SELECT d.*, m.median_qty, coalesce(x.gross, 0) AS gross, coalesce(x.coupon_disc, 0) AS coupon_disc,
+       coalesce(x.promo_disc, 0) AS promo_disc, coalesce(x.member_disc, 0) AS member_disc, x.coupon_min, x.coupon_max,
+       x.coupon_mean, x.coupon_std, coalesce(x.any_bulk, 0) AS any_bulk,
+       CASE WHEN m.median_qty > d.qty THEN m.median_qty ELSE d.qty END AS demand
+FROM dense_days d
+LEFT JOIN (SELECT sub_family, city_id, sale_date, median_qty FROM oos_medians) m USING (sub_family, city_id, sale_date)
+LEFT JOIN (SELECT sub_family, city_id, sale_date, CAST(sum(gross) AS DOUBLE) AS gross,
+                  CAST(sum(coupon_disc) AS DOUBLE) AS coupon_disc, CAST(sum(promo_disc) AS DOUBLE) AS promo_disc,
+                  CAST(sum(member_disc) AS DOUBLE) AS member_disc, CAST(min(coupon_disc) AS DOUBLE) AS coupon_min,
+                  CAST(max(coupon_disc) AS DOUBLE) AS coupon_max,
+                  CAST(sum(coupon_disc) AS DOUBLE) / count(coupon_disc) AS coupon_mean,
+                  round(stddev_pop(CAST(coupon_disc AS DOUBLE)), 6) AS coupon_std,
+                  max(CASE WHEN qty >= 50 THEN 1 ELSE 0 END) AS any_bulk
+           FROM clean_lines GROUP BY ALL) x USING (sub_family, city_id, sale_date)""",
+    "dense_promo": """
+SELECT d.*, p.promo_id, p.promo_start, p.promo_end, CASE WHEN p.promo_id IS NULL THEN 0 ELSE 1 END AS on_promo,
+       n.promo_id AS next_promo_id, n.promo_start AS next_promo_start
+FROM dense_demand d
+LEFT JOIN plan p ON p.sub_family = d.sub_family AND p.city_id = d.city_id
+                AND d.sale_date BETWEEN p.promo_start AND p.promo_end
+LEFT JOIN (SELECT d.sub_family, d.city_id, d.sale_date, min(q.promo_start) AS promo_start,
+                  arg_min(q.promo_id, q.promo_start) AS promo_id
+           FROM dense_days d JOIN plan q ON q.sub_family = d.sub_family AND q.city_id = d.city_id
+                                        AND q.promo_start > d.sale_date GROUP BY ALL) n
+  ON n.sub_family = d.sub_family AND n.city_id = d.city_id AND n.sale_date = d.sale_date""",
+    "dense_weeks": """
+SELECT w.*, c.week_key, c.year, c.month_start, c.first_day, c.last_day, c.n_days, c.holiday_days, p.promo_start,
+       p.promo_end, p.promo_price, p.list_price, p.slot, p.announced, q.promo_start AS next_promo_start,
+       q.promo_end AS next_promo_end, q.announced AS next_announced
+FROM (SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(demand) AS qty,
+             sum(CAST(gross AS DECIMAL(18,4)))::DOUBLE AS gross,
+             sum(CAST(coupon_disc AS DECIMAL(18,4)))::DOUBLE AS coupon_disc,
+             sum(CAST(promo_disc AS DECIMAL(18,4)))::DOUBLE AS promo_disc,
+             sum(CAST(member_disc AS DECIMAL(18,4)))::DOUBLE AS member_disc,
+             min(coupon_min) AS coupon_min, max(coupon_max) AS coupon_max, CAST(sum(CAST(coupon_mean AS DECIMAL(24,8))) AS DOUBLE) / count(coupon_mean) AS coupon_mean,
+             CAST(count(DISTINCT promo_id) AS INTEGER) AS n_current,
+             CAST(count(DISTINCT next_promo_id) AS INTEGER) AS n_next, max(promo_id) AS promo_id,
+             max(next_promo_id) AS next_promo_id, max(out_of_stock) AS any_oos, max(any_bulk) AS any_bulk
+      FROM dense_promo GROUP BY ALL) w
+JOIN (SELECT week_start, max(week_key) AS week_key, max(year) AS year, max(month_start) AS month_start,
+             min(day) AS first_day, max(day) AS last_day, count(*) AS n_days,
+             CAST(sum(holiday) AS INTEGER) AS holiday_days FROM calendar GROUP BY ALL) c USING (week_start)
+LEFT JOIN plan p ON p.sub_family = w.sub_family AND p.city_id = w.city_id AND p.promo_id = w.promo_id
+LEFT JOIN plan q ON q.sub_family = w.sub_family AND q.city_id = w.city_id AND q.promo_id = w.next_promo_id""",
     # ---- coupons
     "coupons": """
 SELECT DISTINCT h.activity_id, h.type_id, h.type_code, h.count_code, h.level, a.area_list, p.start, p."end",
@@ -259,11 +298,15 @@ WHERE h.status = 'F'""",
 SELECT DISTINCT c.activity_id, c.item_id, c.level, c.type_id, c.type_code, c.count_code, c.area_list,
        CAST(date_trunc('week', d.day) AS DATE) AS week_start
 FROM coupons c, LATERAL (SELECT unnest(generate_series(c.start, c."end", INTERVAL 1 DAY)) AS day) d""",
+    "coupon_places": """
+SELECT DISTINCT item_id, week_start, level, CAST(place AS BIGINT) AS place_id, activity_id, type_id, type_code, count_code
+FROM (SELECT *, unnest(string_split(area_list, '|')) AS place FROM coupon_week_rows)""",
     "coupon_links": """
-SELECT DISTINCT w.item_id, w.store_id, w.city_id, w.week_start, c.level, c.activity_id, c.type_id, c.type_code, c.count_code
-FROM weekly w
-LEFT JOIN coupon_week_rows c ON c.item_id = w.item_id AND c.week_start = w.week_start
-  AND instr(c.area_list, lpad(CAST(CASE c.level WHEN 'C' THEN w.city_id ELSE w.store_id END AS VARCHAR), 9, '0')) >= 1""",
+SELECT w.item_id, w.week_start, w.level, w.place_id, c.activity_id, c.type_id, c.type_code, c.count_code
+FROM (SELECT DISTINCT item_id, week_start, 'C' AS level, CAST(city_id AS BIGINT) AS place_id FROM weekly
+      UNION ALL SELECT DISTINCT item_id, week_start, 'S', CAST(store_id AS BIGINT) FROM weekly) w
+LEFT JOIN coupon_places c ON c.item_id = w.item_id AND c.week_start = w.week_start AND c.level = w.level
+                         AND c.place_id = w.place_id""",
     "coupon_code_rows": """
 SELECT w.item_id, w.store_id, w.week_start, w.qty, w.gross, w.coupon_disc, c.* EXCLUDE (item_id, store_id, week_start)
 FROM weekly w
@@ -273,7 +316,9 @@ LEFT JOIN (SELECT item_id, store_id, week_start, string_agg(DISTINCT type_id, ',
                   CAST(count(DISTINCT type_id) AS INTEGER) AS n_type_id,
                   CAST(count(DISTINCT type_code) AS INTEGER) AS n_type_code,
                   CAST(count(DISTINCT count_code) AS INTEGER) AS n_count_code
-           FROM coupon_links WHERE activity_id IS NOT NULL GROUP BY ALL) c
+           FROM (SELECT w.item_id, w.store_id, w.week_start, c.type_id, c.type_code, c.count_code
+                 FROM weekly w JOIN coupon_places c ON c.item_id = w.item_id AND c.week_start = w.week_start
+                  AND c.place_id = CASE c.level WHEN 'C' THEN w.city_id ELSE w.store_id END) m GROUP BY ALL) c
   ON c.item_id = w.item_id AND c.store_id = w.store_id AND c.week_start = w.week_start""",
     "coupon_dummy_rows": """
 SELECT *, CAST(coalesce(instr(type_ids, '01') >= 1, false) AS INTEGER) AS type_dd,
@@ -430,7 +475,7 @@ FROM (SELECT sub_family, city_id, promo_id, promo_start, promo_end, sum(demand)
 SELECT DISTINCT CAST(promo_end - promo_start AS INTEGER) AS length, CAST(dayofweek(promo_start) + 1 AS INTEGER) AS start_dow,
        CAST(dayofweek(promo_end) + 1 AS INTEGER) AS end_dow,
        'P' || CAST(dayofweek(promo_start) + 1 AS VARCHAR) || CAST(dayofweek(promo_end) + 1 AS VARCHAR) AS pattern
-FROM plan WHERE dayofweek(promo_start) + 1 <= 5""",
+FROM plan""",
     "promo_day_rows": """
 SELECT f.sub_family, f.city_id, f.promo_id, f.promo_start, f.promo_end, f.forecast, f.upper, f.upper AS order_qty,
        CAST(f.promo_end - f.promo_start AS INTEGER) AS length, c.day AS sale_date, p.pattern,

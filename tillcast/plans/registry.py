@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tillcast.plans.reference_sql import COMMON
 from tillcast.sources.retail import RetailInputs
 
+# Steps that a check reads several times and should work out once.
+ONCE = {"dense_sf", "candidates", "shipment_links", "clean_lines", "dense_days", "dense_demand", "dense_promo", "dense_weeks"}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -29,7 +32,7 @@ def with_common(body: str) -> str:
             if name not in need:
                 need.add(name)
                 todo.append(COMMON[name])
-    ctes = [f"{name} AS (\n{COMMON[name].strip()}\n)" for name in COMMON if name in need]
+    ctes = [f"{name} AS {'MATERIALIZED ' * (name in ONCE)}(\n{COMMON[name].strip()}\n)" for name in COMMON if name in need]
     body = body.strip()
     if not ctes:
         return body

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import dates
 from tillcast.functions.numbers import ratio, rounded
+from tillcast.functions.lineage import new_folder
+from tillcast.functions.texts import padded
 from tillcast.plans.registry import query
+from tillcast.sources.files import append_increment
 from tillcast.sources.tables import date_slice
 
 
@@ -33,23 +36,21 @@ def sliced(src):
 
 
 @query("incremental_append", """
-SELECT store_id, sale_date, sum(qty) AS qty FROM raw_lines WHERE sale_date < DATE '1999-01-01' GROUP BY ALL
-UNION ALL
-SELECT store_id, sale_date, sum(qty) FROM raw_lines WHERE sale_date >= DATE '1999-01-01' GROUP BY ALL""")
+SELECT store_id, sale_date, sum(qty) AS qty FROM raw_lines GROUP BY ALL""")
 def incremental(src):
-    lines = src.raw_lines().select("store_id", "sale_date", "qty")
-    cut = dt.date(1999, 1, 1)
-    old = date_slice(lines, "sale_date", dt.date(1900, 1, 1), cut)
-    new = date_slice(lines, "sale_date", cut, dt.date(2100, 1, 1))
-    parts = [p.groupBy("store_id", "sale_date").agg(F.sum("qty").alias("qty")) for p in (old, new)]
-    return parts[0].unionByName(parts[1])
+    """A first run writes all days, a second one the last year's again; read back, nothing is doubled or lost."""
+    daily = src.raw_lines().groupBy("store_id", "sale_date").agg(F.sum("qty").alias("qty")).withColumn("year", F.year("sale_date"))
+    path = new_folder(src.spark)
+    append_increment(daily, path, ["year"])
+    append_increment(daily.where(F.col("year") == daily.agg(F.max("year")).scalar()), path, ["year"])
+    return src.spark.read.schema(daily.schema).parquet(path).drop("year")
 
 
 @query("scalar_string", """
 SELECT variant_id, family || lpad(CAST(pack AS VARCHAR), 2, '0') AS code,
        substr(brand, 7) AS brand_no, substr(item_name, 1, 3) AS head,
        family || substr(lpad(CAST(pack AS VARCHAR), 2, '0'), 1, 1) AS family_code,
-       lpad(CAST(variant_id AS VARCHAR), 9, '0') AS padded, instr(item_name, 'ring') AS found
+       lpad(CAST(variant_id AS VARCHAR), greatest(9, length(CAST(variant_id AS VARCHAR)))::INTEGER, '0') AS padded, instr(item_name, 'ring') AS found
 FROM items""")
 def scalar_string(src):
     pack = F.lpad(F.col("pack").cast("string"), 2, "0")
@@ -57,7 +58,7 @@ def scalar_string(src):
         "variant_id", F.concat("family", pack).alias("code"), F.substr("brand", F.lit(7)).alias("brand_no"),
         F.substring("item_name", 1, 3).alias("head"),
         F.concat("family", F.substring(pack, 1, 1)).alias("family_code"),
-        F.lpad(F.col("variant_id").cast("string"), 9, "0").alias("padded"),
+        padded("variant_id", 9).alias("padded"),
         F.instr("item_name", "ring").cast("bigint").alias("found"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.operators import promo_join, sales
+from tillcast.operators import bulk, promo_join, sales
 from tillcast.sources.retail import RetailInputs
 
 # Dense daily series, and sparse weekly series.
@@ -13,17 +13,58 @@ DENSE = ["sub_family", "city_id"]
 SERIES = ["item_id", "store_id"]
 
 
+# ---- bulk orders: from sold lines to the links with shipments
+
+def sold_promo(src: RetailInputs) -> DataFrame:
+    return promo_join.current_promo(src.sold_lines(), src.kept_plan(), DENSE, [])
+
+
+def flagged_groups(src: RetailInputs) -> DataFrame:
+    limits = src.keep("limits", lambda: bulk.quantity_thresholds(sold_promo(src), SERIES))
+    return bulk.abnormal_groups(bulk.basket_groups(sold_promo(src), SERIES), bulk.of_branch(limits, "regular"),
+                                bulk.of_branch(limits, "promo"), src.payments(), SERIES)
+
+
+def shipped(src: RetailInputs) -> DataFrame:
+    large = src.stores().where(F.col("balance") >= 0)
+    return bulk.shipment_scope(src.shipments(), src.lines(), large, "O")
+
+
+def candidates(src: RetailInputs) -> DataFrame:
+    return src.keep("candidates", lambda: bulk.shipment_candidates(flagged_groups(src), shipped(src), SERIES))
+
+
+def shipment_links(src: RetailInputs) -> DataFrame:
+    return src.keep("links", lambda: bulk.shipment_match(candidates(src), SERIES))
+
+
+def clean_lines(src: RetailInputs) -> DataFrame:
+    """Sold lines without planned bulk."""
+    links = shipment_links(src)
+    grouped = bulk.basket_groups(src.sold_lines(), SERIES)
+    return bulk.demand_without_bulk(grouped, links, bulk.bulk_share(links, SERIES), SERIES)
+
+
+# ---- dense daily demand
+
 def sold_days(src: RetailInputs) -> DataFrame:
-    return sales.daily_sales(src.sold_lines(), DENSE)
+    return sales.daily_sales(clean_lines(src), DENSE)
+
+
+def carried_days(src: RetailInputs) -> DataFrame:
+    """Assortment entries at the grain of the dense series: a day is carried if any variant is in any store."""
+    return (src.assortment_days().where(F.col("stopped") == "N").select("variant_id", "store_id", "sale_date", "stopped")
+            .join(src.items().select("variant_id", "sub_family"), "variant_id")
+            .join(src.stores().select("store_id", "city_id"), "store_id"))
 
 
-def dense_days(src: RetailInputs) -> DataFrame:
-    return sales.full_date_sales(src.stock(), sold_days(src), DENSE)
+def dense_days(src: RetailInputs, sold: DataFrame | None = None) -> DataFrame:
+    return sales.full_date_sales(src.stock(), carried_days(src), sold_days(src) if sold is None else sold, DENSE)
 
 
 def dense_demand(src: RetailInputs) -> DataFrame:
     sold = src.keep("sold_days", lambda: sold_days(src))
-    dense = src.keep("dense_days", lambda: sales.full_date_sales(src.stock(), sold, DENSE))
+    dense = src.keep("dense_days", lambda: dense_days(src, sold))
     return sales.daily_demand(dense, sales.oos_median(dense, DENSE), sold, DENSE)
 
 

@@ -21,13 +21,12 @@ from pyspark.sql import functions as F
 from tillcast.functions.dates import day_number, month_start, week_key, week_start
 from tillcast.functions.lineage import materialise
 from tillcast.functions.numbers import money, total
+from tillcast.functions.texts import COUNT_CODES, padded
 from tillcast.sources.tables import load
 
 # Public holidays (month-day), festivals (type, first and last month-day).
 HOLIDAYS = ["01-01", "05-01", "10-01"]
 FESTIVALS = [(1, "02-05", "02-11"), (2, "09-15", "09-17")]
-# The coupon count codes the features know.
-COUNT_CODES = ["27", "02|25", "60", "4", "1", "58", "11", "16|34", "56", "37", "44", "9", "10"]
 # Days by which a lunar year is shorter than the calendar mapping assumes.
 LUNAR_YEAR_DAYS = 354
 LIVE_VERSION = 50
@@ -238,10 +237,10 @@ class RetailInputs:
         the lowest and highest among the stores that sold on the ticket."""
         places = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
         area = self.table("lineitem").join(places, "l_suppkey").groupBy("l_orderkey").agg(
-            *[f(c).cast("string").alias(n) for n, f, c in [
+            *[f(c).alias(n) for n, f, c in [
                 ("city_a", F.min, "s_nationkey"), ("city_b", F.max, "s_nationkey"),
                 ("store_a", F.min, "l_suppkey"), ("store_b", F.max, "l_suppkey")]])
-        pair = {p: F.concat_ws("|", *[F.lpad(F.col(f"{p}_{x}"), 9, "0") for x in "ab"]) for p in ("city", "store")}
+        pair = {p: F.concat_ws("|", *[padded(f"{p}_{x}", 9) for x in "ab"]) for p in ("city", "store")}
         level = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
         return area.join(level, "l_orderkey").select(
             F.col("l_orderkey").alias("activity_id"),
