@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import dates
 from tillcast.functions.joins import explode_days, next_event, points_in_ranges
-from tillcast.functions.lineage import materialise, release, shared_folder
+from tillcast.functions.lineage import discard, materialise, release, shared_folder
 from tillcast.functions.numbers import exact_mean, ratio, total
 from tillcast.functions.running import exact_quantile, running_total
 from tillcast.functions.texts import code_list, has_code, has_none_of, padded
@@ -160,3 +160,10 @@ def test_materialise_uses_the_named_folder(spark, make):
     out = materialise(make("a int", [(1,), (2,)]))
     assert out.agg(F.sum("a")).first()[0] == 3
     assert out.inputFiles()[0].removeprefix("file://").startswith(shared_folder(spark))
+
+
+def test_discard_deletes_only_what_it_is_given(spark, make):
+    one, two = materialise(make("a int", [(1,)])), materialise(make("a int", [(2,)]))
+    paths = [f.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0] for f in (one, two)]
+    discard(one, make("a int", [(3,)]))
+    assert not os.path.exists(paths[0]) and two.first().a == 2

@@ -44,15 +44,31 @@ def materialise(df: DataFrame) -> DataFrame:
     compute it again nor depend on the executors that made it. Parquet keeps column pruning."""
     path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    kept = df.sparkSession.read.parquet(path)
+    kept._kept_path = path
+    return kept
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these very frames, once all that read them is written itself."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = getattr(frame, "_kept_path", None)
+        kept = _KEPT.get(spark.sparkContext.applicationId, [])
+        if path in kept:
+            kept.remove(path)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def release(spark: SparkSession) -> int:
     """Delete everything this application has kept so far; to be called when the frames
     that read it are no longer used. Returns the number of folders."""
     paths = _KEPT.pop(spark.sparkContext.applicationId, [])
-    jvm = spark.sparkContext._jvm
     for path in paths:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(spark, path)
     return len(paths)
