@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.functions.lineage import materialise
+from tillcast.functions.lineage import discard, materialise
 from tillcast.llm.buckets import bucket_links, link_counts
 from tillcast.llm.common import WordHashes, fresh, hashed_words, map_texts, mix, text_bytes
 from tillcast.llm.components import components
@@ -176,6 +176,7 @@ def _rows(df: DataFrame, threshold: float, words: int, recall: float, id_col: st
     per_class = materialise(grouped.join(firsts, "root").select(
         "k1", "k2", F.col("id").alias("class_id"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
         F.col("first.id").alias("component_id"), F.col("first.uid").alias("first")))
+    discard(entries, links, classes)
     found = worded.select("id", "k1", "k2", "uid").join(per_class, ["k1", "k2"]).select(
         "id", "k1", "k2", "class_id", "n_links", "component_id", (F.col("uid") == F.col("first")).alias("kept"))
     none = F.lit(None).cast("long")
@@ -190,9 +191,9 @@ def _leaves(classes: DataFrame, runs: int) -> DataFrame:
     # The path already holds the choices made before; a run's first choice is in coordinate ``run``.
     level = classes.select("node", F.explode(F.array(*[
         F.xxhash64(F.lit(r), F.substring("sig", 8 * r + 1, 8)) for r in range(runs)])).alias("path"))
-    leaves = None
+    leaves, kept = None, []
     for depth in range(DEPTH):
-        level = materialise(level)
+        kept.append(level := materialise(level))
         sizes = level.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
         counted = level.join(sizes, "path")
         last = depth == DEPTH - 1
@@ -205,9 +206,12 @@ def _leaves(classes: DataFrame, runs: int) -> DataFrame:
         pick = F.pmod(F.xxhash64(F.lit(-1), "path"), F.lit(PAIRS_OF_COORDINATES)).cast("int") * SPREAD + base
         split = materialise(large.join(classes, "node").withColumn("c", pick).select("path", "node", F.array(*[
             F.xxhash64("path", F.col("c") + s, F.expr(f"substring(sig, (c + {s}) * 8 + 1, 8)")) for s in range(SPREAD)]).alias("children")))
-        # How often two members agree in a coordinate: their mean similarity.
-        child = split.select("path", F.explode("children").alias("child")).groupBy("path", "child").agg(F.count("*").cast("double").alias("n"))
-        dense = child.groupBy("path").agg((F.sum(F.col("n") * F.col("n")) * SPREAD / F.pow(F.sum("n"), 2)).alias("alike")).filter(F.col("alike") >= DENSE).select("path")
+        # How often two members agree in a coordinate estimates their mean similarity.
+        agree = split.groupBy("path", F.get("children", F.lit(0)).alias("child")).agg(F.count("*").cast("double").alias("n"))
+        dense = agree.groupBy("path").agg((F.sum(F.col("n") * F.col("n")) / F.pow(F.sum("n"), 2)).alias("alike")).filter(F.col("alike") >= DENSE).select("path")
+        kept.append(split)
         leaves = leaves.unionByName(split.join(dense, "path", "left_semi").select(F.col("path").alias("bucket"), "node"))
         level = split.join(dense, "path", "left_anti").select("node", F.explode("children").alias("path"))
-    return materialise(leaves.distinct())
+    out = materialise(leaves.distinct())
+    discard(*kept)
+    return out
