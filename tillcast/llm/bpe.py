@@ -19,8 +19,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tillcast.llm.common import CACHE_WORDS, map_texts, text_bytes
+from tillcast.llm.common import map_texts, text_bytes
 
+CACHE_WORDS = 500_000  # chunks, and words, that a worker remembers
 END = -1  # marks the end of a word in a trie node; bytes are 0 to 255
 NEVER = 1 << 60
 
@@ -101,7 +102,7 @@ class BytePairs:
                 i += 1
             else:
                 j += 1
-        if len(self.apart) >= 2 * CACHE_WORDS:
+        if len(self.apart) >= CACHE_WORDS:
             self.apart.clear()
         self.apart[key] = answer
         return answer
@@ -140,7 +141,7 @@ class BytePairs:
         while back and (back << 8 | byte) not in self.step:
             back = self.shorter[back]
         to = self.step.get(back << 8 | byte, 0)
-        if len(self.moves) >= 2 * CACHE_WORDS:
+        if len(self.moves) >= CACHE_WORDS:
             self.moves.clear()
         self.moves[state << 8 | byte] = to
         return to
@@ -148,7 +149,9 @@ class BytePairs:
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
         """Ids of each distinct word."""
         root: dict = {}
+        deepest = 0
         for word in words:
+            deepest = max(deepest, len(word))
             node = root
             for b in word:
                 child = node.get(b)
@@ -158,13 +161,14 @@ class BytePairs:
             node[END] = word
         out: dict[bytes, list[int]] = {}
         ends, widths, known, moves = self.ends, self.widths, self.apart, self.moves
-        last, width = [None], [0]  # by depth on the current branch: the prefix's last token, its bytes
+        # By depth on the current branch: the prefix's last token, its bytes. Deeper places are left over from
+        # other branches and are written before they are read.
+        last, width = [None] * (deepest + 1), [0] * (deepest + 1)
         stack = [(1, 0, b, child) for b, child in root.items() if b != END]
         if END in root:
             out[b""] = []
         while stack:
             depth, state, byte, node = stack.pop()
-            del last[depth:], width[depth:]
             to = moves.get(state << 8 | byte)
             if to is None:
                 to = self._move(state, byte)
@@ -176,8 +180,7 @@ class BytePairs:
                 apart = known.get(previous << 32 | token)
                 if apart or apart is None and self.stay_apart(previous, token):
                     break
-            last.append(token)
-            width.append(n)
+            last[depth], width[depth] = token, n
             for b, child in node.items():
                 if b != END:
                     stack.append((depth + 1, to, b, child))

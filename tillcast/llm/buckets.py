@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.functions.lineage import materialise
+from tillcast.functions.lineage import discard, materialise
 from tillcast.llm.common import small_batches
 
 BLOCK = 512  # members of a block
@@ -55,7 +55,9 @@ def bucket_links(entries: DataFrame, payload: DataFrame, verify: Verify) -> Data
         for bucket, i, j, unit in _units(batches):
             yield from _compare(bucket, i, j, unit, verify)
 
-    return materialise(rows.mapInArrow(work, "a long, b long, n long"))
+    links = materialise(rows.mapInArrow(work, "a long, b long, n long"))
+    discard(kept, members)
+    return links
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, list[pa.RecordBatch]]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.functions.lineage import materialise
+from tillcast.functions.lineage import discard, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def components(links: DataFrame) -> DataFrame:
         pairs = moved.join(smallest, "u").select(
             F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = materialise(pairs.select("e.*").filter("u <> v").distinct())
+        read, edges = edges, materialise(pairs.select("e.*").filter("u <> v").distinct())
+        discard(read)
         before, state = state, _state(edges)
         if state == before:
             break

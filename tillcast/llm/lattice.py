@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.functions.lineage import materialise
+from tillcast.functions.lineage import discard, materialise
 from tillcast.llm.buckets import bucket_links, link_counts
 from tillcast.llm.common import map_texts, mix
 from tillcast.llm.components import components
@@ -150,15 +150,16 @@ def near_vectors(df: DataFrame, threshold: float = 0.93, tables: int = TABLES, p
     classes = materialise(keyed.groupBy(*key).agg(
         F.count("*").alias("weight"), F.min(F.coalesce("id", F.lit(NO_ID))).alias("low"), F.min("data").alias("data"), F.first("cells").alias("cells"))
         .withColumn("node", F.monotonically_increasing_id()))
-    entries = classes.select("node", "label", F.explode(F.array_distinct("cells")).alias("cell")).select(
-        F.xxhash64("label", "cell").alias("bucket"), "node").distinct()
+    entries = materialise(classes.select("node", "label", F.explode(F.array_distinct("cells")).alias("cell")).select(
+        F.xxhash64("label", "cell").alias("bucket"), "node").distinct())
     payload = classes.select("node", "weight", F.length("data").cast("long").alias("size"), "data")
-    links = bucket_links(materialise(entries), payload, cosine_links(threshold))
+    links = bucket_links(entries, payload, cosine_links(threshold))
     grouped = (classes.select(*key, "node", "weight", "low").join(components(links.filter("b is not null")), "node", "left")
                .join(link_counts(links), "node", "left").withColumn("root", F.coalesce("root", "node")))
     lows = grouped.groupBy("root").agg(F.min("low").alias("component"))
     per_class = materialise(grouped.join(lows, "root").select(
         *key, (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component"))
+    discard(entries, links, classes)
     found = keyed.select("id", *key).join(per_class, key).select("id", "n_links", "component")
     alone = rows.filter("data is null").select("id", F.lit(0).cast("long").alias("n_links"), F.coalesce("id", F.lit(NO_ID)).alias("component"))
     component = F.when(F.col("component") != NO_ID, F.col("component"))

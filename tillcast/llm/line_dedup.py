@@ -1,7 +1,7 @@
 """Fuzzy line deduplication.
 
 Lines are reduced to their lower-case words. Equal lines are one class; a class gets a 60-bit SimHash of
-its words. Two classes that differ in at most ``DISTANCE`` bits agree in two or more of the five twelve-bit
+its different words (counted once each: a few very frequent words would make all long lines alike). Two classes that differ in at most ``DISTANCE`` bits agree in two or more of the five twelve-bit
 blocks, whatever the bits, so classes are joined on every pair of blocks. Their lines are compared by edit
 distance, and of each group connected by such links the first occurrence stays.
 
@@ -16,7 +16,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.functions.lineage import materialise
+from tillcast.functions.lineage import discard, materialise
 from tillcast.llm.common import column, fresh
 from tillcast.llm.components import components
 
@@ -61,14 +61,15 @@ def line_hashes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.monotonically_increasing_id().alias("uid"), text.alias("text"))
     lines = rows.select("id", "doc", "uid", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     words = lines.select("id", "doc", "uid", "line_no", line_words(F.col("line")).alias("words"))
-    each = words.select("id", "doc", "uid", "line_no", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
-                        F.posexplode("words").alias("at", "word"))
-    h = F.xxhash64("word")
-    summed = each.groupBy("uid", "line_no", F.expr(f"at div {CHUNK}").alias("chunk")).agg(
-        *[F.first(c).alias(c) for c in ("id", "doc", "h1", "h2")], F.count("*").alias("n"),
-        *[F.sum(F.shiftright(h, k).bitwiseAND(F.lit(_ones(FIELD, BLOCKS)))).alias(f"s{k}") for k in range(FIELD)])
-    summed = materialise(summed)
+    # What is selected beside a generator is worked out for each of its rows, so the line's hashes come before it.
     own = ["id", "doc", "uid", "line_no", "h1", "h2"]
+    hashed = words.select("id", "doc", "uid", "line_no", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
+                          F.array_distinct("words").alias("features"))
+    each = hashed.select(*own, F.posexplode("features").alias("at", "word"))
+    h = F.xxhash64("word")
+    summed = materialise(each.groupBy(*own, F.expr(f"at div {CHUNK}").alias("chunk")).agg(
+        F.count("*").alias("n"),
+        *[F.sum(F.shiftright(h, k).bitwiseAND(F.lit(_ones(FIELD, BLOCKS)))).alias(f"s{k}") for k in range(FIELD)]))
     sums = [F.col(f"s{k}") for k in range(FIELD)]
     short = summed.filter(f"chunk = 0 and n < {CHUNK}").select(*own, _majority(sums, F.col("n")).alias("sim"))
     # Lines of more words: their chunks' fields are added up one by one.
@@ -76,7 +77,9 @@ def line_hashes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     long = (summed.filter(f"chunk > 0 or n = {CHUNK}").select(*own, "n", F.posexplode(counts).alias("bit", "c"))
             .groupBy(*own, "bit").agg((F.sum("c") * 2 > F.sum("n")).alias("set"))
             .groupBy(*own).agg(F.bit_or(F.when(F.col("set"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).otherwise(0)).alias("sim")))
-    return short.unionByName(long)
+    out = materialise(short.unionByName(long))
+    discard(summed)
+    return out
 
 
 def _close(a: str, b: str) -> Column:
@@ -90,14 +93,41 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     two = texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
     longest = "greatest(length(line_a), length(line_b))"
     allowed = f"cast(floor({longest} * {1 - SIMILARITY:.10g} + 1e-9) as int)"
-    near = F.expr(f"least(length(line_a), length(line_b)) >= {longest} - {allowed} and levenshtein(line_a, line_b, {allowed}) >= 0")
-    return materialise(pairs.join(one, "a").join(two, "b").filter(near).select("a", "b"))
+    both = pairs.join(one, "a").join(two, "b").withColumn("allowed", F.expr(allowed)).filter("abs(length(line_a) - length(line_b)) <= allowed")
+    # Equal beginnings and ends do not change the distance, and most of a line is equal.
+    distance = _let(_without_common(F.struct(F.col("line_a").alias("x"), F.col("line_b").alias("y")), True),
+                    lambda p: _let(_without_common(p, False), lambda q: F.when((F.length(q["x"]) == 0) | (F.length(q["y"]) == 0), 0).otherwise(
+                        F.call_function("levenshtein", q["x"], q["y"], F.col("allowed")))))
+    return materialise(both.filter(distance >= 0).select("a", "b"))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _without_common(pair: Column, ahead: bool) -> Column:
+    """A pair of strings x, y without their common beginning (or end), whose length is found by halving steps."""
+    def cut(p):
+        x, y = p["x"], p["y"]
+        shorter = F.least(F.length(x), F.length(y))
+        part = F.left if ahead else F.right
+
+        def longer(done, step):
+            more = done + step
+            return F.when((more <= shorter) & (part(x, more) == part(y, more)), more).otherwise(done)
+
+        def rest(n):
+            kept = [F.right(s, F.length(s) - n) if ahead else F.left(s, F.length(s) - n) for s in (x, y)]
+            return F.struct(kept[0].alias("x"), kept[1].alias("y"))
+        return _let(F.aggregate(F.array(*[F.lit(1 << i) for i in range(30, -1, -1)]), F.lit(0), longer), rest)
+    return _let(pair, cut)
 
 
 def line_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, doc, uid, line_no, group_id, group_line_no, kept`` of every line that has a word (helper of the two
     operators below; ``id`` has the least whole number for null)."""
-    occurrences = materialise(line_hashes(df, id_col, text_col))
+    occurrences = line_hashes(df, id_col, text_col)
     classes = materialise(occurrences.groupBy("h1", "h2").agg(
         F.min(F.struct("id", "doc", "line_no", "uid")).alias("first"), F.count("*").alias("weight"), F.min("sim").alias("sim"))
         .withColumn("node", F.monotonically_increasing_id()))
@@ -112,24 +142,26 @@ def line_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     # Members of a bucket with another one close to them; the search ends at the first.
     other = crowded.select(F.col("key").alias("o_key"), F.col("node").alias("o_node"), F.col("sim").alias("o_sim"))
     members = materialise(crowded.join(other, (F.col("key") == F.col("o_key")) & (F.col("node") != F.col("o_node")) & _close("sim", "o_sim"), "left_semi"))
+    discard(crowded)
     texts = _lines(df, classes.join(members.select("node").distinct(), "node").select("node", "first.id", "first.doc", "first.line_no"), id_col, text_col)
     # First each member with the smallest of its bucket.
     least = members.groupBy("key").agg(F.min(F.struct("node", "sim")).alias("least")).select("key", F.col("least.node").alias("b"), F.col("least.sim").alias("b_sim"))
     stars = members.join(least, "key").filter((F.col("node") != F.col("b")) & _close("sim", "b_sim")).select(F.col("node").alias("a"), "b").distinct()
     links = _verified(stars, texts)
-    roots = materialise(components(links))
+    first_roots = components(links)
     # Then those of a bucket that are not connected yet.
-    rooted = members.join(roots, "node", "left").select("key", "node", "sim", F.coalesce("root", "node").alias("root"))
+    rooted = members.join(first_roots, "node", "left").select("key", "node", "sim", F.coalesce("root", "node").alias("root"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
     left = materialise(rooted.join(mixed, "key"))
     right = left.select(F.col("key").alias("o_key"), F.col("node").alias("b"), F.col("sim").alias("b_sim"), F.col("root").alias("b_root"))
     pairs = left.join(right, (F.col("key") == F.col("o_key")) & (F.col("node") < F.col("b")) & (F.col("root") != F.col("b_root")) & _close("sim", "b_sim"))
     more = _verified(pairs.select(F.col("node").alias("a"), "b").distinct(), texts)
-    roots = materialise(components(links.unionByName(more)))
+    roots = components(links.unionByName(more))
     # Classes alone with one occurrence need no group.
     grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = grouped.groupBy("root").agg(F.min("first").alias("kept_one"), F.sum("weight").alias("lines")).filter("lines > 1")
     repeated = materialise(grouped.select("h1", "h2", "root").join(groups, "root").select("h1", "h2", "kept_one"))
+    discard(classes, members, texts, links, more, left)
     k = F.col("kept_one")
     same = (k["id"] == F.col("id")) & (k["doc"] == F.col("doc")) & (k["line_no"] == F.col("line_no")) & (k["uid"] == F.col("uid"))
     return occurrences.join(repeated, ["h1", "h2"], "left").select(

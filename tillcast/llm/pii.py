@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.functions.lineage import materialise
+from tillcast.functions.lineage import discard, materialise
 from tillcast.llm.common import column, fresh
 
 # Given names by script and gender (detected, and put for one another), titles, syllables.
@@ -192,6 +192,7 @@ def replace_pii(df: DataFrame, key: str = KEY, text_col: str = "text", count_col
         "mention", _laid_out(F.col("kind"), F.col("mention"), F.col("drawn")).alias("new")))
     per_text = materialise(listed.join(written, "mention").groupBy(k1, k2).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias(made)))
+    discard(found, mentions, written)
     new = F.col(made)
     rebuilt = F.array_join(F.transform(F.split(F.col(text_col), MENTION, -1), lambda p, i: F.concat(p, F.coalesce(F.get(new, i), F.lit("")))), "")
     counted = [F.coalesce(F.size(new), F.lit(0)).alias(count_col)] if count_col else []
