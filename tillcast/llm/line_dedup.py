@@ -60,26 +60,26 @@ def line_hashes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("doc"),
                      F.monotonically_increasing_id().alias("uid"), text.alias("text"))
     lines = rows.select("id", "doc", "uid", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    words = lines.select("id", "doc", "uid", "line_no", line_words(F.col("line")).alias("words"))
+    words = lines.select("id", "doc", "uid", "line_no", F.transform(line_words(F.col("line")), lambda w: F.xxhash64(w)).alias("words"))
     # What is selected beside a generator is worked out for each of its rows, so the line's hashes come before it.
     own = ["id", "doc", "uid", "line_no", "h1", "h2"]
     hashed = words.select("id", "doc", "uid", "line_no", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
                           F.array_distinct("words").alias("features"))
     each = hashed.select(*own, F.posexplode("features").alias("at", "word"))
-    h = F.xxhash64("word")
-    summed = materialise(each.groupBy(*own, F.expr(f"at div {CHUNK}").alias("chunk")).agg(
+    h = F.col("word")
+    summed = each.groupBy(*own, F.expr(f"at div {CHUNK}").alias("chunk")).agg(
         F.count("*").alias("n"),
-        *[F.sum(F.shiftright(h, k).bitwiseAND(F.lit(_ones(FIELD, BLOCKS)))).alias(f"s{k}") for k in range(FIELD)]))
+        *[F.sum(F.shiftright(h, k).bitwiseAND(F.lit(_ones(FIELD, BLOCKS)))).alias(f"s{k}") for k in range(FIELD)])
     sums = [F.col(f"s{k}") for k in range(FIELD)]
-    short = summed.filter(f"chunk = 0 and n < {CHUNK}").select(*own, _majority(sums, F.col("n")).alias("sim"))
-    # Lines of more words: their chunks' fields are added up one by one.
-    counts = F.array(*[F.shiftright(F.col(f"s{b % FIELD}"), b // FIELD * FIELD).bitwiseAND(F.lit(CHUNK)) for b in range(BITS)])
-    long = (summed.filter(f"chunk > 0 or n = {CHUNK}").select(*own, "n", F.posexplode(counts).alias("bit", "c"))
+    several = (F.col("chunk") > 0) | (F.col("n") == CHUNK)
+    kept = materialise(summed.select(*own, "n", _majority(sums, F.col("n")).alias("sim"), F.when(several, F.array(*sums)).alias("sums")))
+    short = kept.filter("sums is null").select(*own, "sim")
+    # Lines of more words, few of them: their chunks' fields are added up one by one.
+    counts = F.array(*[F.shiftright(F.col("sums")[b % FIELD], b // FIELD * FIELD).bitwiseAND(F.lit(CHUNK)) for b in range(BITS)])
+    long = (kept.filter("sums is not null").select(*own, "n", F.posexplode(counts).alias("bit", "c"))
             .groupBy(*own, "bit").agg((F.sum("c") * 2 > F.sum("n")).alias("set"))
             .groupBy(*own).agg(F.bit_or(F.when(F.col("set"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).otherwise(0)).alias("sim")))
-    out = materialise(short.unionByName(long))
-    discard(summed)
-    return out
+    return short.unionByName(long)
 
 
 def _close(a: str, b: str) -> Column:
@@ -96,11 +96,21 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = pairs.join(one, "a").join(two, "b").withColumn("allowed", F.expr(allowed)).filter("abs(length(line_a) - length(line_b)) <= allowed")
     # Equal beginnings and ends do not change the distance, and most of a line is equal.
     distance = _let(_without_common(F.struct(F.col("line_a").alias("x"), F.col("line_b").alias("y")), True),
-                    lambda p: _let(_without_common(p, False), lambda q: F.when((F.length(q["x"]) == 0) | (F.length(q["y"]) == 0), 0).otherwise(
+                    lambda p: _let(_without_common(p, False), lambda q: F.when(
+                        (F.length(q["x"]) == 0) | (F.length(q["y"]) == 0) | (_word_by_word(q["x"], q["y"]) <= F.col("allowed")), 0).otherwise(
                         F.call_function("levenshtein", q["x"], q["y"], F.col("allowed")))))
     return materialise(both.filter(distance >= 0).select("a", "b"))
 
 
+def _word_by_word(x: Column, y: Column) -> Column:
+    """What it costs to turn each word into the one at its place: never less than the edit distance, and mostly
+    enough to tell that a long line with some words changed is similar."""
+    def cost(p, q):
+        both = F.greatest(F.length(F.coalesce(p, F.lit(""))), F.length(F.coalesce(q, F.lit(""))))
+        return F.when(p.isNull() | q.isNull(), both + 1).when(p == q, 0).otherwise(both)
+    return F.aggregate(F.zip_with(F.split(x, " "), F.split(y, " "), cost), F.lit(0), lambda a, b: a + b)
+
+
 def _let(value: Column, body) -> Column:
     """``body(value)`` with the value worked out once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -137,7 +147,9 @@ def line_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     keys = F.array(*[F.lit(t << 2 * FIELD) + F.shiftleft(block(i), FIELD) + block(j) for t, (i, j) in enumerate(PAIRS)])
     entries = classes.select("node", "sim", F.explode(keys).alias("key"))
-    shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    # Most shared keys are two lines that meet by chance; of two members the sum shows their distance at once.
+    shared = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("sim").alias("x")).filter(
+        (F.col("n") > 2) | (F.col("n") == 2) & (F.bit_count("x") <= DISTANCE)).select("key")
     crowded = materialise(entries.join(shared, "key"))
     # Members of a bucket with another one close to them; the search ends at the first.
     other = crowded.select(F.col("key").alias("o_key"), F.col("node").alias("o_node"), F.col("sim").alias("o_sim"))
