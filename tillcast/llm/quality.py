@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.functions.lineage import materialise
+from tillcast.functions.lineage import discard, materialise
 
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
@@ -157,7 +157,11 @@ def _fences(rows: DataFrame) -> DataFrame:
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The rows that ``judged`` keeps, with all their columns. The texts are measured where they lie, once for
     the sketches and once for the verdict, and are not moved."""
-    rows = df.select(F.struct("*").alias("row"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), measures(F.col(text_col)).alias("m"))
-    fences = materialise(_fences(rows.drop("row")))
-    return (rows.join(fences, _same_group(rows, fences, "lang", "source"), "left")
-            .filter(~_base_failed() & ~_outside()).select("row.*"))
+    group = [F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), measures(F.col(text_col)).alias("m")]
+    measured = materialise(df.select(*group))
+    fences = materialise(_fences(measured))
+    discard(measured)
+    rows = df.select(F.struct("*").alias("row"), *group)
+    # One condition over both sides of the join: a part of it below the join would measure every text again.
+    rejected = F.coalesce(_base_failed() | _outside(), F.lit(True))
+    return rows.join(fences, _same_group(rows, fences, "lang", "source"), "left").filter(~rejected).select("row.*")
