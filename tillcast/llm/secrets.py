@@ -53,9 +53,14 @@ def written(spans: list[tuple[int, str, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, kind, end in spans)
 
 
+def _exact(word: str) -> bool:
+    """Whether a match of the patterns for access ids and hexadecimal runs may lie in this word, letters alone included."""
+    return "AKIA" in word or len(word) >= 24 and bool(HEX_HINT.search(word))
+
+
 def _hinted(word: str) -> bool:
     """Whether a match of a fixed pattern may begin or lie in this word."""
-    return bool(HINT.search(word) or "AKIA" in word or len(word) >= 24 and HEX_HINT.search(word))
+    return bool(HINT.search(word)) or _exact(word)
 
 
 def shape(word: str) -> str:
@@ -65,9 +70,9 @@ def shape(word: str) -> str:
 
 
 def plain_key(word: str) -> tuple | None:
-    """What an ordinary word's features depend on; None for a word to be looked at closely."""
+    """What an ordinary word's features depend on; None for a word to be looked at closely, as any that is hinted."""
     core = word.strip(EDGE)
-    if core.isalpha() and not NEAR_KEY.search(core):
+    if core.isalpha() and not NEAR_KEY.search(core) and not _exact(core):
         case = "a" if core.islower() else "A" if core.isupper() else "Aa" if core.istitle() else "mix"
         return case, min(len(core) // 4, 6), word[-1] in EDGE
     return None
