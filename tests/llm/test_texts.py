@@ -70,6 +70,29 @@ def test_viterbi_and_stretches_find_the_best_path():
         assert got == want
 
 
+def test_stretches_reach_back_over_a_loss():
+    steps = np.zeros((3, 3))
+    steps[secrets.OUT, secrets.INSIDE] = -1e4
+    one = np.array([[0, -5, -30], [0, -20, 1], [0, -20, 10]], float)
+    rng = np.random.default_rng(1)
+    cases = [(steps, one)]
+    for _ in range(150):
+        drawn = rng.normal(size=(3, 3)) * 2
+        drawn[secrets.OUT, secrets.INSIDE] = -1e4
+        score = rng.normal(size=(7, 3)) * 5
+        score[:, secrets.BEGIN] -= rng.choice([0, 20], 7)  # a costly begin inside a run
+        score[:, secrets.OUT] += rng.choice([0, 3])
+        cases.append((drawn, score))
+    for steps, score in cases:
+        field = secrets.Field(np.zeros((secrets.FEATURES, 3)), steps)
+        gain = np.maximum(score[:, 1], score[:, 2]) - score[:, 0] + field.slack
+        got = [0] * len(score)
+        for a, b in secrets._stretches(gain):
+            got[a:b] = field.viterbi(score[a:b])
+        assert got == brute_best(field, score)
+    assert secrets._stretches(np.array([-5.0, 1, 10])) == [(0, 3)]
+
+
 def secret_docs(n):
     draw = random.Random(4)
     words = [f"{a}{b}" for a in ("ba", "de", "ki", "lo") for b in ("n", "rt", "sa")]

@@ -124,8 +124,9 @@ class Field:
 
     def __init__(self, weights: np.ndarray, steps: np.ndarray):
         self.weights, self.steps = weights, steps
-        # No path through other tags than outside gains more than this for a word, besides its own score.
-        self.slack = 2 * max(0.0, float(steps[steps > -1e3].max() - steps[OUT, OUT]))
+        # No path through other tags than outside gains more than this for a word, besides its own score, over the
+        # one that is outside from there on: a step more than words is taken, from whatever tag.
+        self.slack = float(2 * steps[steps > -1e3].max() - steps[OUT, OUT] - steps[:, OUT].min())
 
     @staticmethod
     def train(windows: list[tuple[list[list[int]], list[int]]]) -> Field:
@@ -273,26 +274,21 @@ class Tagger:
 
 
 def _stretches(gain: np.ndarray) -> list[tuple[int, int]]:
-    """Ranges outside of which the best path surely stays outside. A run of other tags whose gains add up
-    to less than nothing at either end would be better without that end, so it is reached from a word
-    with a gain by sums that never fall below nothing."""
-    out: list[list[int]] = []
-    for at in np.flatnonzero(gain >= 0).tolist():
-        if out and at < out[-1][1]:
+    """Ranges outside of which the best path surely stays outside. The end of a run of other tags can always be put
+    outside instead, so from the last word of a best run the gains add up, to the left, to no less than nothing at
+    each word of it. (Not so its beginning: what is left might have to begin where that costs much.) The ranges are
+    all words so reached from any word; the highest sum that reaches a word is carried on."""
+    out: list[tuple[int, int]] = []
+    first = len(gain)
+    for at in np.flatnonzero(gain >= 0)[::-1].tolist():
+        if at >= first:
             continue
-        first, total = at, gain[at]
-        while first > 0 and total + gain[first - 1] >= 0:
+        first, end, total = at, at + 1, gain[at]
+        while first > 0 and (more := max(total, 0.0) + gain[first - 1]) >= 0:
             first -= 1
-            total += gain[first]
-        end, total = at + 1, gain[at]
-        while end < len(gain) and total + gain[end] >= 0:
-            total += gain[end]
-            end += 1
-        if out and first <= out[-1][1]:
-            out[-1][1] = max(end, out[-1][1])
-        else:
-            out.append([first, end])
-    return [(a, b) for a, b in out]
+            total = more
+        out.append((first, end))
+    return out[::-1]
 
 
 def training_windows(text: str, file: list[str], seed: int) -> list[tuple[list[list[int]], list[int]]]:
