@@ -327,6 +327,31 @@ def test_surrogates_keep_kind_layout_and_coreference(spark):
     assert "CC BY 4.0. Version 2.0." in two
 
 
+WHOLE = [  # a mention, and what of it must go; each is found in a text of its own
+    ("+4915112345678", "15112345678"), ("0151 12345678", "12345678"), ("030 1234567", "1234567"), ("030/1234567", "1234567"), ("5551234567", "5551234567"),
+    ("+33 1 23 45 67 89", "23 45 67 89"), ("01 23 45 67 89", "23 45 67 89"), ("+34 612 34 56 78", "612 34 56 78"), ("+44 20 79460958", "79460958"),
+    ("+49 (0)30 123456", "123456"), ("2001:db8:85a3::8a2e:370:7334", "8a2e:370:7334"), ("FE80:0:0:0:202:B3FF:FE1E:8329", "B3FF:FE1E"), ("fdab::cdef", "fdab"),
+    ("Anna Müller-Schmidt", "Schmidt"), ("John O'Brien", "Brien"), ("John O’Brien", "Brien"), ("JOHN SMITH", "SMITH"), ("ANNA MÜLLER-SCHMIDT", "SCHMIDT"),
+    ("DR. O'BRIEN", "BRIEN"), ("Anna von der Leyen", "Leyen"), ("John F. Kennedy", "Kennedy"), ("Hans-Peter Maier", "Maier"), ("ΓΙΩΡΓΟΣ ΠΑΠΑΣ", "ΠΑΠΑΣ"), ("ИВАН ПЕТРОВ", "ПЕТРОВ"),
+]
+
+
+def test_whole_mentions_of_many_forms(spark):
+    same = ["at 12:34:56 on 2024-03-05, 1700000000 s, 3.5415926535", "std::add and a::b, 00:11:22:33:44:55", "p. 1234, 1 000 000, v1.2.3, Mariannen Platz"]
+    texts = [f"{form}" for form, _ in WHOLE] + [f"see {form}, then go on" for form, _ in WHOLE] + same
+    rows = list(enumerate(texts))
+    out = {r.doc_id: r for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), count_col="n").collect()}
+    left = [texts[k] for k in range(2 * len(WHOLE)) if WHOLE[k % len(WHOLE)][1] in out[k].text or not out[k].n]
+    assert not left
+    assert [out[k].text for k in range(2 * len(WHOLE), len(texts))] == same
+    for k in range(len(WHOLE)):  # the same replacement in all texts, nothing else changed
+        assert out[k + len(WHOLE)].text == f"see {out[k].text}, then go on"
+    by = {form: out[k].text for k, (form, _) in enumerate(WHOLE)}
+    digits = {form: re.sub(r"\D", "", by[form]) for form in ("+33 1 23 45 67 89", "01 23 45 67 89", "+4915112345678", "0151 12345678")}
+    assert digits["+33 1 23 45 67 89"][2:] == digits["01 23 45 67 89"][1:] and digits["+4915112345678"][2:] == digits["0151 12345678"][1:]
+    assert by["ANNA MÜLLER-SCHMIDT"] == by["Anna Müller-Schmidt"].upper()
+
+
 def test_collisions_are_drawn_again(spark, monkeypatch):
     # A draw with four outcomes: with three entities, some of which are outcomes themselves.
     from pyspark.sql import functions as F
