@@ -225,3 +225,9 @@ def test_weeks_conserve_days(spark):
     keys = weeks.select(*shared.DENSE, "week_start")
     assert keys.count() == keys.distinct().count()
     assert sales.calendar_weeks(src.calendar()).where("n_days > 7").count() == 0
+
+
+def test_registered_models_have_the_full_sizes():
+    from tillcast.plans import model
+    assert (model.WEEKLY, model.PROMO, model.ERRORS) == (forecast.WEEKLY, forecast.PROMO, forecast.ERRORS)
+    assert (model.WEEKLY.iterations, model.WEEKLY.step, model.PROMO.iterations, model.ERRORS.iterations) == (10_000, 0.03, 1_000, 100)

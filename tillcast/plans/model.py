@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import week_key, week_start
@@ -26,12 +24,8 @@ GROUPS = {
     "time": ["mean_4", "mean_12", "mean_52", "month", "bulk_ratio"],
     "promo": ["price_ratio", "list_price", "slot", "month", "business_days"],
 }
-#: Sizes of the registered models. The operators' defaults (forecast.WEEKLY, PROMO, ERRORS) hold the full sizes,
-#: up to 10,000 trees for each of ten horizons and two folds; they take hours here, so the queries stop at ten
-#: trees and learn faster. Depth, gain, column sampling and early stopping are those of the defaults.
-WEEKLY = replace(forecast.WEEKLY, iterations=10, step=0.3)
-PROMO = replace(forecast.PROMO, iterations=10)
-ERRORS = replace(forecast.ERRORS, iterations=10)
+#: The registered models have the operators' full sizes; held-out rows stop them early.
+WEEKLY, PROMO, ERRORS = forecast.WEEKLY, forecast.PROMO, forecast.ERRORS
 
 
 def weekly_sf(src):
