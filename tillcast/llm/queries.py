@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, chosen_path, kneser_ney, lattice, line_dedup, packing, pii, piece_counts, quality, secrets
+from tillcast.llm import (
+    bpe, chosen_path, kneser_ney, lattice, line_dedup, packing, periodic, pii, piece_counts, quality, secrets, whitening)
 from tillcast.llm.common import documents
 from tillcast.llm.sql import SQL  # noqa: F401
 
@@ -55,6 +56,15 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.jaccard_join(documents(spark, folder))
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.run_digests(periodic.periodic_runs(periodic.repeat_tails(documents(spark, folder))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_bpe_round_trip, op3_token_counts, op4_curve_packing, op5_secret_scan, op6_lm_scores,
-    op7_embedding_near_dedup, op8_quality_rules, op9_pii_surrogates, op10_ngram_jaccard_join)}
+    op7_embedding_near_dedup, op8_quality_rules, op9_pii_surrogates, op10_ngram_jaccard_join, op12_embedding_whitening,
+    op13_periodic_runs)}
