@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm import (
-    bpe, chosen_path, kneser_ney, lattice, line_dedup, packing, periodic, pii, piece_counts, quality, secrets, whitening)
+    bpe, chosen_path, kneser_ney, lattice, line_dedup, packing, periodic, pii, piece_counts, quality, secrets, toxicity,
+    whitening)
 from tillcast.llm.common import documents
 from tillcast.llm.sql import SQL  # noqa: F401
 
@@ -56,6 +57,14 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.jaccard_join(documents(spark, folder))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Nothing is learnt from rows with remainder 0, neither from their labels nor from their texts."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    classifier = toxicity.train(docs.filter(~held_out), labels.filter(~held_out))
+    return toxicity.scores(docs, classifier).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -66,5 +75,5 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_bpe_round_trip, op3_token_counts, op4_curve_packing, op5_secret_scan, op6_lm_scores,
-    op7_embedding_near_dedup, op8_quality_rules, op9_pii_surrogates, op10_ngram_jaccard_join, op12_embedding_whitening,
+    op7_embedding_near_dedup, op8_quality_rules, op9_pii_surrogates, op10_ngram_jaccard_join, op11_toxicity, op12_embedding_whitening,
     op13_periodic_runs)}

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions.lineage import materialise
-from tillcast.llm.common import small_batches
+from tillcast.llm.common import added_up, small_batches
 
 SCALE, OFFSET = 64, 1_000_000
 COMPONENTS = 16
@@ -28,7 +28,6 @@ NODES = 8  # of the quadrature on the upper half circle
 PER_INTERVAL = 6  # eigenvalues of an interval, if they can be parted
 ROUNDS = 30
 LOW_BITS = 26
-ADDERS = 8  # tasks that add up the partial sums of all others
 
 
 class Moments(NamedTuple):
@@ -67,36 +66,8 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _partials(fit: DataFrame, dim: int, of: Callable[[np.ndarray], list[np.ndarray]], kind: type) -> list[np.ndarray]:
-    """Sums of ``of(block)``, arrays of ``kind``, over all blocks. Each task adds up its own, a few tasks add those, and the driver
-    adds the last ``ADDERS``: what moves is some numbers for each pair of dimensions and task."""
-    def added(total: list[np.ndarray] | None, found: list[np.ndarray]) -> list[np.ndarray]:
-        return found if total is None else [a + b for a, b in zip(total, found)]
-
-    def packed(total: list[np.ndarray] | None) -> Iterator[pa.RecordBatch]:
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([[t.tobytes() for t in total]], pa.list_(pa.binary()))], names=["parts"])
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            if batch.num_rows:
-                total = added(total, [t.ravel() for t in of(_matrix(batch.column(0), dim))])
-        yield from packed(total)
-
-    def unpacked(row: list[bytes]) -> list[np.ndarray]:
-        return [np.frombuffer(p, kind) for p in row]
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for row in batch.column(0).to_pylist():
-                total = added(total, unpacked(row))
-        yield from packed(total)
-
-    schema, total = "parts array<binary>", None
-    for row in fit.mapInArrow(blocks, schema).repartition(ADDERS).mapInArrow(merged, schema).collect():
-        total = added(total, unpacked(row["parts"]))
-    return total or []
+    """Sums of ``of(block)`` over all blocks."""
+    return added_up(fit, lambda batch: of(_matrix(batch.column(0), dim)), kind)
 
 
 def moments(fit: DataFrame, dim: int) -> Moments:
