@@ -34,14 +34,16 @@ LEXICON = (
     "dumb dumm dumme dummkopf débile escoria estúpido estúpida fool freak garbage gilipollas hate idiot idiota idiote idioten imbecile imbécil "
     "imbécile inútil jerk kill lächerlich loser merde mierda minable moron nul ordure pathetic patético payaso pig pute rat salaud scheisse "
     "scheiße schwein scum shit stupid stupide stupidity trash trottel ugly versager worthless disgusting").split()
-#: Spellings that may go with insults: name and pattern of a piece of text without white space.
+#: Spellings that may go with insults: name and what is looked for in a piece of text without white space.
 SPELLINGS = (
-    ("shouted", re.compile(r"[^\W\d_a-z]{4,}[!?.,;]*", re.ASCII)),
-    ("exclaimed", re.compile(r".*!!+")),
-    ("stretched", re.compile(r".*([^\W\d_])\1{3,}.*")),
-    ("censored", re.compile(r"[^\W\d_]+[*#$@%]+[^\W\d_]+.*")),
-    ("digits", re.compile(r"[^\W\d_]+[0134578]+[^\W\d_]+")),
+    ("stretched", re.compile(r"([^\W\d_])\1{3}")),
+    ("shouted", re.compile(r"\A[A-Z]{4,}[!?.,;]*\Z")),
+    ("exclaimed", re.compile(r"!!")),
+    ("censored", re.compile(r"\A[^\W\d_]+[*#$@%]+[^\W\d_]")),
+    ("digits", re.compile(r"\A[^\W\d_]+[0134578]+[^\W\d_]+\Z")),
 )
+STRETCHED = SPELLINGS[:1]
+ENDS = "!?.,;:'\"()"  # what mostly stands around a word
 SAMPLE_ROWS = 10_000  # labelled rows of each class
 LENGTHS = range(3, 9)  # letters of a beginning
 LEVELS = (1, 2, 3, 4, 6)  # how often a word or beginning is found, at least
@@ -56,15 +58,27 @@ SHINGLE = 5  # words of a shingle
 PIECE = re.compile(r"[^\W\d_]+")
 
 
-def marks(piece: bytes, lengths: range = LENGTHS) -> list[str]:
+def words_of(text: str) -> list[str]:
+    low = text.lower()
+    word = low.strip(ENDS)
+    return [word] if word.isalpha() else PIECE.findall(low)
+
+
+def spellings(text: str) -> list[str]:
+    word = text.strip(ENDS)
+    plain = word.isalpha() and not word.isupper() and "!!" not in text  # as most are: then there is but one to look for
+    return ["~" + name for name, pattern in (STRETCHED if plain else SPELLINGS) if pattern.search(text)]
+
+
+def marks(piece: bytes) -> list[str]:
     """All that a piece of text without white space could be found by: ``=word``, ``^beginning``, ``~spelling``; a name for
     each time it is there."""
     text = piece.decode("utf-8", "replace")
     out = []
-    for word in PIECE.findall(text.lower()):
+    for word in words_of(text):
         out.append("=" + word)
-        out += ["^" + word[:k] for k in lengths if len(word) >= k]
-    return out + ["~" + name for name, pattern in SPELLINGS if pattern.fullmatch(text)]
+        out += ["^" + word[:k] for k in LENGTHS if len(word) >= k]
+    return out + spellings(text)
 
 
 def feature(mark: str, level: int) -> str:
@@ -90,9 +104,12 @@ class _Finder(dict):
                 self.levels.append([])
             self.levels[self.number[mark]].append((int(level), k))
         self.words = self.number.get("|")
+        self.heads = {m[1:1 + LENGTHS[0]] for m in self.number if m[0] in "=^"}  # most words begin like none of the marks
 
     def __missing__(self, piece: bytes) -> tuple[int, ...]:
-        found = tuple(self.number[m] for m in marks(piece) if m in self.number)
+        text = piece.decode("utf-8", "replace")
+        hopeful = any(word[:LENGTHS[0]] in self.heads for word in words_of(text))
+        found = tuple(self.number[m] for m in (marks(piece) if hopeful else spellings(text)) if m in self.number)
         if len(piece) <= LONGEST:
             if len(self) >= CACHE_WORDS:
                 self.clear()
