@@ -220,7 +220,7 @@ def test_weeks_conserve_days(spark):
     from tillcast.plans import shared
     from tillcast.sources.retail import RetailInputs
     src = RetailInputs(spark, "/root/testdata/sf0.001")
-    days, weeks = shared.dense_promo_kept(src), shared.dense_weeks(src, shared.dense_promo_kept(src))
+    days, weeks = shared.dense_promo(src), shared.dense_weeks(src)
     assert days.agg(F.sum("demand")).first()[0] == weeks.agg(F.sum("qty")).first()[0]
     keys = weeks.select(*shared.DENSE, "week_start")
     assert keys.count() == keys.distinct().count()

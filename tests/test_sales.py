@@ -1,5 +1,7 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillcast.operators import bulk, features, promo_join, sales, scope
@@ -199,6 +201,66 @@ def test_allocation_rule():
     assert bulk.allocate([(0, 5.0)], [(35, 1.0)], 35) == []
 
 
+@pytest.mark.parametrize("strict", [False, True])
+def test_shipment_match_equals_the_walk(spark, strict):
+    """Random sales and shipments of many keys, matched in the plan as ``allocate`` does one after another."""
+    draw, day0 = random.Random(11), D(2019, 1, 1)
+    rows, want = [], set()
+    for k in range(60):
+        span = draw.choice([40, 200, 900])
+        sold = {draw.randrange(span): (g, float(draw.randint(1, 40))) for g in range(draw.randint(1, 14))}
+        ships = {draw.randrange(span): float(draw.choice([0, 5, 30, 80])) for _ in range(draw.randint(1, 9))}
+        pairs = [(s, t) for s in sold for t in ships if abs(s - t) <= bulk.BAND_DAYS]
+        rows += [(f"k{k}", k % 7, day0 + dt.timedelta(s), *sold[s], day0 + dt.timedelta(t), ships[t]) for s, t in pairs]
+        a, b = sorted({t for _, t in pairs}), sorted({s for s, _ in pairs})
+        for i, j in bulk.allocate([(t, ships[t]) for t in a], [(s, sold[s][1]) for s in b], bulk.BAND_DAYS, strict):
+            want.add((f"k{k}", k % 7, day0 + dt.timedelta(b[j]), *sold[b[j]], day0 + dt.timedelta(a[i]), ships[a[i]]))
+    draw.shuffle(rows)
+    cand = spark.createDataFrame(rows, "item_id string, store_id int, sale_date date, group_id int, qty double, delivery_date date, delivery_qty double")
+    out = bulk.shipment_match(cand, ["item_id", "store_id"], strict)
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 40
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and "Python" not in plan
+
+
+def test_dense_events_equal_the_joined_frames(spark):
+    """The series laid out from events against the same frames exploded and joined, on random series with negative sales."""
+    draw, day0 = random.Random(5), D(2019, 1, 1)
+    lines, stock, empty, carried = [], [], [], []
+    for k in "abc":
+        days = sorted(draw.sample(range(300), 60))
+        for d in days:
+            for _ in range(draw.randint(1, 2)):
+                lines.append((k, 7, day0 + dt.timedelta(d), float(draw.choice([-3, 0, 1, 4, 9, 60])), 2.5, draw.choice([0.0, 0.5]), 0.0, 0.25, draw.random() < 0.8, draw.random() < 0.6))
+        gone = {d for d in range(days[0], days[-1] + 1) if draw.random() < 0.15}
+        empty += [(k, 7, day0 + dt.timedelta(d)) for d in gone]
+        stock += [(k, day0 + dt.timedelta(d), 0.0 if d in gone else 1.0, "N") for d in range(days[0], days[-1] + 1)]
+    lines = spark.createDataFrame(lines, "k string, city int, sale_date date, qty double, gross double, coupon_disc double, promo_disc double, member_disc double, sold boolean, on boolean")
+    facts = sales.day_facts(lines, ["k", "city"], F.col("sold"), F.col("on"))
+    events = sales.dense_events(facts, spark.createDataFrame(empty, "k string, city int, sale_date date"), ["k"], ["city"])
+    got = sales.dense_days(events, ["k"], ["city"])
+    assort = lines.where("on").select("k", "sale_date", F.lit("N").alias("stopped"))
+    sold = sales.daily_sales(lines.where("sold"), ["k"])
+    dense = sales.full_date_sales(spark.createDataFrame(stock, "k string, sale_date date, balance double, stopped string"), assort, sold, ["k"])
+    medians = sales.oos_median(dense, ["k"])
+    want = sales.daily_demand(dense, medians, sold, ["k"])
+    columns = want.columns
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
+    assert medians.count() > 20 and medians.where("median_qty <> 0").count() > 0
+    assert sorted(map(str, sales.event_medians(events, ["k"]).select(medians.columns).collect())) == sorted(map(str, medians.collect()))
+    assert got.select("k", "sale_date").distinct().count() == got.count()
+
+
+def test_place_days_equal_the_joins(make, rows):
+    plan = make(PLAN, [("a", 1, "2019-01-03", "2019-01-03", 9.0), ("a", 3, "2019-01-10", "2019-01-12", 8.0), ("a", 3, "2019-01-10", "2019-01-12", 7.0),
+                       ("a", 2, "2019-01-10", "2019-01-20", 7.0), ("z", 4, "2019-01-01", "2019-01-09", 6.0)])
+    daily = make("k string, sale_date date", [(k, f"2019-01-{d:02d}") for k in ("a", "z", "q") for d in range(1, 26)])
+    want = promo_join.daily_promo(daily, plan, ["k"])
+    got = promo_join.daily_promo_by_place(daily, promo_join.place_days(plan, ["k"], D(2019, 1, 1)), ["k"])
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+
+
 def test_shipment_match_and_removal(make, rows):
     groups = make("item_id string, store_id int, sale_date date, group_id int, qty double, abnormal_flag int", [
         ("i", 1, "2019-01-10", 1, 40.0, 1), ("i", 1, "2019-01-20", 2, 90.0, 1), ("i", 1, "2019-06-01", 3, 9.0, 1),

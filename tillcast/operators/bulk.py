@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,18 +69,38 @@ def bulk_threshold_promo(lines: DataFrame, keys: list[str]) -> DataFrame:
     return of_branch(quantity_thresholds(lines.where(on_promo_or_discount()), keys), "promo")
 
 
+def _group_sums() -> list[Column]:
+    """What a purchase group shows of its lines with a positive quantity."""
+    def c(name: str) -> Column:
+        return F.when(F.col("qty") > 0, F.col(name))
+    return [F.max(c("sub_family")).alias("sub_family"), F.max(c("ticket_id")).alias("ticket_id"), F.max(c("promo_id")).alias("promo_id"),
+            total(c("member_disc")).alias("member_disc"), total(c("promo_disc")).alias("promo_disc"),
+            total(c("coupon_disc")).alias("coupon_disc"), F.sum(c("qty")).alias("qty")]
+
+
+def group_days(lines: DataFrame, keys: list[str], gap_days: int = 7) -> DataFrame:
+    """``basket_groups`` without the lines: one row per key and day with its group and the sums of its positive lines
+    (``qty`` is NULL without one). Lines are summed before anything is ordered, and never joined back."""
+    days = lines.groupBy(*keys, "sale_date").agg(*_group_sums())
+    w = Window.partitionBy(*keys).orderBy("sale_date")
+    opens = F.datediff("sale_date", F.lag("sale_date").over(w))
+    return (days.withColumn("_new", F.when(opens.isNull() | (opens >= gap_days), 1).otherwise(0))
+            .withColumn("group_id", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_new"))
+
+
 def abnormal_groups(lines: DataFrame, regular: DataFrame, promo: DataFrame, payments: DataFrame,
                     keys: list[str]) -> DataFrame:
-    """Purchase groups per key and day with an abnormal flag.
+    """Purchase groups per key and day with an abnormal flag, from lines with their group."""
+    groups = lines.where(F.col("qty") > 0).groupBy(*keys, "sale_date", "group_id").agg(*_group_sums())
+    return flag_groups(groups, regular, promo, payments)
+
+
+def flag_groups(groups: DataFrame, regular: DataFrame, promo: DataFrame, payments: DataFrame) -> DataFrame:
+    """Groups (with their sums) with an abnormal flag.
 
     Both thresholds are attached in one pass and picked by branch, instead of splitting the
     groups in two and uniting them again. Abnormal: quantity above factor * log10(p90 + 1),
     or paid by cheque, or a quantity that is always too large."""
-    groups = lines.where(F.col("qty") > 0).groupBy(*keys, "sale_date", "group_id").agg(
-        F.max("sub_family").alias("sub_family"), F.max("ticket_id").alias("ticket_id"),
-        F.max("promo_id").alias("promo_id"), total("member_disc").alias("member_disc"),
-        total("promo_disc").alias("promo_disc"), total("coupon_disc").alias("coupon_disc"),
-        F.sum("qty").alias("qty"))
     cheques = payments.where(F.col("media_type") == CHEQUE).select("ticket_id").distinct().withColumn("_cheque", F.lit(1))
     branch = on_promo_or_discount()
     limit = F.when(branch, PROMO_FACTOR).otherwise(REGULAR_FACTOR) * F.log10(F.col("p90") + 1)
@@ -155,29 +174,50 @@ def allocate(shipped: list[tuple[int, float]], sold: list[tuple[int, float]], ba
 
 
 def shipment_match(candidates: DataFrame, keys: list[str], strict_block: bool = False) -> DataFrame:
-    """Sales groups matched to shipments, walking both in date order per key.
+    """Sales groups matched to shipments as ``allocate`` does it, walking both in date order per key.
 
-    The two inputs are reduced to one row per key and date before grouping: a group holds at
-    most one shipment and one sale per calendar day, however many lines are behind them."""
+    The two inputs are reduced to one row per key and date, and a key's dates are cut into stretches wherever two neighbours
+    are ``BAND_DAYS`` or more apart: nothing is matched across such a gap (but blocked across it, so ``strict_block`` does not cut). A stretch, at most one sale and one shipment a day,
+    is folded over in one expression: the state is the shipment in use and what is left of it."""
     sold = candidates.groupBy(*keys, F.col("sale_date").alias("date")).agg(
         F.max_by(F.struct("group_id", "qty"), F.struct("qty", "group_id")).alias("_s")).select(
-        *keys, "date", "_s.group_id", "_s.qty")
-    shipped = candidates.groupBy(*keys, F.col("delivery_date").alias("date")).agg(F.max("delivery_qty").alias("qty"))
-    events = (sold.unionByName(shipped, allowMissingColumns=True)
-              .withColumns({"n": day_number("date"), "is_sale": F.col("group_id").isNotNull()}))
-    out = [*keys, "sale_date", "group_id", "qty", "delivery_date", "delivery_qty"]
+        *keys, "date", "_s.group_id", "_s.qty", F.lit(True).alias("is_sale"))
+    shipped = candidates.groupBy(*keys, F.col("delivery_date").alias("date")).agg(F.max("delivery_qty").alias("qty")).withColumn("is_sale", F.lit(False))
+    in_order = Window.partitionBy(*keys).orderBy("date", "is_sale")
+    events = sold.unionByName(shipped, allowMissingColumns=True).withColumn("n", day_number("date"))
+    gap = F.col("n") - F.lag("n").over(in_order)
+    cut = (events.withColumn("_new", F.lit(0) if strict_block else F.when(gap >= BAND_DAYS, 1).otherwise(0))
+           .withColumn("_stretch", F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0))))
+    listed = cut.groupBy(*keys, "_stretch").agg(
+        F.sort_array(F.collect_list(F.when(F.col("is_sale"), F.struct("n", F.col("date").alias("sale_date"), "group_id", "qty")))).alias("sales"),
+        F.sort_array(F.collect_list(F.when(~F.col("is_sale"), F.struct("n", F.col("date").alias("delivery_date"), F.col("qty").alias("delivery_qty"))))).alias("ships"))
+    ships = F.transform("ships", lambda x, i: F.struct(i.alias("at"), x["n"].alias("n"), x["delivery_date"].alias("delivery_date"), x["delivery_qty"].alias("delivery_qty")))
     types = dict(candidates.dtypes)
+    out = ["sale_date", "group_id", "qty", "delivery_date", "delivery_qty"]
+    pair = "struct<" + ", ".join(f"{c}: {types[c]}" for c in out) + ">"
+    state = f"struct<at: int, left: double, pairs: array<{pair}>>"
+
+    def step(acc, sale):
+        start = F.when(acc["left"] > 0, acc["at"]).otherwise(acc["at"] + 1)
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("n")
-        sales, ships = rows[rows["is_sale"]], rows[~rows["is_sale"]]
-        pairs = allocate(list(zip(ships["n"], ships["qty"])), list(zip(sales["n"], sales["qty"])),
-                         BAND_DAYS, strict_block)
-        left = sales.iloc[[j for _, j in pairs]].reset_index(drop=True).rename(columns={"date": "sale_date"})
-        right = ships.iloc[[i for i, _ in pairs]].reset_index(drop=True)
-        return left.assign(delivery_date=right["date"], delivery_qty=right["qty"])[out]
+        def open_(s):
+            """Not used up, and the sale is not out of its reach; with ``strict_block`` not before it either."""
+            near = s["n"] > sale["n"] - BAND_DAYS
+            return (s["at"] >= start) & (s["delivery_qty"] > 0) & (near & (s["n"] < sale["n"] + BAND_DAYS) if strict_block else near)
 
-    return events.groupBy(*keys).applyInPandas(walk, ", ".join(f"{c} {types[c]}" for c in out))
+        def taken(found):
+            left = F.when((found["at"] == acc["at"]) & (acc["left"] > 0), acc["left"]).otherwise(found["delivery_qty"])
+            matched = F.concat(acc["pairs"], F.array(F.struct(
+                sale["sale_date"], sale["group_id"], sale["qty"], found["delivery_date"], found["delivery_qty"]).cast(pair)))
+            return (F.when(found.isNull(), F.struct(F.lit(1 << 30).alias("at"), F.lit(0.0).alias("left"), acc["pairs"].alias("pairs")).cast(state))
+                    .when(found["n"] - sale["n"] >= BAND_DAYS, F.struct(found["at"].alias("at"), left.alias("left"), acc["pairs"].alias("pairs")).cast(state))
+                    .otherwise(F.struct(found["at"].alias("at"), F.greatest(left - sale["qty"], F.lit(0.0)).alias("left"), matched.alias("pairs")).cast(state)))
+        return F.element_at(F.transform(F.array(F.get(F.filter("ships_", open_), 0)), taken), 1)
+
+    first = F.struct(F.lit(0).alias("at"), F.col("ships_")[0]["delivery_qty"].alias("left"), F.array().cast(f"array<{pair}>").alias("pairs")).cast(state)
+    both = listed.where((F.size("sales") > 0) & (F.size("ships") > 0)).select(*keys, "sales", ships.alias("ships_"))
+    matched = both.select(*keys, F.explode(F.aggregate("sales", first, step)["pairs"]).alias("_p"))
+    return matched.select(*keys, *[F.col("_p")[c].alias(c) for c in out])
 
 
 def bulk_share(links: DataFrame, keys: list[str]) -> DataFrame:
@@ -190,12 +230,13 @@ def bulk_share(links: DataFrame, keys: list[str]) -> DataFrame:
             .orderBy(F.desc("percent_flagged"), *keys))
 
 
+def planned_groups(links: DataFrame, shares: DataFrame, keys: list[str], limit_percent: float = TOO_FLAGGED_PERCENT) -> DataFrame:
+    """The linked groups, except for keys whose linked share is beyond the limit: there the links are taken as wrong."""
+    planned = links.select(*keys, "group_id").distinct()
+    return planned.join(shares.where(F.col("percent_flagged") > limit_percent).select(*keys), keys, "left_anti")
+
+
 def demand_without_bulk(lines: DataFrame, links: DataFrame, shares: DataFrame, keys: list[str],
                         limit_percent: float = TOO_FLAGGED_PERCENT) -> DataFrame:
-    """Lines that are not part of a planned bulk delivery.
-
-    Lines of linked groups are planned bulk, except for keys whose linked share is beyond the
-    limit: there the links are taken as wrong and all lines stay."""
-    planned = links.select(*keys, "group_id").distinct()
-    trusted = planned.join(shares.where(F.col("percent_flagged") > limit_percent).select(*keys), keys, "left_anti")
-    return lines.join(trusted, [*keys, "group_id"], "left_anti")
+    """Lines that are not part of a planned bulk delivery, by their group."""
+    return lines.join(planned_groups(links, shares, keys, limit_percent), [*keys, "group_id"], "left_anti")

@@ -64,3 +64,24 @@ def daily_promo(daily: DataFrame, plan: DataFrame, keys: list[str], day: str = "
     upcoming = next_promo(daily, slim, keys, day=day).select(
         *keys, day, F.col("promo_id").alias("next_promo_id"), F.col("promo_start").alias("next_promo_start"))
     return current_promo(daily, slim, keys, [], day).join(upcoming, [*keys, day], "left")
+
+
+def place_days(plan: DataFrame, keys: list[str], first_day, day: str = "sale_date") -> DataFrame:
+    """For each day of a place from ``first_day`` on: the promotion running and the first one to start after it.
+
+    The next promotion is laid out from the plan itself, from one start to the day before the following one, so the
+    days of sales are not needed. Of promotions that start together the smallest id is the next one; a day in several
+    promotions has a row for each."""
+    slim = plan.select(*keys, "promo_id", "promo_start", "promo_end").distinct()
+    running = explode_days(slim, "promo_start", "promo_end", day)
+    starts = slim.groupBy(*keys, "promo_start").agg(F.min("promo_id").alias("promo_id"))
+    earlier = F.lag("promo_start").over(Window.partitionBy(*keys).orderBy("promo_start"))
+    ahead = starts.select(*keys, F.col("promo_id").alias("next_promo_id"), F.col("promo_start").alias("next_promo_start"),
+                          F.greatest(F.coalesce(earlier, F.lit(first_day)), F.lit(first_day)).alias("_from"), F.date_sub("promo_start", 1).alias("_to"))
+    upcoming = explode_days(ahead, "_from", "_to", day).drop("_from", "_to")
+    return running.join(upcoming, [*keys, day], "full")
+
+
+def daily_promo_by_place(daily: DataFrame, days: DataFrame, keys: list[str], day: str = "sale_date") -> DataFrame:
+    """Daily rows with the current and the next promotion of their place, from ``place_days``."""
+    return daily.join(days, [*keys, day], "left").withColumn("on_promo", F.when(F.col("promo_start").isNotNull(), 1).otherwise(0))

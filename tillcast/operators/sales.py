@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import day_number, month_start, week_key, week_start
-from tillcast.functions.numbers import exact_mean, flag, mean_money, total
+from tillcast.functions.numbers import UNITS, flag, mean_money, ratio, total
+from tillcast.functions.runs import event_runs, lay_out, padded_median
 
 
 def enrich_sales(lines: DataFrame, items: DataFrame, stores: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -29,20 +30,85 @@ def full_item_list(items: DataFrame, rows: DataFrame, keys: list[str]) -> DataFr
     return items.select(*keys).distinct().join(rows, keys, "left")
 
 
+def _measures(bulk_qty: float, of: Column | None = None) -> list[Column]:
+    """The daily sums of sales lines, of those with ``of`` if it is given."""
+    def c(name: str) -> Column:
+        return F.col(name) if of is None else F.when(of, F.col(name))
+    return [F.sum(c("qty")).alias("qty"), total(c("gross")).alias("gross"),
+            F.sum(F.when(F.col("qty") > 0, c("qty"))).alias("positive_qty"),
+            total(c("coupon_disc")).alias("coupon_disc"), total(c("promo_disc")).alias("promo_disc"),
+            total(c("member_disc")).alias("member_disc"),
+            F.min(c("coupon_disc")).alias("coupon_min"),
+            F.max(c("coupon_disc")).alias("coupon_max"),
+            mean_money(c("coupon_disc")).alias("coupon_mean"),
+            F.round(F.stddev_pop(c("coupon_disc")), 6).alias("coupon_std"),
+            F.max(flag(c("qty") >= bulk_qty)).alias("any_bulk")]
+
+
 def daily_sales(lines: DataFrame, keys: list[str], bulk_qty: float = 50) -> DataFrame:
     """One row per key and day: sums, spread of the coupon discount, any-bulk flag, and the
     quantity of positive lines only (the base for baselines)."""
-    return lines.groupBy(*keys, "sale_date").agg(
-        F.sum("qty").alias("qty"), total("gross").alias("gross"),
-        F.sum(F.when(F.col("qty") > 0, F.col("qty"))).alias("positive_qty"),
-        total("coupon_disc").alias("coupon_disc"), total("promo_disc").alias("promo_disc"),
-        total("member_disc").alias("member_disc"),
-        F.min("coupon_disc").alias("coupon_min"),
-        F.max("coupon_disc").alias("coupon_max"),
-        mean_money("coupon_disc").alias("coupon_mean"),
-        F.round(F.stddev_pop("coupon_disc"), 6).alias("coupon_std"),
-        F.max(flag(F.col("qty") >= bulk_qty)).alias("any_bulk"))
+    return lines.groupBy(*keys, "sale_date").agg(*_measures(bulk_qty))
+
+
+# ---- dense daily series, kept as events
+
+def day_facts(lines: DataFrame, keys: list[str], sold: Column, carried: Column, bulk_qty: float = 50) -> DataFrame:
+    """One row per key and day with any line: the daily sums of the lines that count as ``sold`` (NULL without one) and
+    whether a line shows that the assortment carries the item (``carried``)."""
+    return lines.groupBy(*keys, "sale_date").agg(*_measures(bulk_qty, sold), F.max(flag(carried)).alias("carried"))
+
+
+def series_spans(facts: DataFrame, keys: list[str]) -> DataFrame:
+    return facts.groupBy(*keys).agg(F.min("sale_date").alias("first_day"), F.max("sale_date").alias("last_day"))
+
+
+def dense_events(facts: DataFrame, empty_days: DataFrame, keys: list[str], also: list[str] = (), days: int = 90) -> DataFrame:
+    """The days of a series on which something happens, as runs: days with lines and days out of stock. Each out-of-stock
+    day that is carried has the median quantity of the same weekday over 0..``days`` days back.
+
+    The days between have no sale and hold stock, so they need no row: a median is that of the (at most 13) quantities in its
+    frame that are not 0, padded with zeros to the number of days the frame has. ``also`` are attributes of the key. All windows
+    of a key share one exchange; a key has one row per day at most."""
+    values = [c for c in facts.columns if c not in (*keys, *also, "sale_date")]
+    both = facts.withColumn("empty", F.lit(0)).unionByName(
+        empty_days.select(*keys, *also, "sale_date", F.lit(1).alias("empty")), allowMissingColumns=True)
+    events = both.repartition(*keys).groupBy(*keys, *also, "sale_date").agg(*[F.max(c).alias(c) for c in [*values, "empty"]])
+    up_to = Window.partitionBy(*keys).orderBy("sale_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = event_runs(events, keys, "sale_date").withColumns(
+        {"carried": F.coalesce("carried", F.lit(0)), "dow": F.dayofweek("sale_date"), "_day": day_number("sale_date"),
+         "_first": day_number(F.min("sale_date").over(up_to))})
+    there = (F.col("empty") == 0) | (F.col("carried") == 1)
+    back = Window.partitionBy(*keys, "dow").orderBy("_day").rangeBetween(-days, Window.currentRow)
+    framed = runs.withColumns({"_seen": F.collect_list(F.when(there & (F.col("qty") != 0), F.col("qty"))).over(back),
+                               "_gone": F.count(F.when(~there, 1)).over(back)})
+    n = (F.floor(F.least(F.col("_day") - F.col("_first"), F.lit(days)) / 7) + 1 - F.col("_gone")).cast("int")
+    return framed.withColumn("median_qty", F.when((F.col("empty") == 1) & (F.col("carried") == 1), padded_median(F.col("_seen"), n))).drop(
+        "_day", "_first", "_seen", "_gone", "dow")
+
+
+def dense_days(events: DataFrame, keys: list[str], also: list[str] = ()) -> DataFrame:
+    """The dense daily series of ``dense_events``: days that hold stock or are carried, quantity 0 if unsold, demand the larger
+    of sold and median quantity; ``stopped`` is NULL on days the assortment does not carry."""
+    values = [c for c in events.columns if c not in (*keys, *also, "sale_date", "run_end")]
+    laid = lay_out(events, "sale_date", values).where(F.coalesce("empty", F.lit(0)) - F.coalesce("carried", F.lit(0)) < 1)
+    qty = F.coalesce("qty", F.lit(0.0))
+    money_cols = ["gross", "coupon_disc", "promo_disc", "member_disc"]
+    return laid.select(
+        *keys, *also, "sale_date", F.dayofweek("sale_date").alias("dow"), F.when(F.col("carried") == 1, "N").alias("stopped"),
+        F.coalesce("empty", F.lit(0)).alias("out_of_stock"), qty.alias("qty"), "median_qty",
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in money_cols], "coupon_min", "coupon_max", "coupon_mean", "coupon_std",
+        F.coalesce("any_bulk", F.lit(0)).alias("any_bulk"),
+        F.when(F.col("median_qty") > qty, F.col("median_qty")).otherwise(qty).alias("demand"))
+
 
+def event_medians(events: DataFrame, keys: list[str]) -> DataFrame:
+    """The out-of-stock days of ``dense_events`` with their median, in the shape of ``oos_median``."""
+    return events.where((F.col("empty") == 1) & (F.col("carried") == 1)).select(
+        *keys, "sale_date", F.dayofweek("sale_date").alias("dow"), F.col("empty").alias("out_of_stock"), F.lit("N").alias("stopped"), "median_qty")
+
+
+# ---- the same from any daily frames
 
 def full_date_sales(stock: DataFrame, assortment: DataFrame, sold: DataFrame, keys: list[str]) -> DataFrame:
     """Dense daily sales: stock days that hold stock, or on which the assortment carries the item
@@ -107,23 +173,34 @@ def promo_week_counts(daily: DataFrame, keys: list[str]) -> DataFrame:
         F.max("promo_id").alias("promo_id"), F.max("next_promo_id").alias("next_promo_id"))
 
 
-def weekly_sales(daily: DataFrame, weeks: DataFrame, plan: DataFrame, keys: list[str]) -> DataFrame:
+def weekly_sales(daily: DataFrame, weeks: DataFrame, plan: DataFrame, keys: list[str], place: list[str] | None = None) -> DataFrame:
     """Dense days rolled up to weeks, with holidays, promotion counts and the plan details of
-    the week's current promotion. One grouping; the joined sides have one row per key."""
-    sums = [total(c).alias(c) for c in ("gross", "coupon_disc", "promo_disc", "member_disc")]
-    rolled = daily.groupBy(*keys, week_start("sale_date").alias("week_start")).agg(
-        F.sum("demand").alias("qty"), *sums, F.min("coupon_min").alias("coupon_min"),
-        F.max("coupon_max").alias("coupon_max"), exact_mean("coupon_mean").alias("coupon_mean"),
+    the week's current promotion. The plan is kept per ``place`` (the keys, unless given), whose columns that are no keys are
+    attributes of them.
+
+    Days are first summed per pair of promotions, of which a week has a handful, so that sets are built from few rows. The
+    joined sides have one row per key."""
+    place = list(place or keys)
+    also = [c for c in place if c not in keys]
+    units = {c: F.sum(F.rint(F.col(c) * UNITS).cast("bigint")).alias(c) for c in ("gross", "coupon_disc", "promo_disc", "member_disc")}
+    week = week_start("sale_date").alias("week_start")
+    parts = daily.groupBy(*keys, *also, week, "promo_id", "next_promo_id").agg(
+        F.sum("demand").alias("qty"), *units.values(), F.min("coupon_min").alias("coupon_min"), F.max("coupon_max").alias("coupon_max"),
+        F.sum(F.col("coupon_mean").cast("decimal(24,8)")).alias("_means"), F.count("coupon_mean").alias("_n"),
+        F.max("out_of_stock").alias("any_oos"), F.max("any_bulk").alias("any_bulk"))
+    rolled = parts.groupBy(*keys, *also, "week_start").agg(
+        F.sum("qty").alias("qty"), *[(F.sum(c) / UNITS).alias(c) for c in units], F.min("coupon_min").alias("coupon_min"),
+        F.max("coupon_max").alias("coupon_max"), ratio(F.sum("_means"), F.sum("_n")).alias("coupon_mean"),
         F.size(F.collect_set("promo_id")).alias("n_current"), F.size(F.collect_set("next_promo_id")).alias("n_next"),
         F.max("promo_id").alias("promo_id"), F.max("next_promo_id").alias("next_promo_id"),
-        F.max("out_of_stock").alias("any_oos"), F.max("any_bulk").alias("any_bulk"))
-    details = plan.groupBy(*keys, "promo_id").agg(
+        F.max("any_oos").alias("any_oos"), F.max("any_bulk").alias("any_bulk"))
+    details = plan.groupBy(*place, "promo_id").agg(
         *[F.max(c).alias(c) for c in ("promo_start", "promo_end", "promo_price", "list_price", "slot", "announced")])
-    upcoming = plan.groupBy(*keys, F.col("promo_id").alias("next_promo_id")).agg(
+    upcoming = plan.groupBy(*place, F.col("promo_id").alias("next_promo_id")).agg(
         F.max("promo_start").alias("next_promo_start"), F.max("promo_end").alias("next_promo_end"),
         F.max("announced").alias("next_announced"))
-    return (rolled.join(weeks, "week_start", "left").join(details, [*keys, "promo_id"], "left")
-            .join(upcoming, [*keys, "next_promo_id"], "left"))
+    return (rolled.join(weeks, "week_start", "left").join(details, [*place, "promo_id"], "left")
+            .join(upcoming, [*place, "next_promo_id"], "left"))
 
 
 def oos_week(stock: DataFrame, keys: list[str]) -> DataFrame:

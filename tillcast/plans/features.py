@@ -79,7 +79,7 @@ def discount_ratio(src):
 
 
 @query("promo_price_features", """
-SELECT sub_family, city_id, week_start, promo_price / nullif(list_price, 0) AS price_ratio,
+SELECT sub_family, store_id, week_start, promo_price / nullif(list_price, 0) AS price_ratio,
        CAST(promo_end - promo_start AS INTEGER) AS promo_days, CAST(dayofweek(promo_start) + 1 AS INTEGER) AS start_dow,
        CAST(dayofweek(promo_end) + 1 AS INTEGER) AS end_dow,
        CAST((week_start - CAST(date_trunc('week', promo_start) AS DATE)) // 7 AS INTEGER) AS weeks_since_start,
@@ -90,7 +90,7 @@ SELECT sub_family, city_id, week_start, promo_price / nullif(list_price, 0) AS p
 FROM dense_weeks""")
 def promo_price_features(src):
     return features.promo_price_features(dense_weeks(src)).select(
-        "sub_family", "city_id", "week_start", "price_ratio", "promo_days", "start_dow", "end_dow",
+        "sub_family", "store_id", "week_start", "price_ratio", "promo_days", "start_dow", "end_dow",
         "weeks_since_start", "weeks_to_end", "weeks_to_next", "next_promo_days")
 
 
@@ -112,12 +112,12 @@ def competitor_flag(src):
 
 
 @query("next_promo_week_sales", """
-SELECT a.sub_family, a.city_id, a.week_start, a.qty, a.next_promo_start, b.qty AS next_promo_qty_w1,
+SELECT a.sub_family, a.store_id, a.week_start, a.qty, a.next_promo_start, b.qty AS next_promo_qty_w1,
        c.qty AS next_promo_qty_w2
 FROM dense_weeks a
-LEFT JOIN dense_weeks b ON b.sub_family = a.sub_family AND b.city_id = a.city_id
+LEFT JOIN dense_weeks b ON b.sub_family = a.sub_family AND b.store_id = a.store_id
                        AND b.week_start = date_trunc('week', a.next_promo_start)
-LEFT JOIN dense_weeks c ON c.sub_family = a.sub_family AND c.city_id = a.city_id
+LEFT JOIN dense_weeks c ON c.sub_family = a.sub_family AND c.store_id = a.store_id
                        AND c.week_start = date_trunc('week', a.next_promo_start + 7)""")
 def next_promo_week_sales(src):
     weeks = src.keep("weeks", lambda: dense_weeks(src).select(*DENSE, "week_start", "qty", "next_promo_start"))
@@ -159,7 +159,7 @@ def festival_last_year(src):
 @query("weekly_final", f"""
 WITH t AS ({TICKETS_SQL}),
      f AS (SELECT week_start, max(festival) AS festival FROM calendar GROUP BY ALL),
-     o AS (SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start,
+     o AS (SELECT sub_family, store_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start,
                   max(CASE WHEN balance <= 0 THEN 1 ELSE 0 END) AS any_oos FROM stock GROUP BY ALL),
      b AS (SELECT item_id, arg_min(barcode, (created, barcode)) AS barcode FROM barcodes
            WHERE main = 'Y' AND ended IS NULL GROUP BY ALL),
@@ -167,10 +167,11 @@ WITH t AS ({TICKETS_SQL}),
 SELECT w.item_id, w.store_id, w.week_start, w.qty, x.item_text, b.barcode, coalesce(o.any_oos, 0) AS any_oos,
        f.festival, t.tickets AS tickets_last_year
 FROM weekly w LEFT JOIN x ON x.item_id = w.item_id LEFT JOIN b ON b.item_id = w.item_id
-LEFT JOIN o ON o.sub_family = w.sub_family AND o.city_id = w.city_id AND o.week_start = w.week_start
+LEFT JOIN o ON o.sub_family = w.sub_family AND o.store_id = w.store_id AND o.week_start = w.week_start
 LEFT JOIN f ON f.week_start = w.week_start
 LEFT JOIN t ON t.item_id = w.item_id AND t.store_id = w.store_id AND t.festival = f.festival AND t.year = w.year - 1""")
 def weekly_final(src):
+    src.keep_lines()
     texts = src.items().groupBy("item_id").agg(F.min("item_name").alias("item_text"))
     return features.weekly_final(
         weekly(src), texts, features.barcode_pick(src.barcodes(), ["item_id"]),
@@ -223,13 +224,13 @@ def last_year_sales(src):
 
 @query("weekly_features", f"""
 WITH ly AS ({LAST_YEAR_SQL.strip()}),
-     o AS (SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start,
+     o AS (SELECT sub_family, store_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start,
                   max(CASE WHEN balance <= 0 THEN 1 ELSE 0 END) AS any_oos FROM stock GROUP BY ALL)
 SELECT w.item_id, w.store_id, w.week_start, w.qty, w.sub_family, w.city_id, w.gross, ly.last_year_qty,
        coalesce(o.any_oos, 0) AS any_oos
 FROM weekly w
 JOIN ly ON ly.item_id = w.item_id AND ly.store_id = w.store_id AND ly.week_start = w.week_start
-LEFT JOIN o ON o.sub_family = w.sub_family AND o.city_id = w.city_id AND o.week_start = w.week_start""")
+LEFT JOIN o ON o.sub_family = w.sub_family AND o.store_id = w.store_id AND o.week_start = w.week_start""")
 def weekly_features(src):
     with_last_year = features.last_year_sales(weekly(src), SERIES)
     return features.weekly_features(with_last_year, sales.oos_week(src.stock(), DENSE), DENSE).select(

@@ -161,10 +161,10 @@ def attach_week(src):
 @query("hold_features", """
 WITH t AS (SELECT * FROM dense_weeks WHERE week_start + 6 >= DATE '2001-03-01'),
      k AS (SELECT DISTINCT week_start FROM t WHERE week_start + 6 > DATE '2001-03-01' ORDER BY week_start LIMIT 9)
-SELECT t.sub_family, t.city_id, t.week_start, t.qty, f.gross, f.n_current
+SELECT t.sub_family, t.store_id, t.week_start, t.qty, f.gross, f.n_current
 FROM t
 LEFT JOIN (SELECT * FROM t WHERE week_start = (SELECT min(week_start) FROM t)) f
-  ON f.sub_family = t.sub_family AND f.city_id = t.city_id
+  ON f.sub_family = t.sub_family AND f.store_id = t.store_id
 WHERE t.week_start IN (SELECT week_start FROM k)""")
 def hold_features(src):
     rows = dense_weeks(src).select(*DENSE, "week_start", "qty", "gross", "n_current")
@@ -272,9 +272,9 @@ def item_profile(src):
 
 
 @query("analysis_filter", """
-SELECT w.sub_family, w.city_id, w.week_start, w.qty
+SELECT w.sub_family, w.store_id, w.week_start, w.qty
 FROM dense_weeks w
-JOIN stock s ON s.sub_family = w.sub_family AND s.city_id = w.city_id AND s.sale_date = DATE '2001-06-30'
+JOIN stock s ON s.sub_family = w.sub_family AND s.store_id = w.store_id AND s.sale_date = DATE '2001-06-30'
 WHERE s.stopped <> 'Y' AND w.any_bulk = 0 AND w.any_oos = 0""")
 def analysis_filter(src):
     status = src.stock().where(F.col("sale_date") == F.lit("2001-06-30").cast("date")).withColumn(

@@ -8,7 +8,7 @@ from tillcast.functions.dates import week_start
 from tillcast.functions.numbers import total
 from tillcast.operators import promo, promo_join
 from tillcast.plans.registry import query
-from tillcast.plans.shared import DENSE, SERIES
+from tillcast.plans.shared import PLACE, SERIES
 
 END = "2001-06-30"
 FAMILY = ["family", "store_id"]
@@ -24,13 +24,13 @@ def day_sales(src):
 
 
 def day_sales_kept(src):
-    return src.keep("day_sales", lambda: day_sales(src))
+    return src.keep("day_sales", lambda: day_sales(src.keep_lines()))
 
 
 def promo_table(src, daily=None):
     sold = day_sales(src) if daily is None else daily
-    tagged = promo_join.current_promo(sold, src.kept_plan(), DENSE, [])
-    return promo.promo_agg(tagged, src.kept_plan(), SERIES, DENSE, END)
+    tagged = promo_join.current_promo(sold, src.kept_plan(), PLACE, [])
+    return promo.promo_agg(tagged, src.kept_plan(), SERIES, PLACE, END)
 
 
 def promo_table_kept(src, daily=None):
@@ -54,7 +54,7 @@ def lunar(src, daily=None):
 
 def matched(src, daily=None):
     sold = day_sales(src) if daily is None else daily
-    return promo.matched_last_year(sold, mapping(src), src.kept_plan(), SERIES, DENSE)
+    return promo.matched_last_year(sold, mapping(src), src.kept_plan(), SERIES, PLACE)
 
 
 def uplift_base(src):

@@ -58,16 +58,16 @@ FROM (SELECT CAST(date_trunc('month', sale_date) AS DATE) AS start,
              count(*) FILTER (return_flag = 'R') AS n_r, count(*) FILTER (return_flag = 'A') AS n_a
       FROM raw_lines GROUP BY ALL) h""",
     "stock": """
-SELECT d.sub_family, d.city_id, d.sale_date,
-       CASE WHEN (ascii(d.sub_family) * 31 + d.city_id * 17 + (d.sale_date - DATE '1970-01-05') * 7) % 23 = 0 THEN 0.0
+SELECT d.sub_family, d.store_id, d.city_id, d.sale_date,
+       CASE WHEN (ascii(d.sub_family) * 31 + d.store_id * 17 + (d.sale_date - DATE '1970-01-05') * 7) % 23 = 0 THEN 0.0
             ELSE coalesce(m.moved, 0.0) + 1 END AS balance,
-       CASE WHEN (ascii(d.sub_family) + d.city_id * 5 + (d.sale_date - DATE '1970-01-05')) % 29 = 0 THEN 'Y'
+       CASE WHEN (ascii(d.sub_family) + d.store_id * 5 + (d.sale_date - DATE '1970-01-05')) % 29 = 0 THEN 'Y'
             ELSE 'N' END AS stopped
-FROM (SELECT sub_family, city_id,
+FROM (SELECT sub_family, store_id, city_id,
              CAST(unnest(generate_series(min(sale_date), max(sale_date), INTERVAL 1 DAY)) AS DATE) AS sale_date
-      FROM lines GROUP BY sub_family, city_id) d
-LEFT JOIN (SELECT sub_family, city_id, sale_date, sum(qty) AS moved FROM lines GROUP BY ALL) m
-  USING (sub_family, city_id, sale_date)""",
+      FROM lines GROUP BY sub_family, store_id, city_id) d
+LEFT JOIN (SELECT sub_family, store_id, sale_date, sum(qty) AS moved FROM lines GROUP BY ALL) m
+  USING (sub_family, store_id, sale_date)""",
     "sold_lines": "SELECT * FROM lines WHERE return_flag <> 'R'",
     "assortment_days": """
 SELECT variant_id, store_id, sale_date, sum(qty) AS unit_count,
@@ -211,40 +211,40 @@ WHERE NOT EXISTS (SELECT 1 FROM shipment_links c
                                     AND s.store_id = c.store_id AND s.percent_flagged > 20000))""",
     # ---- dense daily demand, from the lines without planned bulk
     "assortment_state": """
-SELECT DISTINCT i.sub_family, s.city_id, a.sale_date, a.stopped
-FROM assortment_days a JOIN items i ON i.variant_id = a.variant_id JOIN stores s ON s.store_id = a.store_id
+SELECT DISTINCT i.sub_family, a.store_id, a.sale_date, a.stopped
+FROM assortment_days a JOIN items i ON i.variant_id = a.variant_id
 WHERE a.stopped = 'N'""",
     "dense_days": """
-SELECT s.sub_family, s.city_id, s.sale_date, CAST(dayofweek(s.sale_date) + 1 AS INTEGER) AS dow, a.stopped,
+SELECT s.sub_family, s.store_id, s.city_id, s.sale_date, CAST(dayofweek(s.sale_date) + 1 AS INTEGER) AS dow, a.stopped,
        CASE WHEN s.balance <= 0 THEN 1 ELSE 0 END AS out_of_stock, coalesce(d.qty, 0.0) AS qty
 FROM stock s
-LEFT JOIN assortment_state a USING (sub_family, city_id, sale_date)
-LEFT JOIN (SELECT sub_family, city_id, sale_date, sum(qty) AS qty FROM clean_lines GROUP BY ALL) d
-  USING (sub_family, city_id, sale_date)
+LEFT JOIN assortment_state a USING (sub_family, store_id, sale_date)
+LEFT JOIN (SELECT sub_family, store_id, sale_date, sum(qty) AS qty FROM clean_lines GROUP BY ALL) d
+  USING (sub_family, store_id, sale_date)
 WHERE s.balance > 0 OR a.stopped = 'N'""",
     "oos_medians": """
-SELECT a.sub_family, a.city_id, a.sale_date, a.dow, a.out_of_stock, a.stopped, median(b.qty) AS median_qty
+SELECT a.sub_family, a.store_id, a.sale_date, a.dow, a.out_of_stock, a.stopped, median(b.qty) AS median_qty
 FROM dense_days a
-JOIN dense_days b ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.dow = a.dow
+JOIN dense_days b ON b.sub_family = a.sub_family AND b.store_id = a.store_id AND b.dow = a.dow
                  AND b.sale_date BETWEEN a.sale_date - 90 AND a.sale_date
   AND (b.out_of_stock = 0 OR b.stopped = 'N')
 WHERE a.out_of_stock = 1
-GROUP BY a.sub_family, a.city_id, a.sale_date, a.dow, a.out_of_stock, a.stopped""",
+GROUP BY a.sub_family, a.store_id, a.sale_date, a.dow, a.out_of_stock, a.stopped""",
     "dense_demand": """
 SELECT d.*, m.median_qty, coalesce(x.gross, 0) AS gross, coalesce(x.coupon_disc, 0) AS coupon_disc,
        coalesce(x.promo_disc, 0) AS promo_disc, coalesce(x.member_disc, 0) AS member_disc, x.coupon_min, x.coupon_max,
        x.coupon_mean, x.coupon_std, coalesce(x.any_bulk, 0) AS any_bulk,
        CASE WHEN m.median_qty > d.qty THEN m.median_qty ELSE d.qty END AS demand
 FROM dense_days d
-LEFT JOIN (SELECT sub_family, city_id, sale_date, median_qty FROM oos_medians) m USING (sub_family, city_id, sale_date)
-LEFT JOIN (SELECT sub_family, city_id, sale_date, CAST(sum(gross) AS DOUBLE) AS gross,
+LEFT JOIN (SELECT sub_family, store_id, sale_date, median_qty FROM oos_medians) m USING (sub_family, store_id, sale_date)
+LEFT JOIN (SELECT sub_family, store_id, sale_date, CAST(sum(gross) AS DOUBLE) AS gross,
                   CAST(sum(coupon_disc) AS DOUBLE) AS coupon_disc, CAST(sum(promo_disc) AS DOUBLE) AS promo_disc,
                   CAST(sum(member_disc) AS DOUBLE) AS member_disc, CAST(min(coupon_disc) AS DOUBLE) AS coupon_min,
                   CAST(max(coupon_disc) AS DOUBLE) AS coupon_max,
                   CAST(sum(coupon_disc) AS DOUBLE) / count(coupon_disc) AS coupon_mean,
                   round(stddev_pop(CAST(coupon_disc AS DOUBLE)), 6) AS coupon_std,
                   max(CASE WHEN qty >= 50 THEN 1 ELSE 0 END) AS any_bulk
-           FROM clean_lines GROUP BY ALL) x USING (sub_family, city_id, sale_date)""",
+           FROM clean_lines GROUP BY ALL) x USING (sub_family, store_id, sale_date)""",
     "dense_promo": """
 SELECT d.*, p.promo_id, p.promo_start, p.promo_end, CASE WHEN p.promo_id IS NULL THEN 0 ELSE 1 END AS on_promo,
        n.promo_id AS next_promo_id, n.promo_start AS next_promo_start
@@ -253,14 +253,14 @@ LEFT JOIN plan p ON p.sub_family = d.sub_family AND p.city_id = d.city_id
                 AND d.sale_date BETWEEN p.promo_start AND p.promo_end
 LEFT JOIN (SELECT d.sub_family, d.city_id, d.sale_date, min(q.promo_start) AS promo_start,
                   arg_min(q.promo_id, q.promo_start) AS promo_id
-           FROM dense_days d JOIN plan q ON q.sub_family = d.sub_family AND q.city_id = d.city_id
-                                        AND q.promo_start > d.sale_date GROUP BY ALL) n
+           FROM (SELECT DISTINCT sub_family, city_id, sale_date FROM dense_days) d
+           JOIN plan q ON q.sub_family = d.sub_family AND q.city_id = d.city_id AND q.promo_start > d.sale_date GROUP BY ALL) n
   ON n.sub_family = d.sub_family AND n.city_id = d.city_id AND n.sale_date = d.sale_date""",
     "dense_weeks": """
 SELECT w.*, c.week_key, c.year, c.month_start, c.first_day, c.last_day, c.n_days, c.holiday_days, p.promo_start,
        p.promo_end, p.promo_price, p.list_price, p.slot, p.announced, q.promo_start AS next_promo_start,
        q.promo_end AS next_promo_end, q.announced AS next_announced
-FROM (SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(demand) AS qty,
+FROM (SELECT sub_family, store_id, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(demand) AS qty,
              sum(CAST(gross AS DECIMAL(18,4)))::DOUBLE AS gross,
              sum(CAST(coupon_disc AS DECIMAL(18,4)))::DOUBLE AS coupon_disc,
              sum(CAST(promo_disc AS DECIMAL(18,4)))::DOUBLE AS promo_disc,
@@ -425,50 +425,50 @@ LEFT JOIN uplift_rows u ON u.store_id = p.store_id AND u.promo_id = p.promo_id A
   AND u.brand = split_part(p.item_id, '|', 2)""",
     # ---- splitting forecasts into days
     "regular_day_rows": """
-SELECT d.sub_family, d.city_id, d.sale_date, d.out_of_stock, d.demand, w.week_start, d.dow
+SELECT d.sub_family, d.store_id, d.sale_date, d.out_of_stock, d.demand, w.week_start, d.dow
 FROM dense_promo d
-JOIN dense_weeks w ON w.sub_family = d.sub_family AND w.city_id = d.city_id
+JOIN dense_weeks w ON w.sub_family = d.sub_family AND w.store_id = d.store_id
                   AND w.week_start = date_trunc('week', d.sale_date)
 WHERE w.holiday_days = 0 AND w.n_current = 0 AND w.qty <> 0
   AND w.week_start > (SELECT min(week_start) FROM calendar) AND w.week_start < (SELECT max(week_start) FROM calendar)""",
     "good_day_rows": """
 SELECT r.* FROM regular_day_rows r
-JOIN (SELECT sub_family, city_id, week_start FROM regular_day_rows GROUP BY ALL HAVING count(DISTINCT dow) = 7) g
-  ON g.sub_family = r.sub_family AND g.city_id = r.city_id AND g.week_start = r.week_start""",
+JOIN (SELECT sub_family, store_id, week_start FROM regular_day_rows GROUP BY ALL HAVING count(DISTINCT dow) = 7) g
+  ON g.sub_family = r.sub_family AND g.store_id = r.store_id AND g.week_start = r.week_start""",
     "weekday_shares": """
-SELECT a.sub_family, a.city_id, a.dow, a.day_sales, b.all_sales, a.day_sales / nullif(b.all_sales, 0) AS share
-FROM (SELECT sub_family, city_id, dow, sum(demand) AS day_sales FROM good_day_rows GROUP BY ALL) a
-JOIN (SELECT sub_family, city_id, sum(demand) AS all_sales FROM good_day_rows GROUP BY ALL) b
-  ON b.sub_family = a.sub_family AND b.city_id = a.city_id""",
+SELECT a.sub_family, a.store_id, a.dow, a.day_sales, b.all_sales, a.day_sales / nullif(b.all_sales, 0) AS share
+FROM (SELECT sub_family, store_id, dow, sum(demand) AS day_sales FROM good_day_rows GROUP BY ALL) a
+JOIN (SELECT sub_family, store_id, sum(demand) AS all_sales FROM good_day_rows GROUP BY ALL) b
+  ON b.sub_family = a.sub_family AND b.store_id = a.store_id""",
     "event_weeks": """
 SELECT * FROM (VALUES ('CNY', 199806), ('CNY', 199807), ('WM', 199809), ('WM', 199810), ('SD', 199845), ('SD', 199846))
   v(event, week_key)""",
     "event_impacts": """
-WITH d AS (SELECT p.sub_family, p.city_id, p.sale_date, p.demand, e.event FROM dense_promo p
+WITH d AS (SELECT p.sub_family, p.store_id, p.sale_date, p.demand, e.event FROM dense_promo p
            JOIN calendar c ON c.day = p.sale_date JOIN event_weeks e ON e.week_key = c.week_key)
-SELECT a.sub_family, a.city_id, a.sale_date, a.event, a.daily_mean, b.all_mean,
+SELECT a.sub_family, a.store_id, a.sale_date, a.event, a.daily_mean, b.all_mean,
        (a.daily_mean - b.all_mean) / nullif(b.all_mean, 0) AS impact
-FROM (SELECT sub_family, city_id, sale_date, event, avg(demand) AS daily_mean FROM d GROUP BY ALL) a
-JOIN (SELECT sub_family, city_id, event, avg(demand) AS all_mean FROM d GROUP BY ALL) b
-  ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.event = a.event""",
+FROM (SELECT sub_family, store_id, sale_date, event, avg(demand) AS daily_mean FROM d GROUP BY ALL) a
+JOIN (SELECT sub_family, store_id, event, avg(demand) AS all_mean FROM d GROUP BY ALL) b
+  ON b.sub_family = a.sub_family AND b.store_id = a.store_id AND b.event = a.event""",
     "forecast_in": """
-SELECT sub_family, city_id, week_start, qty, forecast, err2, forecast + 3 * sqrt(abs(err2)) AS upper
-FROM (SELECT a.sub_family, a.city_id, a.week_start, a.qty, avg(b.qty) FILTER (a.rn - b.rn <= 4) AS forecast,
+SELECT sub_family, store_id, week_start, qty, forecast, err2, forecast + 3 * sqrt(abs(err2)) AS upper
+FROM (SELECT a.sub_family, a.store_id, a.week_start, a.qty, avg(b.qty) FILTER (a.rn - b.rn <= 4) AS forecast,
              sum(b.qty * b.qty) FILTER (a.rn - b.rn <= 12) / (count(*) FILTER (a.rn - b.rn <= 12))
                - (avg(b.qty) FILTER (a.rn - b.rn <= 12)) * (avg(b.qty) FILTER (a.rn - b.rn <= 12)) AS err2
-      FROM (SELECT *, row_number() OVER (PARTITION BY sub_family, city_id ORDER BY week_start) AS rn FROM dense_weeks) a
-      JOIN (SELECT *, row_number() OVER (PARTITION BY sub_family, city_id ORDER BY week_start) AS rn FROM dense_weeks) b
-        ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.rn < a.rn AND a.rn - b.rn <= 12
+      FROM (SELECT *, row_number() OVER (PARTITION BY sub_family, store_id ORDER BY week_start) AS rn FROM dense_weeks) a
+      JOIN (SELECT *, row_number() OVER (PARTITION BY sub_family, store_id ORDER BY week_start) AS rn FROM dense_weeks) b
+        ON b.sub_family = a.sub_family AND b.store_id = a.store_id AND b.rn < a.rn AND a.rn - b.rn <= 12
       GROUP BY ALL) x""",
     "order_rows": """
-SELECT a.sub_family, a.city_id, a.week_start, a.qty, a.forecast, a.err2, a.upper,
+SELECT a.sub_family, a.store_id, a.week_start, a.qty, a.forecast, a.err2, a.upper,
        coalesce(a.upper - (b.upper - b.forecast), a.upper) AS order_qty
-FROM (SELECT *, row_number() OVER (PARTITION BY sub_family, city_id ORDER BY week_start) AS rn FROM forecast_in) a
-LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY sub_family, city_id ORDER BY week_start) AS rn FROM forecast_in) b
-  ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.rn = a.rn - 1""",
+FROM (SELECT *, row_number() OVER (PARTITION BY sub_family, store_id ORDER BY week_start) AS rn FROM forecast_in) a
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY sub_family, store_id ORDER BY week_start) AS rn FROM forecast_in) b
+  ON b.sub_family = a.sub_family AND b.store_id = a.store_id AND b.rn = a.rn - 1""",
     "promo_forecast_in": """
-SELECT sub_family, city_id, promo_id, promo_start, promo_end, forecast, forecast + 1.28 * sqrt(abs(err2)) AS upper
-FROM (SELECT sub_family, city_id, promo_id, promo_start, promo_end, sum(demand) AS forecast,
+SELECT sub_family, store_id, promo_id, promo_start, promo_end, forecast, forecast + 1.28 * sqrt(abs(err2)) AS upper
+FROM (SELECT sub_family, store_id, promo_id, promo_start, promo_end, sum(demand) AS forecast,
              sum(demand * demand) AS err2
       FROM dense_promo WHERE promo_id IS NOT NULL GROUP BY ALL) x""",
     "patterns": """
@@ -477,7 +477,7 @@ SELECT DISTINCT CAST(promo_end - promo_start AS INTEGER) AS length, CAST(dayofwe
        'P' || CAST(dayofweek(promo_start) + 1 AS VARCHAR) || CAST(dayofweek(promo_end) + 1 AS VARCHAR) AS pattern
 FROM plan""",
     "promo_day_rows": """
-SELECT f.sub_family, f.city_id, f.promo_id, f.promo_start, f.promo_end, f.forecast, f.upper, f.upper AS order_qty,
+SELECT f.sub_family, f.store_id, f.promo_id, f.promo_start, f.promo_end, f.forecast, f.upper, f.upper AS order_qty,
        CAST(f.promo_end - f.promo_start AS INTEGER) AS length, c.day AS sale_date, p.pattern,
        CAST(dayofweek(c.day) + 1 AS INTEGER) AS dow, CAST(c.day - f.promo_start AS INTEGER) AS day_no
 FROM promo_forecast_in f
@@ -485,20 +485,20 @@ JOIN LATERAL (SELECT CAST(unnest(generate_series(f.promo_start, f.promo_end, INT
 LEFT JOIN patterns p ON p.length = f.promo_end - f.promo_start AND p.start_dow = dayofweek(f.promo_start) + 1
                     AND p.end_dow = dayofweek(f.promo_end) + 1""",
     "promo_history_days": """
-SELECT d.sub_family, d.city_id, d.sale_date, d.demand, d.promo_id, d.promo_start, d.promo_end,
+SELECT d.sub_family, d.store_id, d.sale_date, d.demand, d.promo_id, d.promo_start, d.promo_end,
        CAST(d.promo_end - d.promo_start AS INTEGER) AS length, p.pattern
 FROM dense_promo d
 LEFT JOIN patterns p ON p.length = d.promo_end - d.promo_start AND p.start_dow = dayofweek(d.promo_start) + 1
                     AND p.end_dow = dayofweek(d.promo_end) + 1
 WHERE d.promo_id IS NOT NULL""",
     "promo_day_shares": """
-SELECT a.sub_family, a.city_id, a.pattern, a.day_no, a.day_sales, b.all_sales,
+SELECT a.sub_family, a.store_id, a.pattern, a.day_no, a.day_sales, b.all_sales,
        CASE WHEN b.all_sales = 0 THEN 0 ELSE a.day_sales / nullif(b.all_sales, 0) END AS share
-FROM (SELECT sub_family, city_id, pattern, CAST(sale_date - promo_start AS INTEGER) AS day_no, sum(demand) AS day_sales
+FROM (SELECT sub_family, store_id, pattern, CAST(sale_date - promo_start AS INTEGER) AS day_no, sum(demand) AS day_sales
       FROM promo_history_days WHERE pattern IS NOT NULL GROUP BY ALL) a
-JOIN (SELECT sub_family, city_id, pattern, sum(demand) AS all_sales
+JOIN (SELECT sub_family, store_id, pattern, sum(demand) AS all_sales
       FROM promo_history_days WHERE pattern IS NOT NULL GROUP BY ALL) b
-  ON b.sub_family = a.sub_family AND b.city_id = a.city_id AND b.pattern = a.pattern""",
+  ON b.sub_family = a.sub_family AND b.store_id = a.store_id AND b.pattern = a.pattern""",
     # ---- model table: weekly sales per sub family and store
     "weekly_sf": """
 SELECT sub_family, store_id, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(qty) AS qty,

@@ -8,7 +8,7 @@ from tillcast.functions.dates import week_start
 from tillcast.operators import promo_join, sales
 from tillcast.operators.bulk import on_promo_or_discount
 from tillcast.plans.registry import query
-from tillcast.plans.shared import DENSE, dense_days, dense_demand, dense_promo, dense_weeks, holidays, weekly
+from tillcast.plans.shared import DENSE, PLACE, dense_demand, dense_events, dense_promo, dense_weeks, holidays, weekly
 
 LINE = ["ticket_id", "hour", "variant_id", "store_id", "sale_date", "qty"]
 
@@ -30,7 +30,7 @@ FROM lines l LEFT JOIN plan p ON p.sub_family = l.sub_family AND p.city_id = l.c
                              AND l.sale_date BETWEEN p.promo_start AND p.promo_end
 GROUP BY ALL""")
 def promo_split(src):
-    tagged = promo_join.current_promo(src.lines(), src.plan(), DENSE, [])
+    tagged = promo_join.current_promo(src.lines(), src.plan(), PLACE, [])
     branch = F.when(on_promo_or_discount(), "promo").otherwise("regular")
     return tagged.groupBy("store_id", "sale_date", branch.alias("branch")).agg(
         F.sum("qty").alias("qty"), F.count(F.lit(1)).alias("n"))
@@ -42,7 +42,7 @@ SELECT l.ticket_id, l.hour, l.variant_id, l.store_id, l.sale_date, l.qty, p.prom
 FROM lines l LEFT JOIN plan p ON p.sub_family = l.sub_family AND p.city_id = l.city_id
                              AND l.sale_date >= p.promo_start AND l.sale_date <= p.promo_end""")
 def current_promo(src):
-    return promo_join.current_promo(src.lines(), src.plan(), DENSE, ["promo_price", "list_price"]).select(
+    return promo_join.current_promo(src.lines(), src.plan(), PLACE, ["promo_price", "list_price"]).select(
         *LINE, "promo_id", "promo_start", "promo_end", "promo_price", "list_price", "on_promo")
 
 
@@ -53,7 +53,7 @@ FROM (SELECT DISTINCT sub_family, city_id, sale_date FROM lines) l
 JOIN plan p ON p.sub_family = l.sub_family AND p.city_id = l.city_id AND p.promo_start > l.sale_date
 GROUP BY ALL""")
 def future_promos(src):
-    return promo_join.future_promos(src.lines(), src.plan(), DENSE)
+    return promo_join.future_promos(src.lines(), src.plan(), PLACE)
 
 
 @query("next_promo", """
@@ -64,7 +64,7 @@ FROM (SELECT l.*, p.promo_start, p.promo_id, p.promo_end,
       LEFT JOIN plan p ON p.sub_family = l.sub_family AND p.city_id = l.city_id AND p.promo_start > l.sale_date) x
 WHERE rn = 1""")
 def next_promo(src):
-    return promo_join.next_promo(src.lines(), src.plan(), DENSE)
+    return promo_join.next_promo(src.lines(), src.plan(), PLACE)
 
 
 @query("next_promo_detail", """
@@ -80,7 +80,7 @@ FROM (SELECT l.ticket_id, l.hour, l.variant_id, l.store_id, l.sale_date, l.qty,
         ON n.sub_family = l.sub_family AND n.city_id = l.city_id AND n.sale_date = l.sale_date
       LEFT JOIN plan p ON p.sub_family = l.sub_family AND p.city_id = l.city_id AND p.promo_start = n.s) x""")
 def next_promo_detail(src):
-    return promo_join.next_promo_detail(src.lines(), src.plan(), DENSE, ["promo_price", "slot"]).select(
+    return promo_join.next_promo_detail(src.lines(), src.plan(), PLACE, ["promo_price", "slot"]).select(
         *LINE, "next_promo_id", "next_promo_start", "next_promo_end", "next_promo_price", "next_slot", "days_to_next")
 
 
@@ -114,12 +114,12 @@ def daily_sales(src):
 
 @query("full_date_sales", "SELECT * FROM dense_days")
 def full_date_sales(src):
-    return dense_days(src)
+    return dense_demand(src).select(*DENSE, "city_id", "sale_date", "dow", "stopped", "out_of_stock", "qty")
 
 
 @query("oos_median", "SELECT * FROM oos_medians")
 def oos_median(src):
-    return sales.oos_median(dense_days(src), DENSE)
+    return sales.event_medians(dense_events(src), DENSE)
 
 
 @query("daily_demand", "SELECT * FROM dense_demand")
@@ -156,7 +156,7 @@ def daily_promo(src):
 
 
 @query("promo_week_counts", """
-SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start,
+SELECT sub_family, store_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start,
        CAST(count(DISTINCT promo_id) AS INTEGER) AS n_current, CAST(count(DISTINCT next_promo_id) AS INTEGER) AS n_next,
        max(promo_id) AS promo_id, max(next_promo_id) AS next_promo_id
 FROM dense_promo GROUP BY ALL""")
@@ -170,7 +170,7 @@ def weekly_sales(src):
 
 
 @query("oos_week", """
-SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start,
+SELECT sub_family, store_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start,
        CASE WHEN sum(CASE WHEN balance <= 0 THEN 1 ELSE 0 END) > 0 THEN 1 ELSE 0 END AS any_oos
 FROM stock GROUP BY ALL""")
 def oos_week(src):

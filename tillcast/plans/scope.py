@@ -94,13 +94,13 @@ def item_hierarchy(src):
 SELECT * FROM stock
 WHERE sale_date = DATE '2001-06-30'
   AND sub_family IN (SELECT split_part(item_id, '|', 1) FROM ({ITEMS_SQL}) i)
-  AND city_id IN (SELECT city_id FROM ({OPEN_SQL}) o)""")
+  AND store_id IN (SELECT store_id FROM ({OPEN_SQL}) o)""")
 def latest_status(src):
     items = scope.scope_items(src.lines(), SCOPE_RULES, "1996-01-01", "2001-07-01", _open(src))
     families = items.select(F.split_part("item_id", F.lit("|"), F.lit(1)).alias("sub_family"))
-    return scope.latest_status(src.stock(), "2001-06-30", families, _open(src).select("city_id"),
-                               "sub_family", "city_id").select(
-        "sub_family", "city_id", "sale_date", "balance", "stopped")
+    return scope.latest_status(src.stock(), "2001-06-30", families, _open(src).select("store_id"),
+                               "sub_family", "store_id").select(
+        "sub_family", "store_id", "city_id", "sale_date", "balance", "stopped")
 
 
 @query("promo_plan", """
@@ -129,15 +129,15 @@ def assortment(src):
 
 
 @query("active_flag", """
-SELECT w.sub_family, w.city_id, w.week_start, w.qty, s.active
-FROM (SELECT sub_family, city_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(qty) AS qty
+SELECT w.sub_family, w.store_id, w.week_start, w.qty, s.active
+FROM (SELECT sub_family, store_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(qty) AS qty
       FROM lines GROUP BY ALL) w
-LEFT JOIN (SELECT sub_family, city_id, max(CASE WHEN stopped = 'Y' THEN 0 ELSE 1 END) AS active
+LEFT JOIN (SELECT sub_family, store_id, max(CASE WHEN stopped = 'Y' THEN 0 ELSE 1 END) AS active
            FROM stock WHERE sale_date = DATE '2001-06-30' GROUP BY ALL) s
-  ON s.sub_family = w.sub_family AND s.city_id = w.city_id""")
+  ON s.sub_family = w.sub_family AND s.store_id = w.store_id""")
 def active_flag(src):
-    weeks = src.lines().groupBy("sub_family", "city_id", week_start("sale_date").alias("week_start")).agg(
+    weeks = src.lines().groupBy("sub_family", "store_id", week_start("sale_date").alias("week_start")).agg(
         F.sum("qty").alias("qty"))
     status = src.stock().where(F.col("sale_date") == F.lit("2001-06-30").cast("date")).withColumn(
         "stop_reason", F.when(F.col("stopped") == "Y", "stopped"))
-    return scope.active_flag(weeks, status, ["sub_family", "city_id"])
+    return scope.active_flag(weeks, status, ["sub_family", "store_id"])

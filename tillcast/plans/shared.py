@@ -8,26 +8,31 @@ from pyspark.sql import functions as F
 from tillcast.operators import bulk, promo_join, sales
 from tillcast.sources.retail import RetailInputs
 
-# Dense daily series, and sparse weekly series.
-DENSE = ["sub_family", "city_id"]
+# Dense daily series, the places promotions are planned for, and sparse weekly series.
+DENSE = ["sub_family", "store_id"]
+PLACE = ["sub_family", "city_id"]
 SERIES = ["item_id", "store_id"]
 
 
-# ---- bulk orders: from sold lines to the links with shipments
+# ---- bulk orders: from sold lines to the links with shipments; all of it reads one kept copy of the lines
 
 def sold_promo(src: RetailInputs) -> DataFrame:
-    return promo_join.current_promo(src.sold_lines(), src.kept_plan(), DENSE, [])
+    return promo_join.current_promo(src.keep_lines().sold_lines(), src.kept_plan(), PLACE, [])
+
+
+def group_days(src: RetailInputs) -> DataFrame:
+    return src.keep("group_days", lambda: bulk.group_days(sold_promo(src), SERIES))
 
 
 def flagged_groups(src: RetailInputs) -> DataFrame:
     limits = src.keep("limits", lambda: bulk.quantity_thresholds(sold_promo(src), SERIES))
-    return bulk.abnormal_groups(bulk.basket_groups(sold_promo(src), SERIES), bulk.of_branch(limits, "regular"),
-                                bulk.of_branch(limits, "promo"), src.payments(), SERIES)
+    return bulk.flag_groups(group_days(src).where("qty is not null"), bulk.of_branch(limits, "regular"),
+                            bulk.of_branch(limits, "promo"), src.payments())
 
 
 def shipped(src: RetailInputs) -> DataFrame:
     large = src.stores().where(F.col("balance") >= 0)
-    return bulk.shipment_scope(src.shipments(), src.lines(), large, "O")
+    return bulk.shipment_scope(src.keep_lines().shipments(), src.lines(), large, "O")
 
 
 def candidates(src: RetailInputs) -> DataFrame:
@@ -38,49 +43,54 @@ def shipment_links(src: RetailInputs) -> DataFrame:
     return src.keep("links", lambda: bulk.shipment_match(candidates(src), SERIES))
 
 
+def planned_days(src: RetailInputs) -> DataFrame:
+    """The days of an item and store whose lines are planned bulk."""
+    links = shipment_links(src)
+    planned = bulk.planned_groups(links, bulk.bulk_share(links, SERIES), SERIES)
+    return src.keep("planned_days", lambda: group_days(src).join(planned, [*SERIES, "group_id"], "left_semi").select(*SERIES, "sale_date"))
+
+
 def clean_lines(src: RetailInputs) -> DataFrame:
-    """Sold lines without planned bulk."""
+    """Sold lines without planned bulk, with their purchase group."""
     links = shipment_links(src)
-    grouped = bulk.basket_groups(src.sold_lines(), SERIES)
+    grouped = src.sold_lines().join(group_days(src).select(*SERIES, "sale_date", "group_id"), [*SERIES, "sale_date"], "left")
     return bulk.demand_without_bulk(grouped, links, bulk.bulk_share(links, SERIES), SERIES)
 
 
 # ---- dense daily demand
 
-def sold_days(src: RetailInputs) -> DataFrame:
-    return sales.daily_sales(clean_lines(src), DENSE)
-
-
-def carried_days(src: RetailInputs) -> DataFrame:
-    """Assortment entries at the grain of the dense series: a day is carried if any variant is in any store."""
-    return (src.assortment_days().where(F.col("stopped") == "N").select("variant_id", "store_id", "sale_date", "stopped")
-            .join(src.items().select("variant_id", "sub_family"), "variant_id")
-            .join(src.stores().select("store_id", "city_id"), "store_id"))
-
-
-def dense_days(src: RetailInputs, sold: DataFrame | None = None) -> DataFrame:
-    return sales.full_date_sales(src.stock(), carried_days(src), sold_days(src) if sold is None else sold, DENSE)
+def dense_events(src: RetailInputs) -> DataFrame:
+    """The events of the dense daily series (``operators.sales.dense_events``): sales without planned bulk, carried days (a
+    variant with a discounted line is in the assortment that day), days out of stock."""
+    def make():
+        planned = planned_days(src).withColumn("_planned", F.lit(1))
+        lines = src.lines().join(planned, [*SERIES, "sale_date"], "left")
+        sold = (F.col("return_flag") != "R") & F.col("_planned").isNull()
+        facts = src.keep("day_facts", lambda: sales.day_facts(lines, [*DENSE, "city_id"], sold, F.col("disc_pct") > 0))
+        return sales.dense_events(facts, src.empty_days(sales.series_spans(facts, [*DENSE, "city_id"])), DENSE, ["city_id"])
+    return src.keep("events", make)
 
 
 def dense_demand(src: RetailInputs) -> DataFrame:
-    sold = src.keep("sold_days", lambda: sold_days(src))
-    dense = src.keep("dense_days", lambda: dense_days(src, sold))
-    return sales.daily_demand(dense, sales.oos_median(dense, DENSE), sold, DENSE)
+    return sales.dense_days(dense_events(src), DENSE, ["city_id"])
 
 
 def dense_promo(src: RetailInputs) -> DataFrame:
-    return promo_join.daily_promo(dense_demand(src), src.kept_plan(), DENSE)
+    """The daily rows. They are laid out from the kept events and kept plan days wherever they are used, without an exchange."""
+    events = dense_events(src)
+    first = src.sale_days().agg(F.min("day")).first()[0]
+    days = src.keep("place_days", lambda: promo_join.place_days(src.kept_plan(), PLACE, first))
+    return promo_join.daily_promo_by_place(sales.dense_days(events, DENSE, ["city_id"]), days, PLACE)
 
 
-def dense_promo_kept(src: RetailInputs) -> DataFrame:
-    """The daily rows for queries that use them several times."""
-    return src.keep("dense_promo", lambda: dense_promo(src))
+def dense_weeks(src: RetailInputs) -> DataFrame:
+    weeks = sales.calendar_weeks(src.calendar()).join(sales.holiday_weeks(src.calendar()), "week_start")
+    return sales.weekly_sales(dense_promo(src), weeks, src.kept_plan(), DENSE, PLACE)
 
 
-def dense_weeks(src: RetailInputs, daily: DataFrame | None = None) -> DataFrame:
-    """Weekly rows; pass the kept daily rows when the query uses those as well."""
-    weeks = sales.calendar_weeks(src.calendar()).join(sales.holiday_weeks(src.calendar()), "week_start")
-    return sales.weekly_sales(dense_promo(src) if daily is None else daily, weeks, src.kept_plan(), DENSE)
+def dense_weeks_kept(src: RetailInputs) -> DataFrame:
+    """The weekly rows for queries that use them several times."""
+    return src.keep("dense_weeks", lambda: dense_weeks(src))
 
 
 def weekly(src: RetailInputs) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tillcast.functions.dates import day_number, month_start, week_key, week_start
 from tillcast.functions.lineage import materialise
 from tillcast.functions.numbers import money, total
+from tillcast.functions.runs import event_runs, lay_out
 from tillcast.functions.texts import COUNT_CODES, padded
 from tillcast.sources.tables import load
 
@@ -30,6 +31,7 @@ FESTIVALS = [(1, "02-05", "02-11"), (2, "09-15", "09-17")]
 # Days by which a lunar year is shorter than the calendar mapping assumes.
 LUNAR_YEAR_DAYS = 354
 LIVE_VERSION = 50
+STOCK = ["sub_family", "store_id", "city_id"]
 DRAFT_VERSION = 20
 
 
@@ -95,8 +97,15 @@ class RetailInputs:
             flagged.alias("return_flag"), F.col("l_linestatus").alias("line_status"),
             _pct("l_discount").alias("disc_pct"), _pct("l_tax").alias("tax_pct"))
 
+    def keep_lines(self) -> RetailInputs:
+        """From here on the sales lines come from a kept copy: for queries that use them several times."""
+        self.keep("lines", self.lines)
+        return self
+
     def lines(self) -> DataFrame:
         """Sales lines with item and store attributes."""
+        if "lines" in self._kept:
+            return self._kept["lines"]
         items = self.items().select("variant_id", "item_id", "sub_family", "family", "brand")
         stores = self.stores().select("store_id", "city_id", "territory")
         return self.raw_lines().join(items, "variant_id").join(stores, "store_id")
@@ -106,8 +115,8 @@ class RetailInputs:
         """Every day from the first to the last sale. The two dates are read from the lines once
         per query; the days themselves are a constant of the plan."""
         if self._span is None:
-            self._span = self.table("lineitem").agg(F.to_date(F.min("l_shipdate")).alias("lo"),
-                                                    F.to_date(F.max("l_shipdate")).alias("hi")).first()
+            days = self._kept["lines"] if "lines" in self._kept else self.table("lineitem").select(F.col("l_shipdate").alias("sale_date"))
+            self._span = days.agg(F.to_date(F.min("sale_date")).alias("lo"), F.to_date(F.max("sale_date")).alias("hi")).first()
         return self.spark.range(1, numPartitions=1).select(
             F.explode(F.sequence(F.lit(self._span.lo), F.lit(self._span.hi))).alias("day"))
 
@@ -162,20 +171,30 @@ class RetailInputs:
                     F.when(F.col("n_r") > F.col("n_a"), "-1").otherwise("1").alias("status")))
 
     # ---- stock and assortment ------------------------------------------------------
+    def empty_days(self, spans: DataFrame) -> DataFrame:
+        """The days on which a series is out of stock, between its first and last movement (``first_day``, ``last_day``). Which
+        days these are is a fixed pattern of the day number, as the test data has no stock: one in 23, stepped to from the
+        first one (10 is the inverse of 7 modulo 23)."""
+        ahead = F.pmod(F.pmod(-self._pattern(F.col("first_day")), F.lit(23)) * 10, F.lit(23)).cast("int")
+        first = F.date_add("first_day", ahead)
+        return spans.where(first <= F.col("last_day")).select(
+            *STOCK, F.explode(F.sequence(first, "last_day", F.expr("interval 23 days"))).alias("sale_date"))
+
+    @staticmethod
+    def _pattern(day: Column) -> Column:
+        return F.ascii("sub_family") * 31 + F.col("store_id") * 17 + day_number(day) * 7
+
     def stock(self) -> DataFrame:
-        """Daily stock per sub family and city, one row for every day between the first and the
+        """Daily stock per sub family and store, one row for every day between the first and the
         last movement. Which days are out of stock (balance 0) or stopped is a fixed pattern of
-        the day number, as the test data has no stock; the quantities come from the lines."""
-        moved = self.lines().groupBy("sub_family", "city_id", "sale_date").agg(F.sum("qty").alias("moved"))
-        span = moved.groupBy("sub_family", "city_id").agg(F.min("sale_date").alias("lo"),
-                                                          F.max("sale_date").alias("hi"))
-        days = span.select("sub_family", "city_id", F.explode(F.sequence("lo", "hi")).alias("sale_date"))
-        letter, n = F.ascii("sub_family"), day_number("sale_date")
-        empty = (letter * 31 + F.col("city_id") * 17 + n * 7) % 23 == 0
-        stopped = (letter + F.col("city_id") * 5 + n) % 29 == 0
-        return days.join(moved, ["sub_family", "city_id", "sale_date"], "left").select(
-            "sub_family", "city_id", "sale_date",
-            F.when(empty, 0.0).otherwise(F.coalesce("moved", F.lit(0.0)) + 1).alias("balance"),
+        the day number; the quantities come from the lines. Days without movement are laid out
+        from the ones with, not joined."""
+        moved = self.lines().groupBy(*STOCK, "sale_date").agg(F.sum("qty").alias("moved"))
+        days = lay_out(event_runs(moved, STOCK, "sale_date"), "sale_date", ["moved"])
+        stopped = (F.ascii("sub_family") + F.col("store_id") * 5 + day_number("sale_date")) % 29 == 0
+        return days.select(
+            *STOCK, "sale_date",
+            F.when(self._pattern(F.col("sale_date")) % 23 == 0, 0.0).otherwise(F.coalesce("moved", F.lit(0.0)) + 1).alias("balance"),
             F.when(stopped, "Y").otherwise("N").alias("stopped"))
 
     def sold_lines(self) -> DataFrame:
