@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillcast.operators import evaluate, forecast, model_table, sales
+from tillcast.operators import boosting, evaluate, forecast, model_table, sales
 from tillcast.sources import files, types
 from tillcast.sources.tables import date_slice
 
@@ -112,46 +112,209 @@ def test_analysis_filter(make):
     assert (r.n, r.out_of_stock, r.inactive, r.bulk, r.dropped_ratio) == (4, 1, 1, 1, 0.75)
 
 
-SMALL = forecast.Trees(8, 4, 0.5, columns=1.0)
+SMALL = boosting.Trees(40, 3, 0.3, columns=1.0, patience=10)
+
+
+def plain_booster(x, y, xv, yv, trees, category):
+    """The same booster by loops over rows and every possible cut, as an independent check."""
+    rounds, forecast_, valid, curve = [], [trees.base] * len(y), [trees.base] * len(yv), []
+
+    def goes_left(v, rule):
+        f, cut, missing_left = rule
+        if np.isnan(v[f]):
+            return missing_left
+        return v[f] == cut if category[f] else v[f] <= cut
+
+    def node(rows, depth, allowed):
+        g, n = sum(forecast_[i] - y[i] for i in rows), len(rows)
+        out = {"value": -g / (n + trees.penalty), "gain": 0.0}
+        if depth == trees.depth:
+            return out
+        best = None
+        for f in allowed:
+            values = sorted({x[i][f] for i in rows if not np.isnan(x[i][f])})
+            every = sorted({r[f] for r in x if not np.isnan(r[f])})
+            cuts = every if category[f] else [(p + q) / 2 for p, q in zip(every, every[1:])] + [every[-1]] if every else []
+            for cut in cuts:
+                for missing_left in (False, True):
+                    left = [i for i in rows if goes_left(x[i], (f, cut, missing_left))]
+                    gl = sum(forecast_[i] - y[i] for i in left)
+                    if not 0 < len(left) < n:
+                        continue
+                    gain = gl ** 2 / (len(left) + trees.penalty) + (g - gl) ** 2 / (n - len(left) + trees.penalty) - g ** 2 / (n + trees.penalty)
+                    if best is None or gain > best[0] + 1e-9:
+                        best = (gain, (f, cut, missing_left), left)
+            del values
+        if best and best[0] > boosting.LEAST_GAIN:
+            out["gain"], out["rule"] = best[0], best[1]
+            left = set(best[2])
+            out["left"], out["right"] = node(best[2], depth + 1, allowed), node([i for i in rows if i not in left], depth + 1, allowed)
+            if out["gain"] < trees.gain and "rule" not in out["left"] and "rule" not in out["right"]:
+                del out["rule"]
+        return out
+
+    def value(tree, v):
+        while "rule" in tree:
+            tree = tree["left"] if goes_left(v, tree["rule"]) else tree["right"]
+        return tree["value"]
+    best = 0
+    for r in range(trees.iterations):
+        allowed = np.flatnonzero(boosting.drawn(len(x[0]), trees.columns, boosting.SEED, r)).tolist()
+        tree = node(list(range(len(y))), 0, allowed)
+        rounds.append(tree)
+        forecast_ = [p + trees.step * value(tree, v) for p, v in zip(forecast_, x)]
+        valid = [p + trees.step * value(tree, v) for p, v in zip(valid, xv)]
+        curve.append(sum(abs(p - t) for p, t in zip(valid, yv)) / len(yv))
+        if curve[-1] < curve[best]:
+            best = r
+        elif trees.patience and r - best >= trees.patience:
+            break
+    kept = rounds[:best + 1]
+    return lambda v: trees.base + trees.step * sum(value(t, v) for t in kept), curve, len(kept)
+
+
+def _noisy(seed, n, missing=0.15):
+    rng = np.random.default_rng(seed)
+    x = np.c_[rng.integers(0, 6, n), rng.integers(0, 4, n), rng.integers(0, 3, n)].astype(float)
+    y = 2.0 * x[:, 0] + 7 * (x[:, 2] == 1) + rng.integers(0, 5, n) + np.where(x[:, 1] > 1, 1.5, 0)
+    x[:, :2][rng.random((n, 2)) < missing] = np.nan
+    return x, y
+
+
+@pytest.mark.parametrize("trees", [boosting.Trees(12, 3, 0.3, gain=4.0, columns=0.7, patience=5), boosting.Trees(6, 2, 0.5, columns=1.0, patience=0)])
+def test_booster_equals_the_plain_one(trees):
+    category = np.array([False, False, True])
+    for seed in range(4):
+        x, y = _noisy(seed, 60)
+        xv, yv = _noisy(seed + 50, 30)
+        model = boosting.fit_arrays(x, y, trees, (xv, yv), category)
+        plain, curve, rounds = plain_booster(x, y, xv, yv, trees, category)
+        assert np.allclose(model.curve, curve)
+        if trees.patience:
+            assert model.rounds == rounds == 1 + int(np.argmin(curve))
+            assert np.allclose(model.predict(xv), [plain(v) for v in xv])
+
+
+def test_patience_sees_past_a_plateau():
+    """Two steps of one feature and a validation set that only the second kind of split helps: errors stand still, then fall. A
+    patience shorter than the plateau stops in front of it, a longer one finds the best round behind it."""
+    rng = np.random.default_rng(0)
+    x = np.c_[np.repeat([0.0, 1.0], 60), np.tile(np.repeat([0.0, 1.0], 30), 2)]
+    y = 100.0 * x[:, 0] + 2.0 * x[:, 1]
+    held = np.c_[np.zeros(20), rng.integers(0, 2, 20)].astype(float)
+    aim = 100.5 + 0 * held[:, 0]  # validation rows that the first rounds bring no nearer for a while
+    early = boosting.fit_arrays(x, y, boosting.Trees(60, 1, 0.1, columns=1.0, patience=2, base=0.5), (held, aim))
+    late = boosting.fit_arrays(x, y, boosting.Trees(60, 1, 0.1, columns=1.0, patience=40, base=0.5), (held, aim))
+    assert late.rounds == 1 + int(np.argmin(late.curve)) and late.rounds >= early.rounds
+    assert len(early.curve) - early.rounds == 2 or len(early.curve) == 60
+    curve = [5.0, 5.0, 6.0, 5.5, 4.0, 4.2, 4.4, 4.1]
+    for rounds, stop, best in ((2, 2, 0), (4, 7, 4), (3, 3, 0)):
+        watch = boosting._Patience(boosting.Trees(99, 1, 0.1, patience=rounds))
+        at = next((k for k, e in enumerate(curve) if watch.done(e)), len(curve) - 1)
+        assert (at, watch.best) == (stop, best)
+
+
+def test_gain_columns_and_sizes():
+    x, y = _noisy(3, 80, 0)
+    none = boosting.fit_arrays(x, y, boosting.Trees(3, 3, 0.5, gain=1e9, columns=1.0))
+    assert all((t.feature < 0).all() for t in none.trees)
+    drawn = [boosting.drawn(10, 0.8, 7, r) for r in range(6)]
+    assert {int(d.sum()) for d in drawn} == {8} and len({tuple(d) for d in drawn}) > 1
+    share = boosting.fit_arrays(x, y, boosting.Trees(20, 3, 0.3, columns=1.0)).importance()
+    assert share.sum() == pytest.approx(1) and share.argmax() in (0, 2)
+    from tillcast.plans import model
+    assert (model.WEEKLY.iterations, model.WEEKLY.depth, model.WEEKLY.step, model.WEEKLY.gain, model.WEEKLY.patience) == (10_000, 4, 0.03, 1.0, 15)
+    assert (model.PROMO.iterations, model.PROMO.depth, model.PROMO.step, model.PROMO.gain, model.PROMO.patience) == (1_000, 6, 0.3, 5.0, 20)
+    assert (model.WEEKLY_ERRORS.iterations, model.WEEKLY_ERRORS.depth, model.WEEKLY_ERRORS.step, model.WEEKLY_ERRORS.gain) == (100, 4, 0.03, 1.0)
+    assert (model.PROMO_ERRORS.iterations, model.PROMO_ERRORS.depth, model.PROMO_ERRORS.gain) == (100, 6, 5.0)
+
+
+def test_table_and_arrays_give_the_same_model(spark, monkeypatch):
+    """A table beyond the bound of one task is fitted by jobs: the same trees, curve and best round."""
+    category = np.array([False, False, True])
+    x, y = _noisy(1, 200)
+    rows = spark.createDataFrame([([None if np.isnan(c) else float(c) for c in v], float(t), k % 4 == 0) for k, (v, t) in enumerate(zip(x, y))],
+                                 "features array<double>, y double, held boolean").repartition(3)
+    trees = boosting.Trees(5, 2, 0.4, gain=1.0, columns=0.7, patience=3)
+    one = boosting.fit(rows, "features", "y", trees, F.col("held"), category)
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", 10)
+    monkeypatch.setattr(boosting, "STAGE", 2)
+    many = boosting.fit(rows, "features", "y", trees, F.col("held"), category)
+    assert np.allclose(one.curve, many.curve) and one.rounds == many.rounds
+    assert np.allclose(one.predict(x), many.predict(x))
+    got = boosting.predicted(rows, one, "features", "f").collect()
+    assert np.allclose([r.f for r in got], one.predict(np.array([[np.nan if c is None else c for c in r.features] for r in got])))
 
 
 def _training(spark):
     rows = [(k, w, float(10 * k + (w % 4)), float(10 * k + ((w + 1) % 4))) for k in range(4) for w in range(40)]
-    df = spark.createDataFrame(rows, "k int, w int, w0 double, w1 double").withColumn(
-        "week_start", F.date_add(F.lit("2018-01-01").cast("date"), F.col("w") * 7)).withColumn("phase", F.col("w") % 4)
-    return model_table.feature_vector(df, {"f": ["k", "phase"]}, ["f"])
+    rows += [(9, 0, 1.0, None), (9, 1, 2.0, 3.0)]  # an item with too few rows
+    return spark.createDataFrame(rows, "k int, w int, w0 double, w1 double").withColumns(
+        {"week_start": F.expr("date_add(date'2018-01-01', w * 7)"), "store": F.col("w") % 2, "features": F.array((F.col("w") % 4).cast("double"), F.lit(None).cast("double"))})
 
 
-def test_forecasts_beat_the_mean(spark):
+def test_weekly_models_by_item_and_horizon(spark):
     rows = _training(spark)
     train, test = rows.where("w < 36"), rows.where("w >= 36")
-    out = forecast.weekly_forecast(train, test.drop("w0", "w1"), ["k"], [0, 1], trees=SMALL, errors=SMALL)
-    assert out.count() == 2 * test.count()
-    joined = out.where("horizon = 0").join(test, ["k", "week_start"])
+    models = forecast.weekly_models(train, test, "k", ["k", "store"], [0, 1], trees=SMALL, errors=SMALL, names=["phase", "none"])
+    out = forecast.weekly_forecast(models, ["k", "store"])
+    assert out.count() == 2 * test.count() and out.where("target_week != date_add(week_start, 7 * horizon)").count() == 0
+    joined = out.where("horizon = 0").join(test, ["k", "store", "week_start"])
     naive = train.agg(F.avg("w0")).first()[0]
     model, mean = joined.agg(F.avg(F.abs(F.col("forecast") - F.col("w0"))), F.avg(F.abs(F.lit(naive) - F.col("w0")))).first()
-    assert model < mean / 5
-    assert out.where(F.col("err2").isNull() | F.isnan("err2")).count() == 0
-    assert out.where("target_week != date_add(week_start, 7 * horizon)").count() == 0
-
-
-def test_folds_and_mape(spark, make):
-    rows = forecast.with_folds(_training(spark), ["k", "week_start"], 3)
-    assert rows.select("k", "w", "fold").collect() == forecast.with_folds(_training(spark), ["k", "week_start"], 3).select("k", "w", "fold").collect()
-    predicted = forecast.out_of_fold(rows, "w0", 3, forecast.Trees(2, 3, 0.5))
-    assert predicted.count() == rows.count()
+    assert model < mean / 5 and out.where("err2 is null or isnan(err2)").count() == 0
+    skipped = forecast.skipped_items(train, "k", [0, 1])
+    assert sorted(map(tuple, skipped.collect())) == [(9, 0, 2), (9, 1, 1)]
+    report = {(r.k, r.horizon): r for r in forecast.model_report(models, skipped, "k").collect()}
+    assert len(report) == 10 and sum(r.skipped for r in report.values()) == 2
+    assert all(r.n_rows == 36 and 1 <= r.rounds <= 40 and r.mae >= 0 for r in report.values() if not r.skipped)
+    top = forecast.top_features(models, "k").collect()
+    assert {r.feature for r in top} == {"phase"} and all(r.importance == pytest.approx(1) for r in top)
+    folds = forecast.fold_rows(models, ["k", "store"])
+    assert folds.count() == 2 * 36 * 4 and folds.where("forecast is null or err2 is null").count() == 0
+    # Each group by itself gives what the arrays give: no model sees another item's rows.
+    mine = sorted(train.where("k = 2").collect(), key=lambda r: (r.k, r.store, r.week_start))
+    fold = {(r.store, r.week_start): r.fold for r in folds.where("k = 2 and horizon = 1").collect()}
+    x = np.array([[r.features[0], np.nan] for r in mine])
+    _, sales, _, _ = forecast._item_models(x, np.array([r.w1 for r in mine]), np.array([fold[r.store, r.week_start] for r in mine]), 2, SMALL, SMALL, None)
+    want = {(r.store, r.week_start): sales.predict(np.array([[r.features[0], np.nan]]))[0] for r in test.where("k = 2").collect()}
+    got = {(r.store, r.week_start): r.forecast for r in out.where("k = 2 and horizon = 1").collect()}
+    assert got == pytest.approx(want)
+
+
+def test_folds_mape_and_promo_model(spark):
+    rows = forecast.with_folds(_training(spark).withColumn("features", F.array(F.col("k").cast("double"), (F.col("w") % 4).cast("double"))), ["k", "week_start"], 3)
+    assert rows.select("k", "w", "fold").collect() == forecast.with_folds(rows.drop("fold"), ["k", "week_start"], 3).select("k", "w", "fold").collect()
+    predicted, models = forecast.out_of_fold(rows, "w0", 3, SMALL)
+    assert predicted.count() == rows.count() and len(models) == 3
     data = predicted.select("fold", "w0", "forecast").collect()
     per_fold = {f: sum(abs(r.forecast - r.w0) for r in data if r.fold == f) / sum(r.w0 for r in data if r.fold == f) for f in range(3)}
-    out = forecast.kfold_mape(predicted, "w0").collect()
+    out = forecast.kfold_mape(predicted, actual="w0").collect()
     assert all(abs(r.mape - per_fold[r.fold]) < 1e-9 and abs(r.mean_mape - np.mean(list(per_fold.values()))) < 1e-9 for r in out)
-    model = forecast.fit(rows, "w0", forecast.Trees(2, 3, 0.5), "forecast")
-    assert [r.feature for r in forecast.feature_importance(model, ["k", "phase"], top=1).collect()] == ["k"]
-
-
-def test_too_few_rows_are_reported(spark):
-    rows = _training(spark).limit(2)
-    with pytest.raises(ValueError, match="enough"):
-        forecast.weekly_forecast(rows, rows, ["k"], [0], trees=SMALL)
+    test = rows.where("w >= 36").withColumn("w0", F.lit(None).cast("double"))
+    found = forecast.promo_forecast(rows.where("w < 36"), test, "w0", ["k", "week_start"], trees=SMALL, errors=SMALL)
+    assert found.count() == test.count() and found.where("abs(forecast - (10 * k + w % 4)) > 4").count() <= 2
+    with pytest.raises(ValueError, match="few"):
+        forecast.promo_forecast(rows.limit(2), test, "w0", ["k"], trees=SMALL)
+    model = boosting.fit(rows, "features", "w0", SMALL)
+    assert forecast.feature_importance(model, ["k", "phase"], spark, top=1).first().feature == "k"
+
+
+def test_sparse_features_and_index(make):
+    df = make("c string, d int, x double, part string", [("a", 1, 2.0, "t"), ("b", 2, None, "t"), ("b", 1, 4.0, "t"), ("z", None, 0.0, "p"), (None, 2, 1.0, "p")])
+    index = model_table.category_index(df, ["c", "d"], F.col("part") == "t")
+    assert sorted(map(tuple, index.collect())) == [("c", "a", 1), ("c", "b", 0), ("d", "1", 0), ("d", "2", 1)]
+    sizes = model_table.category_sizes(index, ["c", "d"])
+    assert sizes == [2, 2]
+    rows = model_table.indexed(df, index, ["c", "d"], sizes)
+    means = model_table.training_means(df, ["x"], F.col("part") == "t")
+    assert means == {"x": 3.0}
+    out = model_table.sparse_features(rows, ["x"], ["c", "d"], sizes, means).collect()
+    got = {(r.c, r.d): (r.size, r["indices"], r["values"]) for r in out}
+    assert got[("a", 1)] == (7, [0, 2, 4], [2.0, 1.0, 1.0]) and got[("b", 2)] == (7, [0, 1, 5], [3.0, 1.0, 1.0])
+    assert got[("z", None)] == (7, [3, 6], [1.0, 1.0]) and got[(None, 2)] == (7, [0, 3, 5], [1.0, 1.0, 1.0])
+    dense, category = model_table.dense_features(rows, ["x"], ["c", "d"])
+    assert category.tolist() == [False, True, True] and {tuple(r.features) for r in dense.collect()} >= {(None, 0.0, 1.0), (0.0, 2.0, 2.0)}
 
 
 def test_missing_features_take_the_mean(make):
@@ -165,18 +328,6 @@ def test_means_come_from_the_training_rows(make):
     assert [r.features[0] for r in out] == [1.0, 3.0, 2.0, 100.0, 2.0]
 
 
-def test_training_stops_early(spark):
-    rows = spark.range(300).select((F.col("id") % 7).cast("double").alias("x"), F.rand(3).alias("w0"))
-    from pyspark.ml.feature import VectorAssembler
-    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)  # nothing to learn
-    stopped = forecast.fit(rows, "w0", forecast.Trees(30, 3, 0.5, columns=1.0), "forecast")
-    full = forecast.fit(rows, "w0", forecast.Trees(30, 3, 0.5, columns=1.0, patience=False), "forecast")
-    assert stopped.getNumTrees < full.getNumTrees == 30
-    no_gain = forecast.fit(rows, "w0", forecast.Trees(2, 3, 0.5, gain=1e9, patience=False), "forecast")
-    assert no_gain.totalNumNodes == 2  # no split is worth it
-    assert forecast.regressor("w0", forecast.WEEKLY, "f").getFeatureSubsetStrategy() == "0.8"
-
-
 def test_typing(make, rows):
     text = make("full_item string, store_code string, week string, predict_sales string, predict_error string, upper string, order_prediction string", [
         ("12_3", "7", "201901", "1.5", "x", "2", "3"), ("bad", "1234", "w", "1", "1", "1", "1")])
@@ -225,9 +376,3 @@ def test_weeks_conserve_days(spark):
     keys = weeks.select(*shared.DENSE, "week_start")
     assert keys.count() == keys.distinct().count()
     assert sales.calendar_weeks(src.calendar()).where("n_days > 7").count() == 0
-
-
-def test_registered_models_have_the_full_sizes():
-    from tillcast.plans import model
-    assert (model.WEEKLY, model.PROMO, model.ERRORS) == (forecast.WEEKLY, forecast.PROMO, forecast.ERRORS)
-    assert (model.WEEKLY.iterations, model.WEEKLY.step, model.PROMO.iterations, model.ERRORS.iterations) == (10_000, 0.03, 1_000, 100)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import business_days, weekend_days
-from tillcast.functions.numbers import ratio
+from tillcast.functions.numbers import exact_mean, ratio
 from tillcast.functions.windows import series, trailing
 
 MISSING = -1.0
@@ -81,6 +82,60 @@ def feature_array(df: DataFrame, groups: dict[str, list[str]], use: list[str], f
     return feature_vector(df, groups, use, fit_on=fit_on).withColumn("features", vector_to_array("features"))
 
 
+def category_index(df: DataFrame, columns: list[str], fit_on: Column | None = None) -> DataFrame:
+    """``column, value, ix``: the values of category columns, as text, numbered from 0 by falling frequency, then value. The
+    fitted index is a table: its rows are the different values, found on the executors."""
+    known = df if fit_on is None else df.where(fit_on)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("_p")
+    counted = known.select(pairs).select("_p.*").where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy("column").orderBy(F.desc("_n"), "value")
+    return counted.withColumn("ix", (F.row_number().over(order) - 1).cast("int")).drop("_n")
+
+
+def category_sizes(index: DataFrame, columns: list[str]) -> list[int]:
+    """Number of known values per column."""
+    sizes = {r["column"]: r["n"] for r in index.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per column
+    return [sizes.get(c, 0) for c in columns]
+
+
+def indexed(df: DataFrame, index: DataFrame, columns: list[str], sizes: list[int]) -> DataFrame:
+    """``<column>__ix`` for each category column; a value that was not seen, and NULL, have a slot of their own after the last."""
+    out = df
+    for c, n in zip(columns, sizes):
+        own = index.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("ix").alias(f"{c}__ix"))
+        out = (out.withColumn("_text", F.col(c).cast("string")).join(own, F.col("_text") == F.col("_value"), "left")
+               .drop("_text", "_value").withColumn(f"{c}__ix", F.coalesce(f"{c}__ix", F.lit(n))))
+    return out
+
+
+def sparse_features(df: DataFrame, numbers: list[str], columns: list[str], sizes: list[int], fill: dict[str, float] | None = None) -> DataFrame:
+    """``size, indices, values`` of one sparse vector: the numbers (missing ones by ``fill``, else 0), then a block of dummies per category
+    column (``<column>__ix``) with a slot for unknown values at its end. Zeros are left out."""
+    check_features(df, [*numbers, *columns])
+    fill = fill or {}
+    parts = [F.struct(F.lit(k).alias("at"), F.coalesce(F.col(c).cast("double"), F.lit(float(fill.get(c, 0.0)))).alias("value")) for k, c in enumerate(numbers)]
+    start = len(numbers)
+    for c, n in zip(columns, sizes):
+        parts.append(F.struct((F.lit(start) + F.col(f"{c}__ix")).alias("at"), F.lit(1.0).alias("value")))
+        start += n + 1
+    kept = F.filter(F.array(*parts), lambda x: x["value"] != 0)
+    return df.withColumns({"size": F.lit(start), "indices": F.transform(kept, lambda x: x["at"]), "values": F.transform(kept, lambda x: x["value"]).cast("array<double>")})
+
+
+def dense_features(df: DataFrame, numbers: list[str], columns: list[str], out: str = "features") -> tuple[DataFrame, np.ndarray]:
+    """``features`` for the models: the numbers, missing ones null, then one category number per column; and which are categories."""
+    check_features(df, [*numbers, *columns])
+    every = [F.col(c).cast("double") for c in numbers] + [F.col(f"{c}__ix").cast("double") for c in columns]
+    return df.withColumn(out, F.array(*every)), np.array([False] * len(numbers) + [True] * len(columns))
+
+
+def training_means(df: DataFrame, numbers: list[str], fit_on: Column | None = None) -> dict[str, float]:
+    """Means of the known numbers, exact to six decimals, so that they do not depend on the order of rows."""
+    known = df if fit_on is None else df.where(fit_on)
+    found = known.agg(*[F.round(exact_mean(F.col(c).cast("double")), 6).alias(c) for c in numbers]).first()
+    return {c: found[c] for c in numbers if found[c] is not None}
+
+
 def densify_weeks(weekly: DataFrame, item: str, store: str) -> DataFrame:
     """Every store of an item with every week of the item's span; missing weeks get quantity -1.
 
