@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from tillcast.operators import features, sales
+from tillcast.operators import features, increment, sales
 from tillcast.plans.registry import query
 from tillcast.plans.shared import DENSE, SERIES, dense_weeks, weekly, weekly_kept
 
@@ -54,7 +56,7 @@ def _cum(keys: str, name: str) -> str:
   FROM (SELECT {keys}, year, week_start, sum(qty) AS q FROM weekly GROUP BY ALL) x)"""
 
 
-@query("share_to_date", f"""
+SHARE_SQL = f"""
 WITH {_cum("item_id, store_id", "a")}, {_cum("family, store_id", "b")}, {_cum("item_id", "c")}, {_cum("family", "d")}
 SELECT w.item_id, w.store_id, w.week_start, w.qty, a.c / nullif(b.c, 0) AS share_in_store,
        c.c / nullif(d.c, 0) AS share_national
@@ -62,18 +64,24 @@ FROM weekly w
 JOIN a ON a.item_id = w.item_id AND a.store_id = w.store_id AND a.week_start = w.week_start
 JOIN b ON b.family = w.family AND b.store_id = w.store_id AND b.week_start = w.week_start
 JOIN c ON c.item_id = w.item_id AND c.week_start = w.week_start
-JOIN d ON d.family = w.family AND d.week_start = w.week_start""")
+JOIN d ON d.family = w.family AND d.week_start = w.week_start"""
+
+
+@query("share_to_date", SHARE_SQL)
 def share_to_date(src):
     return features.share_to_date(weekly_kept(src), "item_id", "family", "store_id").select(
         *WEEK, "share_in_store", "share_national")
 
 
-@query("discount_ratio", """
+DISCOUNT_SQL = """
 SELECT a.item_id, a.store_id, a.week_start, a.qty,
        CAST(sum(CASE WHEN b.coupon_disc > 0 OR b.promo_disc > 0 OR b.member_disc > 0 THEN 1 ELSE 0 END) AS DOUBLE)
          / nullif(sum(CASE WHEN b.qty > 0 THEN 1 ELSE 0 END), 0) AS discount_ratio
 FROM weekly a LEFT JOIN weekly b ON b.item_id = a.item_id AND b.store_id = a.store_id AND b.week_start < a.week_start
-GROUP BY ALL""")
+GROUP BY ALL"""
+
+
+@query("discount_ratio", DISCOUNT_SQL)
 def discount_ratio(src):
     return features.discount_ratio(weekly(src), SERIES).select(*WEEK, "discount_ratio")
 
@@ -235,3 +243,23 @@ def weekly_features(src):
     with_last_year = features.last_year_sales(weekly(src), SERIES)
     return features.weekly_features(with_last_year, sales.oos_week(src.stock(), DENSE), DENSE).select(
         *WEEK, "sub_family", "city_id", "gross", "last_year_qty", "any_oos")
+
+
+def _carried_sql() -> str:
+    """The last two weeks out of a run over all of them."""
+    parts = {"a": ROLLING_SQL, "b": SHARE_SQL, "c": DISCOUNT_SQL, "d": _per_item_sql(), "e": LAST_YEAR_SQL}
+    joins = "\n".join(f"JOIN ({sql.strip()}) {n} ON {n}.item_id = a.item_id AND {n}.store_id = a.store_id AND {n}.week_start = a.week_start"
+                      for n, sql in parts.items() if n != "a")
+    rest = ", ".join(f"{n}.* EXCLUDE (item_id, store_id, week_start, qty)" for n in parts if n != "a")
+    return f"""
+SELECT a.*, {rest} FROM ({ROLLING_SQL.strip()}) a
+{joins}
+WHERE a.week_start >= (SELECT max(week_start) - 7 FROM weekly)"""
+
+
+@query("carried_weeks", _carried_sql())
+def carried_weeks(src):
+    """The last two weeks' features, each from the state of the weeks before it."""
+    last = weekly_kept(src).agg(F.max("week_start")).first()[0]
+    out = increment.carried_weeks(weekly_kept(src), F.lit(last - dt.timedelta(7)))
+    return out.drop("sub_family", "family", "city_id", "gross", "coupon_disc", "promo_disc", "member_disc", "year")
