@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 500
 #: Distinct words a worker remembers between batches; beyond it the memory starts again.
 CACHE_WORDS = 300_000
-#: Tasks that add up the partial sums of all others.
-ADDERS = 8
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,39 +35,6 @@ def map_texts(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(work, schema)
 
 
-def added_up(df: DataFrame, of: Callable[[pa.RecordBatch], list[np.ndarray]], kind: type) -> list[np.ndarray]:
-    """Sums of ``of(batch)``, flat arrays of ``kind``, over all batches; an empty list without a row. Each task adds up its own,
-    ``ADDERS`` tasks add those, and the driver adds the last ones: what moves is one set of sums for each task."""
-    def added(total: list[np.ndarray] | None, found: list[np.ndarray]) -> list[np.ndarray]:
-        return found if total is None else [a + b for a, b in zip(total, found)]
-
-    def packed(total: list[np.ndarray] | None) -> Iterator[pa.RecordBatch]:
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([[t.tobytes() for t in total]], pa.list_(pa.binary()))], names=["parts"])
-
-    def unpacked(row: list[bytes]) -> list[np.ndarray]:
-        return [np.frombuffer(p, kind) for p in row]
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            if batch.num_rows:
-                total = added(total, [np.ascontiguousarray(t, kind).ravel() for t in of(batch)])
-        yield from packed(total)
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for row in batch.column(0).to_pylist():
-                total = added(total, unpacked(row))
-        yield from packed(total)
-
-    schema, total = "parts array<binary>", None
-    for row in df.mapInArrow(each, schema).repartition(ADDERS).mapInArrow(merged, schema).collect():
-        total = added(total, unpacked(row["parts"]))
-    return total or []
-
-
 def text_bytes(text_col: str = "text") -> Column:
     """The whole text as UTF-8 bytes; a null text counts as empty."""
     return F.coalesce(F.col(text_col), F.lit("")).cast("binary")
