@@ -382,3 +382,10 @@ def test_no_mention_stays_in_the_corpus(spark, folder, docs):
     after = queries.op9_pii_surrogates(spark, folder).collect()
     assert before and len(after) == docs.count()
     assert not any(m in r.text for r in after if r.n_replaced for m in before)
+
+
+def test_pii_query_takes_a_clashing_column(spark, tmp_path):
+    rows = [(1, "Write to anna@example.org today.", 7), (2, "Nothing here.", 8)]
+    spark.createDataFrame(rows, "doc_id long, text string, n_replaced int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_replaced, r.text) for r in queries.op9_pii_surrogates(spark, str(tmp_path)).collect()}
+    assert got[2] == (0, "Nothing here.") and got[1][0] == 1 and "anna@example.org" not in got[1][1]

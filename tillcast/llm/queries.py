@@ -50,7 +50,7 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.replace_pii(documents(spark, folder), count_col="n_replaced").select("doc_id", "n_replaced", "text")
+    return pii.replace_pii(documents(spark, folder).select("doc_id", "text"), count_col="n_replaced").select("doc_id", "n_replaced", "text")
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
