@@ -55,5 +55,5 @@ def test_entry_points(spark):
     import __spark_entry__ as entry
     assert set(entry.oracle_sql()) <= set(entry.queries())
     from tillcast.plans import QUERIES
-    assert len(QUERIES) == 119 and set(QUERIES) <= set(entry.queries())
+    assert len(QUERIES) == 122 and set(QUERIES) <= set(entry.queries())
     assert entry.entry(spark).limit(1).count() == 1

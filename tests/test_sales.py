@@ -278,3 +278,21 @@ def test_shipment_match_and_removal(make, rows):
     lines = make("item_id string, store_id int, group_id int, n int", [("i", 1, 1, 1), ("i", 1, 3, 2), ("j", 1, 1, 3), ("i", 1, None, 4)])
     assert rows(bulk.demand_without_bulk(lines, links, share, keys), "n") == [(2,), (3,), (4,)]
     assert bulk.demand_without_bulk(lines, links, share, keys, limit_percent=100).count() == 4
+
+
+def test_sketched_thresholds_stay_within_their_rank_error(spark):
+    """Weekly sketches, merged, against exact ranks of all hourly quantities; merging some weeks gives those weeks' threshold."""
+    lines = spark.range(40_000).select(
+        F.concat(F.lit("i"), F.pmod("id", F.lit(3)).cast("string")).alias("item_id"), F.lit("s").alias("sub_family"), F.lit(1).alias("store_id"),
+        F.expr("date_add(date'2019-01-01', cast(id % 200 as int))").alias("sale_date"), F.col("id").alias("hour"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("qty"), F.when(F.col("id") % 5 == 0, 1).alias("promo_id"),
+        *[F.lit(0.0).alias(c) for c in ("coupon_disc", "promo_disc", "member_disc")])
+    sketches = bulk.quantity_sketches(lines, ["item_id", "store_id"])
+    found = {(r.branch, r.key): r for r in bulk.sketched_thresholds(sketches).collect()}
+    assert len(found) == 4 and sum(r.n for r in found.values()) == 40_000
+    for (branch, key), r in found.items():
+        own = lines.where("promo_id is not null") if branch == "promo" else lines.where((F.col("item_id") == key) & F.col("promo_id").isNull())
+        below, upto, n = own.agg(F.count_if(F.col("qty") < r.quantile), F.count_if(F.col("qty") <= r.quantile), F.count("*")).first()
+        assert n == r.n and below / n - bulk.RANK_ERROR <= 0.9 <= upto / n + bulk.RANK_ERROR and r.p90 == 50.0
+    early = bulk.sketched_thresholds(sketches.where("week_start < '2019-03-01'")).agg(F.sum("n")).first()[0]
+    assert early == lines.where("trunc(sale_date, 'week') < '2019-03-01'").count()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.functions.dates import day_number
+from tillcast.functions.dates import day_number, week_start
 from tillcast.functions.joins import points_in_ranges
 from tillcast.functions.numbers import flag, ratio, total
 
@@ -16,6 +16,8 @@ THRESHOLD_CAP = 50
 CHEQUE = 2
 BAND_DAYS = 35
 TOO_FLAGGED_PERCENT = 20000
+#: Size of a quantile sketch, and the error in rank that it stays within with 99 % confidence (1.33 % for 200; falls with the size).
+SKETCH_SIZE, RANK_ERROR = 800, 0.005
 
 
 def on_promo_or_discount() -> Column:
@@ -55,6 +57,36 @@ def quantity_thresholds(lines: DataFrame, keys: list[str]) -> DataFrame:
         F.least(F.round(F.percentile("qty", F.lit(0.9), F.col("n"))), F.lit(float(THRESHOLD_CAP))).alias("p90"))
 
 
+def quantity_sketches(lines: DataFrame, keys: list[str], k: int = SKETCH_SIZE) -> DataFrame:
+    """A mergeable quantile sketch (KLL) of the hourly quantities per branch, key and week: what is kept of a week so that
+    later runs need not read its lines again."""
+    promo = on_promo_or_discount()
+    branch, key = F.when(promo, "promo").otherwise("regular"), F.when(promo, F.col("sub_family")).otherwise(F.col("item_id"))
+    hourly = lines.groupBy(branch.alias("branch"), key.alias("key"), *keys, "sale_date", "hour").agg(F.sum("qty").alias("qty"))
+    return hourly.groupBy("branch", "key", week_start("sale_date").alias("week_start")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"kll_sketch_agg_double(cast(qty AS double), {k})").alias("sketch"))
+
+
+def sketched_thresholds(sketches: DataFrame, q: float = 0.9) -> DataFrame:
+    """``branch, key, n, quantile, p90`` from the sketches of any weeks, merged. ``quantile`` is a quantity whose rank is within
+    ``RANK_ERROR`` of ``q``; ``p90`` is rounded and capped as the exact threshold is."""
+    merged = sketches.groupBy("branch", "key").agg(F.sum("n").alias("n"), F.expr("kll_merge_agg_double(sketch)").alias("_s"))
+    return merged.select("branch", "key", "n", F.expr(f"kll_sketch_get_quantile_double(_s, {q}D)").alias("quantile")).withColumn(
+        "p90", F.least(F.round("quantile"), F.lit(float(THRESHOLD_CAP))))
+
+
+def ranks_within(lines: DataFrame, thresholds: DataFrame, keys: list[str], q: float = 0.9, error: float = RANK_ERROR) -> DataFrame:
+    """Sketched thresholds with their exact rank in the lines: ``within`` is whether some rank of the quantity is as near to ``q`` as stated."""
+    promo = on_promo_or_discount()
+    branch, key = F.when(promo, "promo").otherwise("regular"), F.when(promo, F.col("sub_family")).otherwise(F.col("item_id"))
+    hourly = lines.groupBy(branch.alias("branch"), key.alias("key"), *keys, "sale_date", "hour").agg(F.sum("qty").alias("qty"))
+    ranks = hourly.join(thresholds.select("branch", "key", "quantile"), ["branch", "key"]).groupBy("branch", "key").agg(
+        (F.count_if(F.col("qty") < F.col("quantile")) / F.count(F.lit(1))).alias("_low"),
+        (F.count_if(F.col("qty") <= F.col("quantile")) / F.count(F.lit(1))).alias("_high"))
+    return thresholds.join(ranks, ["branch", "key"]).withColumn(
+        "within", (F.col("_low") - error <= q) & (F.col("_high") + error >= q)).drop("_low", "_high")
+
+
 def of_branch(thresholds: DataFrame, branch: str) -> DataFrame:
     """One branch of the thresholds, under the name of its key."""
     name = {"regular": "item_id", "promo": "sub_family"}[branch]

@@ -63,3 +63,14 @@ def bulk_share(src):
 @query("demand_without_bulk", "SELECT ticket_id, hour, item_id, store_id, sale_date, qty, group_id FROM clean_lines")
 def demand_without_bulk(src):
     return clean_lines(src).select(*LINE, "group_id")
+
+
+@query("bulk_threshold_sketch", """
+WITH h AS (SELECT CASE WHEN promo_id IS NOT NULL OR coupon_disc > 0 OR promo_disc > 0 OR member_disc > 0 THEN 'promo' ELSE 'regular' END AS branch,
+                  sub_family, item_id, store_id, sale_date, hour, sum(qty) AS qty FROM sold_promo GROUP BY ALL)
+SELECT branch, CASE branch WHEN 'promo' THEN sub_family ELSE item_id END AS key, count(*) AS n, true AS within FROM h GROUP BY ALL""")
+def bulk_threshold_sketch(src):
+    """Thresholds from weekly sketches, and whether their exact ranks are within the sketch's error of 0.9."""
+    sold = src.keep("sold_promo", lambda: sold_promo(src))
+    found = bulk.sketched_thresholds(bulk.quantity_sketches(sold, SERIES))
+    return bulk.ranks_within(sold, found, SERIES).select("branch", "key", "n", "within")
