@@ -154,39 +154,41 @@ def test_secret_query_keeps_base(spark, folder, docs):
 
 # language model
 
-def scores_by_hand(rows, train):
+def scores_by_hand(rows, train, order=3):
+    """Plain interpolated modified Kneser-Ney: n-grams as tuples, counted from the longest to single words."""
     tok = [[*(t or "").encode().lower().split(), b""] for _, t in rows]
-    counts, pairs = collections.Counter(), collections.Counter()
-    for t, use in zip(tok, train):
-        if use:
-            counts.update(t)
-            pairs.update(zip([b" ", *t[:-1]], t))
-    n, v, p = sum(counts.values()), len(counts), len(pairs)
-    behind = collections.Counter(w for _, w in pairs)
-    figures = collections.defaultdict(lambda: [0, 0, 0, 0])
-    for (h, _), k in pairs.items():
-        figures[h][0] += k
-        figures[h][min(k, 3)] += 1
-    d, e = (kneser_ney.discounts([sum(x == k for x in c.values()) for k in (1, 2, 3, 4)]) for c in (pairs, behind))
-
-    def off(of, k):
-        return of[min(k, 3) - 1] if k else 0.0
-    rest = sum(off(e, k) for k in behind.values()) / p if p else 1.0
-    out = []
-    for t in tok:
-        base = score = 0.0
-        for h, w in zip([b" ", *t[:-1]], t):
-            single = max(behind[w] - off(e, behind[w]), 0) / max(p, 1) + rest / (v + 1)
-            f, k = figures.get(h), pairs.get((h, w), 0)
-            prob = single if f is None else max(k - off(d, k), 0) / f[0] + sum(d[i] * f[i + 1] for i in range(3)) / f[0] * single
-            base += math.log10((counts[w] + 1) / (n + v + 1))
-            score += math.log10(prob)
-        out.append((len(t), sum(w in counts for w in t), n, base, score))
-    return out
-
 
-@pytest.mark.parametrize("shard,buffer", [(1 << 24, 2_000_000), (400, 300)])
-def test_scores_equal_a_plain_model(spark, monkeypatch, shard, buffer):
+    def longest(t, i):
+        return tuple([b" ", *t][max(0, i + 2 - order):i + 2])
+    counts = collections.Counter(w for t, use in zip(tok, train) if use for w in t)
+    grams = {k: collections.Counter() for k in range(1, order + 1)}
+    for t, use in zip(tok, train):
+        for i in range(len(t) if use else 0):
+            grams[len(longest(t, i))][longest(t, i)] += 1
+    for k in range(order, 1, -1):
+        for gram in grams[k]:
+            grams[k - 1][gram[1:]] += 1
+    n, v, p = sum(counts.values()), len(counts), len(grams[2])
+    off = {k: (0.0, *kneser_ney.discounts([sum(x == c for x in g.values()) for c in (1, 2, 3, 4)])) for k, g in grams.items()}
+    held = collections.defaultdict(lambda: [0, 0.0])
+    for k, g in grams.items():
+        for gram, c in g.items():
+            held[k, gram[:-1]][0] += c
+            held[k, gram[:-1]][1] += off[k][min(c, 3)]
+
+    def probability(gram):
+        k, c = len(gram), grams[len(gram)].get(gram, 0)
+        kept = max(c - off[k][min(c, 3)], 0)
+        if k == 1:
+            return kept / max(p, 1) + (held[1, ()][1] / p if p else 1.0) / (v + 1)
+        total, left = held.get((k, gram[:-1]), (0, 0.0))
+        return probability(gram[1:]) if not total else kept / total + left / total * probability(gram[1:])
+    return [(len(t), sum(w in counts for w in t), n, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t),
+             sum(math.log10(probability(longest(t, i))) for i in range(len(t)))) for t in tok]
+
+
+@pytest.mark.parametrize("order,shard,buffer", [(3, 1 << 24, 2_000_000), (3, 400, 300), (2, 400, 300), (4, 400, 2_000_000)])
+def test_scores_equal_a_plain_model(spark, monkeypatch, order, shard, buffer):
     monkeypatch.setattr(kneser_ney, "SHARD_BYTES", shard)
     monkeypatch.setattr(kneser_ney, "BUFFER", buffer)
     draw = random.Random(8)
@@ -194,43 +196,30 @@ def test_scores_equal_a_plain_model(spark, monkeypatch, shard, buffer):
     rows = [(k, " ".join(draw.choice(words) for _ in range(draw.randint(0, 40)))) for k in range(150)] + [(150, None), (151, "w1 w2"), (151, "w1 w2")]
     train = [k % 4 != 0 for k in range(len(rows))]
     frame = spark.createDataFrame([(*r, t) for r, t in zip(rows, train)], "doc_id long, text string, use boolean").repartition(3)
-    model = kneser_ney.train(frame.filter("use"))
+    model = kneser_ney.train(frame.filter("use"), order=order)
     got = sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in kneser_ney.scored(frame, model).collect())
-    want = sorted((r[0], *s) for r, s in zip(rows, scores_by_hand(rows, train)))
+    want = sorted((r[0], *s) for r, s in zip(rows, scores_by_hand(rows, train, order)))
     for a, b in zip(got, want):
         assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-9)
 
 
+def test_counts_that_do_not_fit_an_entry(spark):
+    """One n-gram 70,000 times, with a context of as many: both are listed behind the entries."""
+    rows = [(1, "a b " * 35_000), (2, "a b a c a b c " * 9), (3, "a b")]
+    model = kneser_ney.train(spark.createDataFrame(rows[:2] * 2, "doc_id long, text string"))
+    want = scores_by_hand(rows[:2] * 2 + rows[2:], [True] * 4 + [False])
+    for text, hand in zip((rows[0][1], rows[1][1], rows[2][1]), (want[0], want[1], want[4])):
+        assert model.score([text.encode()])[3][0] == pytest.approx(hand[4], rel=1e-9)
+
+
 def test_probabilities_add_up_to_one(spark):
-    """Over all words, the end and the unknown word, behind a frequent, a rare and an unknown word: the figures
-    are read from the model's score of "before w", less that of "before" with its own end."""
+    """Over all words, the end and an unknown word, behind seen and unseen contexts of two words, and behind the start."""
     rows = list(enumerate(["a b a c", "a b d", "b a", "c c c a b"]))
     model = kneser_ney.train(spark.createDataFrame(rows, "doc_id long, text string"))
-
-    def logs(text):
-        return model.score([text.encode()])[3][0]
-    for before in ("a", "c", "unseen"):
-        # p(before, w, end) = p(before) p(w | before) p(end | w), and p(before, end) = p(before) p(end | before)
-        pair = {w: logs(f"{before} {w}") - logs(before) for w in ("a", "b", "c", "d", "unknown")}
-        end = {w: _end(model, w) for w in (*pair, before)}
-        total = sum(10 ** pair[w] * end[before] / end[w] for w in pair) + end[before]
-        assert total == pytest.approx(1.0, rel=1e-9)
-
-
-def _end(model, word):
-    """p(end | word): a text "word" against its start, p(word | start), from the same two figures by hand."""
-    first, second, _ = kneser_ney._pairs([word.encode()])
-    keys = kneser_ney.pair_hash(first, second)
-    d, e = np.array([0.0, *model.pair_discounts]), np.array([0.0, *model.word_discounts])
-    count, = model._look_up("pairs", keys[1:], kneser_ney._deal(first[1:], keys[1:], model.hot, model.bits), 0, (1,))
-    figures = np.stack(model._look_up("pairs", first[1:], kneser_ney._shard(first[1:], model.bits), 2, (3, 4, 5, 6)))[:, 0]
-    if first[1] in model.hot:
-        figures = model.hot_figures[np.searchsorted(model.hot, first[1])]
-    behind, = model._look_up("words", second[1:], kneser_ney._shard(second[1:], model.bits), 0, (1,))
-    single = max(behind[0] - e[min(behind[0], 3)], 0) / model.pairs + model.rest / (model.words + 1)
-    if not figures[0]:
-        return single
-    return max(count[0] - d[min(count[0], 3)], 0) / figures[0] + (d[1:] * figures[1:]).sum() / figures[0] * single
+    for before in ("", "a", "unseen", "a b", "c c", "d d", "b unseen"):
+        at = len(before.split())
+        behind = [model.probabilities([f"{before} {w}".encode()])[0][at] for w in ("a", "b", "c", "d", "unknown", "")]
+        assert sum(behind) == pytest.approx(1.0, rel=1e-9) and min(behind) > 0
 
 
 def test_edge_rows_scored(edge, empty, edge_rows):
