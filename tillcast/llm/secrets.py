@@ -1,15 +1,18 @@
 """Secrets in texts: fixed patterns, and a linear-chain conditional random field over words.
 
 The field tags every word as secret begin, inside or outside. Its features are the word's shape, the
-neighbouring words and the file (language, source, size, braces). It is trained on a bounded sample,
-whose labels are the matches of the patterns, with key words and exact shapes hidden in half of the windows,
-so it also finds what looks like a secret in such surroundings but fits no pattern. Tags are decoded by Viterbi."""
+neighbouring words and the file (language, source, size, braces). It is trained on a bounded sample. Its labels are
+the matches of the patterns, with key words and exact shapes hidden in half of the windows, and secrets of other
+forms (other key words, alphabets, prefixes and quotes) that are drawn and put into every eighth text without a match.
+So it also finds what looks like a secret but fits no pattern. Tags are decoded by Viterbi."""
 
 from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import string
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -19,14 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.functions.lineage import discard, materialise
 from tillcast.llm.common import CACHE_WORDS, map_texts
 
 #: Texts from which the field is trained, those with the smallest hashes of their ids.
 SAMPLE_TEXTS = 20_000
-#: Windows of words that are fitted at most (those with secrets first), and words in one.
+#: Windows of words that are fitted at most (a quarter with matches, a quarter with drawn secrets, half without either), and words in one.
 SAMPLE_WINDOWS, WINDOW = 4_000, 24
 FEATURES = 8192  # weights per tag; features share them by hash
 STEPS = 60  # of the optimizer
+PLANTED = 8  # one text of so many without a match is given a drawn secret
 OUT, BEGIN, INSIDE = 0, 1, 2
 KINDS = ("assign", "access", "hex", "crf")
 
@@ -100,6 +105,8 @@ def word_features(word: str) -> tuple[list[str], list[str]]:
         around.append("sets")
     if re.fullmatch(r"[0-9a-f]+", word.strip(EDGE)):
         own.append("hex")
+    if re.fullmatch(r"[A-Z0-9]{12,}", word.strip(EDGE)):
+        own.append("capitals")
     if "@" in word:
         own.append("at")
     if re.fullmatch(r"[\d.()+-]+", word.strip(EDGE)):
@@ -291,8 +298,27 @@ def _stretches(gain: np.ndarray) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def training_windows(text: str, file: list[str], seed: int) -> list[tuple[list[list[int]], list[int]]]:
-    """Windows around the pattern matches of a text, or one around an odd word (else any) without a match."""
+DRAWN_KEYS = ("auth", "bearer", "credential", "credentials", "access_key", "private_key", "passphrase", "pwd", "dbPassword", "client_secret", "session", "signature")
+DRAWN_BETWEEN = ("=", ":", " = ", ": ", " : ", " ", " is ", "=>")
+ALPHABETS = (string.digits + "abcdef", string.digits + "ABCDEF", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/",
+             string.ascii_letters + string.digits + "-_", string.ascii_uppercase + "234567")
+
+
+def drawn_secret(draw: random.Random) -> str:
+    """A secret of some form: with or without a key word before it, a prefix and quotes."""
+    value = "".join(draw.choices(draw.choice(ALPHABETS), k=draw.randint(14, 48)))
+    if draw.random() < 0.3:
+        value = "".join(draw.choices(string.ascii_letters, k=draw.randint(2, 4))) + draw.choice("_-.") + value
+    if draw.random() < 0.2:
+        value += draw.choice(("=", "=="))
+    quote = draw.choice(("", "", '"', "'"))
+    value = quote + value + quote + draw.choice(("", "", "", ",", ";", ")"))
+    return value if draw.random() < 0.4 else draw.choice(DRAWN_KEYS) + draw.choice(DRAWN_BETWEEN) + value
+
+
+def training_windows(text: str, file: list[str], seed: int) -> list[tuple[list[list[int]], list[int], int]]:
+    """Windows around the pattern matches of a text; without a match one around a drawn secret put between its words, or
+    around an odd word (else any). With every window: 2 for a match, 1 for a drawn secret, 0 for neither."""
     words = [(m.group(), *m.span()) for m in WORD.finditer(text)]
     if not words:
         return []
@@ -307,6 +333,12 @@ def training_windows(text: str, file: list[str], seed: int) -> list[tuple[list[l
         for k in range(first + 1, last + 1):
             if tags[k] == OUT:
                 tags[k] = INSIDE
+    planted = not centres and seed % PLANTED == 0
+    if planted:
+        phrase, at = drawn_secret(random.Random(seed)).split(), seed // PLANTED % (len(words) + 1)
+        words[at:at] = [(w, 0, 0) for w in phrase]
+        tags[at:at] = [BEGIN] + [INSIDE] * (len(phrase) - 1)
+        centres = [at]
     if not centres:
         odd = [k for k, (w, _, _) in enumerate(words) if plain_key(w) is None]
         centres = [odd[seed % len(odd)] if odd else seed % len(words)]
@@ -314,10 +346,10 @@ def training_windows(text: str, file: list[str], seed: int) -> list[tuple[list[l
     for n, centre in enumerate(centres):
         first = max(0, centre - WINDOW // 2)
         cut = words[first:first + WINDOW]
-        hide = (seed + n) % 2 == 0  # learn from what is left without key word and exact shape
+        hide = not planted and (seed + n) % 2 == 0  # learn from what is left without key word and exact shape
         named = [word_features(w) for w, _, _ in cut]
         if hide:
-            named = [([f for f in own if tags[first + k] == OUT or f not in ("key", "sets", "hex") and f[:5] != "shape"],
+            named = [([f for f in own if tags[first + k] == OUT or f not in ("key", "sets", "hex", "capitals") and f[:5] != "shape"],
                       [f for f in around if f != "key"]) for k, (own, around) in enumerate(named)]
         edge = ["edge"]
         features = [_features(own, named[k - 1][1] if k else (edge if first == 0 else word_features(words[first - 1][0])[1]),
@@ -326,7 +358,7 @@ def training_windows(text: str, file: list[str], seed: int) -> list[tuple[list[l
         own_tags = tags[first:first + WINDOW]
         if own_tags[0] == INSIDE:
             own_tags[0] = BEGIN
-        out.append((features, own_tags))
+        out.append((features, own_tags, 1 if planted else 2 if any(tags) else 0))
     return out
 
 
@@ -340,22 +372,25 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, texts, langs, sources = (c.to_pylist() for c in batch.columns)
-            keys, positive, flat, sizes, tags = [], [], [], [], []
+            keys, label, flat, sizes, tags = [], [], [], [], []
             for key, text, lang, source in zip(h, texts, langs, sources):
-                for features, own in training_windows(text, file_features(text, lang, source), key & 0xFFFFFFF):
+                for features, own, kind in training_windows(text, file_features(text, lang, source), key & 0xFFFFFFF):
                     keys.append(key)
-                    positive.append(any(own))
+                    label.append(kind)
                     flat.append([f for word in features for f in word])
                     sizes.append([len(word) for word in features])
                     tags.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(positive, pa.bool_()), *[
-                pa.array(x, pa.list_(pa.int32())) for x in (flat, sizes, tags)]], names=["h", "positive", "flat", "sizes", "tags"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(label, pa.int32()), *[
+                pa.array(x, pa.list_(pa.int32())) for x in (flat, sizes, tags)]], names=["h", "label", "flat", "sizes", "tags"])
 
     chosen = df.withColumn("__h", rank).filter(F.col("__h") <= limits[0]).select(
         "__h", F.coalesce(text_col, F.lit("")), F.col(lang_col).cast("string"), F.col(source_col).cast("string"))
-    found = map_texts(chosen, windows, "h long, positive boolean, flat array<int>, sizes array<int>, tags array<int>")
-    rows = found.orderBy(F.desc("positive"), "h", F.xxhash64("flat", "tags")).limit(SAMPLE_WINDOWS).collect()
-    if not rows or not rows[0].positive:
+    found = materialise(map_texts(chosen, windows, "h long, label int, flat array<int>, sizes array<int>, tags array<int>"))
+    rows = []
+    for label, share in ((2, 4), (1, 4), (0, 2)):
+        rows += found.filter(F.col("label") == label).orderBy("h", F.xxhash64("flat", "tags")).limit(SAMPLE_WINDOWS // share).collect()
+    discard(found)
+    if not rows or rows[0].label < 2:
         return None
     made = []
     for row in rows:
