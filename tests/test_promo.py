@@ -118,6 +118,10 @@ def test_coupons_reach_only_their_places(make, rows):
     # 1 is not found in 11 or 21; the city's coupon is listed once for its two stores.
     assert rows(hits, "level", "place_id", "activity_id") == [("C", 11, 1), ("S", 1, 2), ("S", 21, 2)]
     assert coupon.coupon_link(weekly, weeks).count() == 3 + 4  # three cities and four stores
+    # The city's coupon stands in the rows of both stores; store 1 has its own too; store 9 has none and stays.
+    each = coupon.coupon_rows(weekly, weeks, ["item_id", "store_id"])
+    assert rows(each, "store_id", "level", "activity_id") == [(1, "C", 1), (1, "S", 2), (21, "S", 2), (5, "C", 1), (9, None, None)]
+    assert coupon.coupon_rows(weekly, weeks.limit(0), ["item_id", "store_id"]).count() == 4
     codes = coupon.coupon_codes(weekly, weeks, ["item_id", "store_id"])
     assert codes.count() == weekly.count()
     dummies = coupon.coupon_dummies(codes)

@@ -27,7 +27,7 @@ def test_query_equals_sql(name, spark, con):
     assert compare(QUERIES[name](spark, FOLDER), con, SQL[name]) == ""
 
 
-@pytest.mark.parametrize("name", ["current_promo", "next_promo_detail", "shipment_candidates", "promo_lunar", "coupon_link",
+@pytest.mark.parametrize("name", ["current_promo", "next_promo_detail", "shipment_candidates", "promo_lunar", "coupon_link", "coupon_rows",
                                   "regular_days", "cap_forecast", "densify_weeks", "item_code_fill"])
 def test_plans_have_no_nested_loops(name, spark):
     from tillcast.plans import QUERIES
