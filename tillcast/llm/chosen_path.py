@@ -34,7 +34,7 @@ NO_ID = -(1 << 63)
 
 def runs_for(similarity: float, recall: float) -> int:
     """Runs after which a pair of this similarity has met with probability ``recall``, were every
-    part on its way large: it must agree in the first coordinate and in one of each later split."""
+    part on its way large and the runs independent: it must agree in the first coordinate and in one of each later split."""
     together = similarity * (1 - (1 - similarity) ** SPREAD) ** (DEPTH - 1)
     return math.ceil(math.log(1 - recall) / math.log(1 - together))
 
@@ -113,9 +113,10 @@ def jaccard_join(df: DataFrame, threshold: float = 0.8, words: int = 5, recall:
 
     A null text is an empty one. Rows whose text has no word link with nothing, are a class and a component
     of their own and are all kept. A null id counts as smaller than all others. Other columns are not read.
-    An empty table gives an empty result. Links within a class and links found are exact; a pair at the
-    threshold is missed with probability 1 - ``recall`` at most, a more similar one less often. Nothing is
-    capped."""
+    An empty table gives an empty result. Links within a class and links found are exact. ``recall`` sets the number of runs
+    as if these were independent. They share the coordinates of a level, so at 0.9999 a pair at the threshold is missed
+    with a probability of up to 2e-3 if all parts on its way are large (simulated), less often otherwise or if it is more
+    similar. Nothing is capped."""
     def plain(c: str, name: str):
         return F.when(F.col(c) != NO_ID, F.col(c)).alias(name)
 
