@@ -1,9 +1,14 @@
 import datetime as dt
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from tillcast.operators import coupon, day_split, promo
+from tillcast.functions.joins import points_in_ranges
+from tillcast.functions.lineage import materialise
+from tillcast.functions.texts import COUNT_CODES
+from tillcast.operators import coupon, day_split, promo, promo_join
 
 D = dt.date
 KEYS = ["item_id", "store_id"]
@@ -212,3 +217,52 @@ def test_promo_days_and_fallbacks(make, rows):
     out = day_split.promo_to_day(days, share, weekdays, ["k"], {"d": "f"})
     # a: pattern (its first day sold nothing); b: weekday shares made to add up; c: evenly, length 0 + 1.
     assert rows(out, "k", "day_no", "d") == [("a", 0, 0.0), ("a", 1, 10.0), ("b", 0, 2.5), ("b", 1, 7.5), ("c", 0, 10.0)]
+
+
+def joins_of(df) -> str:
+    """The plan as it ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def periods(spark, n: int):
+    """Kept promotions of one length, in few bytes: equal columns take no room in the file."""
+    start = F.lit("2019-01-01").cast("date")
+    return materialise(spark.range(n).select(
+        F.lit("a long name that every row of the table has").alias("k"), F.col("id").alias("promo_id"), start.alias("promo_start"),
+        F.date_add(start, 13).alias("promo_end"), (F.col("id") % 3).alias("slot"))).where("promo_id >= 0")
+
+
+@pytest.fixture
+def small_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "30k")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_slots_do_not_broadcast_written_out_periods(spark, make, small_broadcasts):
+    lines = (spark.range(40).select(F.lit("a long name that every row of the table has").alias("k"), F.lit(1.0).alias("gross"), (F.col("id") % 3).alias("slot"),
+                                    F.date_add(F.lit("2019-01-01").cast("date"), F.col("id").cast("int")).alias("sale_date"), F.lit(0.1).alias("coupon_disc")))
+    out = coupon.slot_discount(lines, periods(spark, 500).drop("slot"), ["k"])
+    assert {r.slot_discount for r in out.collect()} == {0.1} and out.count() == 500
+    assert not re.search(r"Generate.*explode\(sequence\(promo_start", joins_of(out))  # no row for each day of a promotion
+    days = promo_join.current_promo(lines.drop("slot"), periods(spark, 500), ["k"], ["slot"])
+    assert "BroadcastHashJoin" not in joins_of(days) and days.count() == 14 * 500 + 26
+
+
+def test_ranges_are_not_broadcast(spark, small_broadcasts):
+    points = spark.range(3000).select(F.lit("a long name that every row of the table has").alias("k"), F.date_add(F.lit("2019-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    found = points_in_ranges(periods(spark, 1000), points, ["k"], "promo_start", "promo_end", "day", 2)
+    assert "BroadcastHashJoin" not in joins_of(found) and found.count() == 14 * 1000
+
+
+def test_coupon_weeks_of_promotions_are_not_broadcast(spark, small_broadcasts):
+    codes = [coupon.column_of(c) for c in COUNT_CODES] + ["count_other"]
+    weekly = spark.range(2000).select(
+        F.lit("a long name that every row of the table has").alias("k"), F.date_add(F.lit("2018-12-31").cast("date"), (7 * (F.col("id") % 3)).cast("int")).alias("week_start"), F.lit(1.0).alias("coupon_disc"),
+        F.lit(10.0).alias("gross"), *[F.lit(int(i == 0)).alias(c) for i, c in enumerate(codes)])
+    promos = periods(spark, 400).withColumn("promo_end", F.date_add("promo_end", 70))
+    out = coupon.coupon_discount(weekly, promos, ["k"])
+    assert {r.coupon_discount for r in out.collect()} == {0.1} and out.count() == 400
+    assert not re.search(r"BroadcastHashJoin[^\n]*week_start[^\n]*BuildLeft", joins_of(out))
