@@ -195,6 +195,28 @@ def test_booster_equals_the_plain_one(trees):
             assert np.allclose(model.predict(xv), [plain(v) for v in xv])
 
 
+def test_only_the_smaller_of_two_nodes_is_summed(monkeypatch):
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 9, (400, 5)).astype(float), rng.integers(0, 50, 400).astype(float)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    summed, whole = [], boosting.Layout.sums
+
+    def counted(self, columns, at, *rest):
+        summed.append(len(at))
+        return whole(self, columns, at, *rest)
+    monkeypatch.setattr(boosting.Layout, "sums", counted)
+    category = np.array([False, False, False, False, True])
+    small = boosting.fit_arrays(x, y, boosting.Trees(8, 4, 0.3, gain=200.0), None, category)
+    assert max(summed[1:4]) <= 200 and len(summed) <= 32
+    # the same trees from the sums of all rows, and the same forecasts from the trees without the rows' last places
+    monkeypatch.setattr(boosting.Layout, "level", lambda self, columns, at, gradient, first, width, allowed, above: whole(self, columns, at, gradient, first, width))
+    plain = boosting.fit_arrays(x, y, boosting.Trees(8, 4, 0.3, gain=200.0), None, category)
+    for a, b in zip(small.trees, plain.trees, strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and np.allclose(a.value, b.value, rtol=1e-12, atol=1e-12)
+    assert any((t.feature < 0).any() and (t.gain > 0)[t.feature < 0].any() for t in small.trees)  # some splits went again
+    assert np.allclose(small.predict(x), plain.predict(x), rtol=1e-12)
+
+
 def test_patience_sees_past_a_plateau():
     """Two steps of one feature and a validation set that only the second kind of split helps: errors stand still, then fall. A
     patience shorter than the plateau stops in front of it, a longer one finds the best round behind it."""
