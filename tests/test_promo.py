@@ -195,6 +195,43 @@ def test_week_to_day_adds_up(make):
     assert all(out["b", d] == 2.0 for d in range(4, 11))  # no share: an even seventh
 
 
+def moved_after_explode(df) -> int:
+    """Exchanges of what an explode wrote out."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"Exchange hashpartitioning", plan[:plan.index("Generate explode(")]))
+
+
+def test_shares_meet_keys_not_days(make, rows, small_broadcasts, spark):
+    """Shares, events and impacts that repeat or are null give the rows of the joins by day; the days written out are not moved again."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    forecast = make("k string, week_start date, f double", [("a", "2019-02-04", 28.0), ("a", "2019-02-06", 7.0), ("a", "2019-02-04", 14.0),
+                                                            ("b", "2019-02-11", 14.0), (None, "2019-02-04", 7.0), ("c", None, 3.0)])
+    share = make("k string, dow int, share double", [("a", 2, 0.5), ("a", 3, 0.25), ("a", 3, 0.125), ("a", 4, None), ("a", None, 9.0), ("b", 2, 0.0), (None, 2, 1.0)])
+    events = make("sale_date date, event_code string", [("2019-02-05", "E"), ("2019-02-05", "G"), ("2019-02-06", None), (None, "E")])
+    impacts = make("k string, event_code string, impact double", [("a", "E", 1.0), ("a", "E", 3.0), ("a", None, 5.0), (None, "E", 1.0), ("b", "E", 2.0)])
+    out = day_split.week_to_day(forecast, share, impacts, events, ["k"], {"d": "f"})
+    days = forecast.select("*", F.explode(F.sequence("week_start", F.date_add("week_start", 6))).alias("sale_date")).withColumn("dow", F.dayofweek("sale_date"))
+    joined = (days.join(share, ["k", "dow"], "left").join(events, "sale_date", "left").join(impacts, ["k", "event_code"], "left").toPandas())
+    joined["lift"] = (1 + joined["impact"].fillna(0)) * joined["share"]
+    whole = joined.groupby(["k", "week_start"], dropna=False)["lift"].transform("sum")
+    joined["d"] = (joined["f"] / 7).where(whole == 0, joined["lift"] * joined["f"] / whole.where(whole != 0))
+    names = ["k", "week_start", "sale_date", "dow", "event_code", "share", "impact", "f", "d"]
+
+    def plain(some):
+        return sorted(str([None if v != v else round(v, 9) if isinstance(v, float) else str(v) for v in r]) for r in some[names].astype(object).itertuples(index=False))
+    assert plain(out.toPandas()) == plain(joined) and len(joined) > 40
+    assert moved_after_explode(out) == 0
+    numbered = make("k string, promo_id int, pattern string, day_no int, dow int, length int, f double", [
+        ("a", 1, "P", 0, 2, 1, 8.0), ("a", 1, "P", 1, 3, 1, 8.0), ("b", 1, None, 0, 2, 0, 8.0), (None, 1, "P", 0, 2, 1, 8.0), ("c", 1, "P", 0, 2, 3, 8.0)])
+    patterns = make("k string, pattern string, day_no int, share double", [
+        ("a", "P", 0, 0.5), ("a", "P", 0, 0.25), ("a", "P", 1, None), ("a", "Q", 1, 0.75), ("b", None, 0, 0.5), (None, "P", 0, 0.5)])
+    weekdays = make("k string, dow int, share double", [("a", 3, 0.5), ("c", 2, 0.5), ("b", None, 0.5), (None, 2, 0.5)])
+    spread = day_split.promo_to_day(numbered, patterns, weekdays, ["k"], {"d": "f"})
+    assert rows(spread, "k", "day_no", "d") == sorted([("a", 0, 2.0), ("a", 0, 4.0), ("a", 1, 8.0), ("b", 0, 8.0), ("c", 0, 8.0), (None, 0, 4.0)],
+                                                     key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert moved_after_explode(spread) == 0
+
+
 def test_event_impact(make, rows):
     out = day_split.event_impact(_days(make, [1, 3] + [0] * 12 + [5], D(2019, 1, 7)), {"E": [201902, 201903], "Z": [201904]}, ["k"])
     assert out.count() == 15

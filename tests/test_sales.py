@@ -296,3 +296,43 @@ def test_sketched_thresholds_stay_within_their_rank_error(spark):
         assert n == r.n and below / n - bulk.RANK_ERROR <= 0.9 <= upto / n + bulk.RANK_ERROR and r.p90 == 50.0
     early = bulk.sketched_thresholds(sketches.where("week_start < '2019-03-01'")).agg(F.sum("n")).first()[0]
     assert early == lines.where("trunc(sale_date, 'week') < '2019-03-01'").count()
+
+
+def test_pieces_of_weeks_equal_days(spark, make):
+    """Weeks summed from pieces, and regular days picked from them, against the days laid out; with promotions that overlap, a place
+    without any, a null key, days out of stock at either end of a run, negative and missing values."""
+    from tillcast.operators import day_split
+    draw, day0 = random.Random(11), D(2018, 12, 26)
+    facts, empty = [], []
+    for k, city in (("a", 1), ("b", 1), ("c", 2), (None, 1), ("d", None), ("e", 3)):
+        days = sorted(draw.sample(range(150), 25))
+        for d in days:
+            qty = draw.choice([None, -2.0, 0.0, 3.0, 8.0])
+            facts.append((k, city, day0 + dt.timedelta(d), qty, draw.choice([None, 2.5]), 0.5, 0.0, 0.25, draw.choice([None, 0.25]), 1.5,
+                          draw.choice([None, 0.125, 0.5]), 0.1, draw.choice([0, 1]), draw.choice([0, 1])))
+        empty += [(k, city, day0 + dt.timedelta(d)) for d in range(days[0], days[-1] + 1) if draw.random() < 0.2]
+    facts = make("k string, city int, sale_date date, qty double, gross double, coupon_disc double, promo_disc double, member_disc double, coupon_min double, "
+                 "coupon_max double, coupon_mean double, coupon_std double, any_bulk int, carried int", facts)
+    events = sales.dense_events(facts, make("k string, city int, sale_date date", empty), ["k"], ["city"])
+    plan = make("city int, promo_id int, promo_start date, promo_end date, promo_price double, list_price double, slot int, announced date", [
+        (1, 1, "2019-01-03", "2019-01-16", 9.0, 10.0, 1, "2018-12-10"), (1, 2, "2019-01-10", "2019-01-12", 8.0, 10.0, 1, None),
+        (1, 3, "2019-03-08", "2019-03-10", 8.0, 10.0, 1, None), (2, 4, "2019-02-01", "2019-02-01", 8.0, 10.0, 1, None),
+        (2, 5, "2019-02-01", "2019-02-20", 8.0, 10.0, 1, None), (None, 6, "2019-01-01", "2019-03-01", 8.0, 10.0, 1, None)])
+    place = promo_join.place_days(plan, ["city"], day0)
+    daily = promo_join.daily_promo_by_place(sales.dense_days(events, ["k"], ["city"]), place, ["city"])
+    weeks = (spark.range(30).select(F.expr("date_add(date'2018-12-24', cast(id * 7 as int))").alias("week_start"))
+             .withColumn("holiday_days", F.when(F.weekofyear("week_start") == 1, 1).otherwise(0)))
+    pieces = sales.dense_pieces(events, ["k"], ["city"])
+    want = sales.weekly_sales(daily, weeks, plan, ["k"], ["city"])
+    got = sales.weekly_sales(pieces, weeks, plan, ["k"], ["city"], place, sales.place_weeks(place, ["city"]))
+    assert got.dtypes == want.dtypes and want.where("n_current > 1").count() > 1 and want.where("n_next > 1").count() > 0
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    calendar = make("week_start date", [("2018-12-24",), ("2019-07-01",)])
+    a, b = (day_split.regular_days(d, want, calendar, ["k"]) for d in (daily, pieces))
+    assert a.dtypes == b.dtypes and a.count() > 100 and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    some = F.col("week_start").isin(D(2019, 1, 7), D(2019, 2, 4))
+    few = sales.dense_days(events, ["k"], ["city"], some)
+    assert sorted(map(str, few.collect())) == sorted(map(str, sales.dense_days(events, ["k"], ["city"]).where(
+        F.trunc("sale_date", "week").isin(D(2019, 1, 7), D(2019, 2, 4))).collect()))
+    plan_text = b._jdf.queryExecution().executedPlan().toString()
+    assert plan_text.index("posexplode(sequence(sale_date") < plan_text.index("LeftSemi")  # the days come after the choice of weeks
