@@ -244,6 +244,37 @@ def test_five_blocks_meet_all_near_hashes():
         assert any(i in agree and j in agree for i, j in line_dedup.PAIRS)
 
 
+def test_eight_blocks_meet_all_near_hashes_and_few_others(spark):
+    assert sum(line_dedup.WIDTHS) == line_dedup.BITS and len(line_dedup.SETS) == 14
+    draw = random.Random(3)
+    hashes = [draw.getrandbits(60) for _ in range(300)]
+    rows = []
+    for a in hashes:
+        b = a
+        for bit in draw.sample(range(60), 3):
+            b ^= 1 << bit
+        rows.append((a, b))
+    keys = spark.createDataFrame(rows, "a long, b long").select(
+        "a", line_dedup.bucket_keys(F.col("a")).alias("x"), line_dedup.bucket_keys(F.col("b")).alias("y")).collect()
+    assert all(set(r.x) & set(r.y) for r in keys)
+    for r in keys:  # a key tells its set, and leaves at most 31 bits of the hash open
+        assert len(set(r.x)) == 14 and [k >> 60 & 15 for k in r.x] == list(range(14))
+    assert all(29 <= sum(line_dedup.WIDTHS[b] for b in q) <= 31 for q in line_dedup.SETS)
+
+
+def test_line_arrays_are_worked_out_once(spark):
+    # A filter that the optimiser adds before an inner explode would split every line a second time.
+    frame = spark.createDataFrame([(1, "one two\n\nthree")], "doc_id long, text string")
+    found = []
+    real = line_dedup.materialise
+    try:
+        line_dedup.materialise = lambda df: found.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df)
+        assert line_dedup.line_hashes(frame, "doc_id", "text").count() == 2
+    finally:
+        line_dedup.materialise = real
+    assert found[0].count("[^\\p{L}\\p{N}]+") == 1
+
+
 def test_lines_of_edge_rows(edge, empty, edge_rows):
     rows = line_dedup.dedup_lines(edge).collect()
     assert len(rows) == 2 * 3 + 1 + 1 + 1 + 1 + 1  # lines with a letter or digit

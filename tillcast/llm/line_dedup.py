@@ -1,11 +1,14 @@
 """Fuzzy line deduplication.
 
 Lines are reduced to their lower-case words. Equal lines are one class; a class gets a 60-bit SimHash of
-its different words (counted once each: a few very frequent words would make all long lines alike). Two classes that differ in at most ``DISTANCE`` bits agree in two or more of the five twelve-bit
-blocks, whatever the bits, so classes are joined on every pair of blocks. Their lines are compared by edit
-distance, and of each group connected by such links the first occurrence stays.
-
-A line in thousands of variants would give millions of pairs. So the members of a block pair are first
+its different words (counted once each: a few very frequent words would make all long lines alike). The bits are
+parted into eight blocks. Classes are joined on four blocks at once, some thirty bits, so that few meet by chance however
+many they are. The fourteen sets of four blocks whose numbers have XOR 0 are enough: any three blocks lie
+in one of them, and the other four blocks are such a set as well, so two classes that differ in at most ``DISTANCE`` bits agree on one of the
+sets, whatever the bits. Their lines are compared by edit distance, and of each group connected by such links the first
+occurrence stays.
+
+A line in thousands of variants would give millions of pairs. So the members of a set's bucket are first
 compared with its smallest member only, and what this connects is not compared again: all other pairs of
 a bucket are formed just between members that are not connected yet."""
 
@@ -20,11 +23,13 @@ from tillcast.functions.lineage import discard, materialise
 from tillcast.llm.common import column, fresh
 from tillcast.llm.components import components
 
-BITS, BLOCKS, DISTANCE = 60, 5, 3
+BITS, DISTANCE = 60, 3
 SIMILARITY = 0.8  # 1 - edit distance / length of the longer line
 CHUNK = 4095  # words whose bit counts fit the twelve-bit fields of a sum
-FIELD = 12  # bits
-PAIRS = list(combinations(range(BLOCKS), 2))
+FIELD, FIELDS = 12, 5  # bits of a field, fields of a sum
+PAIRS = list(combinations(range(FIELDS), 2))  # of five blocks of twelve bits: exact as well, a test holds them; keys too short to be joined on
+WIDTHS = (8, 8, 8, 7, 8, 7, 7, 7)  # bits of the blocks: no set of four has only wide or only narrow ones
+SETS = [q for q in combinations(range(len(WIDTHS)), 4) if q[0] ^ q[1] ^ q[2] ^ q[3] == 0]
 BREAK = r"[^\p{L}\p{N}]+"
 NO_ID = -(1 << 63)
 
@@ -34,6 +39,16 @@ def _ones(width: int, fields: int) -> int:
     return sum(1 << width * f for f in range(fields))
 
 
+def _mask(blocks: tuple[int, ...]) -> int:
+    """All bits of these blocks."""
+    return sum((1 << WIDTHS[b]) - 1 << sum(WIDTHS[:b]) for b in blocks)
+
+
+def bucket_keys(sim: Column) -> Column:
+    """For each set of blocks the hash's bits there, with the set's number above them."""
+    return F.array(*[sim.bitwiseAND(F.lit(_mask(q))).bitwiseOR(F.lit((t << BITS ^ 1 << 63) - (1 << 63))) for t, q in enumerate(SETS)])
+
+
 def line_words(line: Column) -> Column:
     """Lower-case runs of letters and digits."""
     return F.array_remove(F.split(F.lower(line), BREAK), "")
@@ -59,17 +74,18 @@ def line_hashes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("doc"),
                      F.monotonically_increasing_id().alias("uid"), text.alias("text"))
-    lines = rows.select("id", "doc", "uid", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # An inner explode is planned with a filter that works its array out a second time; null words go behind it.
+    lines = rows.select("id", "doc", "uid", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
     words = lines.select("id", "doc", "uid", "line_no", F.transform(line_words(F.col("line")), lambda w: F.xxhash64(w)).alias("words"))
     # What is selected beside a generator is worked out for each of its rows, so the line's hashes come before it.
     own = ["id", "doc", "uid", "line_no", "h1", "h2"]
     hashed = words.select("id", "doc", "uid", "line_no", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"),
                           F.array_distinct("words").alias("features"))
-    each = hashed.select(*own, F.posexplode("features").alias("at", "word"))
+    each = hashed.select(*own, F.posexplode_outer("features").alias("at", "word")).filter("word is not null")
     h = F.col("word")
     summed = each.groupBy(*own, F.expr(f"at div {CHUNK}").alias("chunk")).agg(
         F.count("*").alias("n"),
-        *[F.sum(F.shiftright(h, k).bitwiseAND(F.lit(_ones(FIELD, BLOCKS)))).alias(f"s{k}") for k in range(FIELD)])
+        *[F.sum(F.shiftright(h, k).bitwiseAND(F.lit(_ones(FIELD, FIELDS)))).alias(f"s{k}") for k in range(FIELD)])
     sums = [F.col(f"s{k}") for k in range(FIELD)]
     several = (F.col("chunk") > 0) | (F.col("n") == CHUNK)
     kept = materialise(summed.select(*own, "n", _majority(sums, F.col("n")).alias("sim"), F.when(several, F.array(*sums)).alias("sums")))
@@ -142,20 +158,18 @@ def line_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         F.min(F.struct("id", "doc", "line_no", "uid")).alias("first"), F.count("*").alias("weight"), F.min("sim").alias("sim"))
         .withColumn("node", F.monotonically_increasing_id()))
 
-    def block(b: int) -> Column:
-        return F.shiftright(F.col("sim"), b * FIELD).bitwiseAND(F.lit((1 << FIELD) - 1))
-
-    keys = F.array(*[F.lit(t << 2 * FIELD) + F.shiftleft(block(i), FIELD) + block(j) for t, (i, j) in enumerate(PAIRS)])
-    entries = classes.select("node", "sim", F.explode(keys).alias("key"))
-    # Most shared keys are two lines that meet by chance; of two members the sum shows their distance at once.
-    shared = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("sim").alias("x")).filter(
+    # Most shared keys are two lines that meet by chance; of two members the sum shows their distance at once. Hardly a key
+    # comes twice, so nothing is added up before the keys are dealt, and what is dealt serves the join as well. Joins with
+    # lists that grow with the input are not left to their size: as broadcasts on small inputs only they would cost more on large ones.
+    entries = classes.select("node", "sim", F.explode(bucket_keys(F.col("sim"))).alias("key")).repartition("key")
+    shared = entries.groupBy("key").agg(F.count("node").alias("n"), F.bit_xor("sim").alias("x")).filter(
         (F.col("n") > 2) | (F.col("n") == 2) & (F.bit_count("x") <= DISTANCE)).select("key")
-    crowded = materialise(entries.join(shared, "key"))
+    crowded = materialise(entries.join(shared.hint("shuffle_hash"), "key"))
     # Members of a bucket with another one close to them; the search ends at the first.
     other = crowded.select(F.col("key").alias("o_key"), F.col("node").alias("o_node"), F.col("sim").alias("o_sim"))
     members = materialise(crowded.join(other, (F.col("key") == F.col("o_key")) & (F.col("node") != F.col("o_node")) & _close("sim", "o_sim"), "left_semi"))
     discard(crowded)
-    texts = _lines(df, classes.join(members.select("node").distinct(), "node").select("node", "first.id", "first.doc", "first.line_no"), id_col, text_col)
+    texts = _lines(df, classes.join(members.select("node").distinct().hint("merge"), "node").select("node", "first.id", "first.doc", "first.line_no"), id_col, text_col)
     # First each member with the smallest of its bucket.
     least = members.groupBy("key").agg(F.min(F.struct("node", "sim")).alias("least")).select("key", F.col("least.node").alias("b"), F.col("least.sim").alias("b_sim"))
     stars = members.join(least, "key").filter((F.col("node") != F.col("b")) & _close("sim", "b_sim")).select(F.col("node").alias("a"), "b").distinct()
@@ -170,13 +184,13 @@ def line_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     more = _verified(pairs.select(F.col("node").alias("a"), "b").distinct(), texts)
     roots = components(links.unionByName(more))
     # Classes alone with one occurrence need no group.
-    grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = classes.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = grouped.groupBy("root").agg(F.min("first").alias("kept_one"), F.sum("weight").alias("lines")).filter("lines > 1")
-    repeated = materialise(grouped.select("h1", "h2", "root").join(groups, "root").select("h1", "h2", "kept_one"))
+    repeated = materialise(grouped.select("h1", "h2", "root").join(groups.hint("merge"), "root").select("h1", "h2", "kept_one"))
     discard(classes, members, texts, links, more, left)
     k = F.col("kept_one")
     same = (k["id"] == F.col("id")) & (k["doc"] == F.col("doc")) & (k["line_no"] == F.col("line_no")) & (k["uid"] == F.col("uid"))
-    return occurrences.join(repeated, ["h1", "h2"], "left").select(
+    return occurrences.join(repeated.hint("merge"), ["h1", "h2"], "left").select(
         "id", "doc", "uid", "line_no", F.coalesce(k["id"], "id").alias("group_id"), F.coalesce(k["line_no"], "line_no").alias("group_line_no"),
         F.coalesce(same, F.lit(True)).alias("kept"))
 
@@ -186,7 +200,7 @@ def _lines(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Data
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("doc"), text.alias("text"))
     by_doc = materialise(wanted).groupBy("id", "doc").agg(F.collect_list(F.struct("node", "line_no")).alias("wanted"))  # a document's own lines
-    found = docs.join(by_doc, ["id", "doc"]).select(F.split("text", "\n").alias("lines"), "wanted")
+    found = docs.join(by_doc.hint("merge"), ["id", "doc"]).select(F.split("text", "\n").alias("lines"), "wanted")
     taken = found.select(F.explode(F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), F.get("lines", w["line_no"]).alias("line")))).alias("l"))
     words = taken.select("l.node", F.array_join(line_words(F.col("l.line")), " ").alias("line"))
     return materialise(words.dropDuplicates(["node"]))  # repeated rows give a line twice
@@ -219,7 +233,7 @@ def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     *keys, about = fresh(df, "key_id", "key_doc", "about")
     keyed = df.withColumns(dict(zip(keys, (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.xxhash64(text)))))
     per_doc = per_doc.select(F.col("id").alias(keys[0]), F.col("doc").alias(keys[1]), F.struct("n", "dropped", "rows").alias(about))
-    joined = keyed.join(per_doc, keys, "left")
+    joined = keyed.join(per_doc.hint("merge"), keys, "left")
     d = F.col(about)
     split = F.split(text, "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), d["dropped"])
