@@ -288,6 +288,20 @@ def test_slots_do_not_broadcast_written_out_periods(spark, make, small_broadcast
     assert "BroadcastHashJoin" not in joins_of(days) and days.count() == 14 * 500 + 26
 
 
+def test_promotion_features_are_not_broadcast(spark, small_broadcasts):
+    """What is aggregated from a kept table grows with the promotions, however few bytes the file has."""
+    promos = materialise(periods(spark, 1000).select("k", F.col("promo_id").alias("store_id"), "promo_id", "promo_start", F.lit(2.0).alias("sales"), F.lit(0.5).alias("price_ratio"),
+                                                     F.trunc("promo_start", "month").alias("start_month"), F.date_trunc("week", "promo_start").cast("date").alias("start_week")))
+    later = promos.withColumns({"start_month": F.add_months("start_month", 12), "start_week": F.date_add("start_week", 364), "promo_id": F.col("promo_id") + 5000, "sales": F.lit(3.0)})
+    both = materialise(promos.unionByName(later))
+    year_ago = promo.promo_last_year(both, ["k", "store_id"], ["store_id"])
+    history = promo.promo_history(both, ["k", "store_id"], ["store_id"])
+    for out in (year_ago, history):
+        assert "BroadcastHashJoin" not in joins_of(out) and out.count() == 2000
+    assert {(r.sales, r.last_year_sales, r.last_year_family_mean) for r in year_ago.collect()} == {(2.0, None, None), (3.0, 2.0, 2.0)}
+    assert {(r.sales, r.last_five_mean, r.family_last_five_mean) for r in history.collect()} == {(2.0, None, None), (3.0, 2.0, 2.0)}
+
+
 def test_ranges_are_not_broadcast(spark, small_broadcasts):
     points = spark.range(3000).select(F.lit("a long name that every row of the table has").alias("k"), F.date_add(F.lit("2019-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
     found = points_in_ranges(periods(spark, 1000), points, ["k"], "promo_start", "promo_end", "day", 2)
