@@ -128,6 +128,26 @@ def test_held_out_accuracy(spark):
     assert len({r.score for r in toxicity.scores(twice, model).collect()}) == 1
 
 
+def test_language_does_not_become_the_hidden_class(spark):
+    """Most toxic texts are in one of two languages: its common words stand out, but are no voters."""
+    draw = random.Random(4)
+    languages = [[f"{a}{b}{c}" for a in some for b in ("lun", "ver", "sti") for c in ("a", "os", "ent")] for some in (("ta", "ri", "mo"), ("ke", "pu", "fo"))]
+    rows = []
+    for k in range(4000):
+        toxic = draw.random() < 0.2
+        words = languages[draw.random() < (0.1 if toxic else 0.6)]
+        text = [draw.choice(words) for _ in range(draw.randint(20, 80))]
+        if toxic:
+            for _ in range(draw.randint(1, 3)):
+                text.insert(draw.randrange(len(text) + 1), draw.choice(["idiot", "scum", f"zorqu{draw.choice(words)}"]))
+        rows.append((k, " ".join(text), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows if r[0] < 3000], "doc_id long, toxic int")
+    found = {r.doc_id: (r.score, r.predicted) for r in toxicity.scores(docs, toxicity.train(docs.filter("doc_id < 3500"), labels)).collect()}
+    unseen = [(found[k], y) for k, _, y in rows if k >= 3500]
+    assert sum(p == y for (_, p), y in unseen) / len(unseen) > 0.97 and auc([(s, y) for (s, _), y in unseen]) > 0.98
+
+
 def test_query_learns_from_its_rows_only(spark):
     folder = "/root/testdata/sf0.1"  # 97 labelled toxic rows are held out
     rows = queries.QUERIES["op11_toxicity"](spark, folder).collect()
