@@ -317,3 +317,56 @@ def test_coupon_weeks_of_promotions_are_not_broadcast(spark, small_broadcasts):
     out = coupon.coupon_discount(weekly, promos, ["k"])
     assert {r.coupon_discount for r in out.collect()} == {0.1} and out.count() == 400
     assert not re.search(r"BroadcastHashJoin[^\n]*week_start[^\n]*BuildLeft", joins_of(out))
+
+
+def shuffled_rows(df):
+    """Rows that the plan's exchanges wrote."""
+    df.collect()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(plan.plan())
+        elif kind != "ReusedExchangeExec":
+            if kind == "ShuffleExchangeExec":
+                found += plan.metrics().apply("shuffleRecordsWritten").value()
+            todo += [plan.children().apply(i) for i in range(plan.children().length())]
+    return found
+
+
+def test_coupons_are_moved_once_and_not_by_week_or_store(spark):
+    """Forty stores of a city, forty coupons of it that last four weeks: 1600 rows a week come out, but few are moved."""
+    day = F.lit("2019-01-07").cast("date")
+    weekly = spark.range(40).select(F.lit("i").alias("item_id"), F.col("id").cast("int").alias("store_id"), F.lit(7).alias("city_id"), F.lit(1.0).alias("gross"),
+                                    F.lit(0.0).alias("coupon_disc"), F.explode(F.sequence(day, F.date_add(day, 21), F.expr("interval 7 days"))).alias("week_start"))
+    spans = spark.range(40).select(F.col("id").alias("activity_id"), F.lit("i").alias("item_id"), F.lit("C").alias("level"), F.lit("01").alias("type_id"),
+                                   F.lit("CP").alias("type_code"), F.lit("11").alias("count_code"), F.lit("000000007").alias("area_list"),
+                                   F.sequence(day, F.date_add(day, 21), F.expr("interval 7 days")).alias("weeks"))
+    keys = ["item_id", "store_id"]
+    out = coupon.coupon_rows(weekly, spans, keys)
+    assert out.count() == 4 * 40 * 40 and shuffled_rows(out) <= 3 * 160 + 40  # to the store's coupons, then to the city's
+    assert shuffled_rows(coupon.coupon_codes(weekly, spans, keys)) <= 3 * 160 + 40
+    link = coupon.coupon_link(weekly, spans)
+    assert link.where("level = 'C'").count() == 4 * 40 and link.where("activity_id is null").count() == 4 * 40
+    assert shuffled_rows(link) <= 40 + 2 * 41 + 41
+    assert coupon.coupon_union(weekly, spans).count() == 4 * 40
+
+
+def test_coupon_rows_without_a_key_meet_nothing(make, rows):
+    weekly = make("item_id string, store_id int, city_id int, week_start date, gross double, coupon_disc double", [
+        ("i", None, 7, "2019-01-07", 1.0, 0.0), ("i", 2, None, "2019-01-07", 1.0, 0.0), ("i", 3, 7, None, 1.0, 0.0), (None, 4, 7, "2019-01-07", 1.0, 0.0),
+        ("i", 5, 7, "2019-01-07", 1.0, 0.0), ("i", 5, 7, "2019-01-07", 2.0, 0.0)])
+    weeks = make("activity_id int, item_id string, level string, type_id string, type_code string, count_code string, area_list string, week_start date", [
+        (1, "i", "C", "01", "CP", "11", "7", "2019-01-07"), (2, None, "C", "01", "CP", "11", "7", "2019-01-07"), (3, "i", "C", "01", "CP", "11", "7", None),
+        (4, "i", "C", "01", "CP", "11", "x", "2019-01-07")])
+    keys = ["item_id", "store_id"]
+    assert rows(coupon.coupon_rows(weekly, weeks, keys), "store_id", "activity_id") == [(2, None), (3, None), (4, None), (5, 1), (None, 1)]
+    assert rows(coupon.coupon_codes(weekly, weeks, keys), "store_id", "gross", "n_type_id") == [
+        (2, 1.0, None), (3, 1.0, None), (4, 1.0, None), (5, 1.0, 1), (5, 2.0, 1), (None, 1.0, 1)]
+    link = coupon.coupon_link(weekly, weeks).where("level = 'C'")
+    assert rows(link, "item_id", "place_id", "week_start", "activity_id") == [
+        ("i", 7, "2019-01-07", 1), ("i", 7, None, None), ("i", None, "2019-01-07", None), (None, 7, "2019-01-07", None)]
+    assert rows(coupon.coupon_union(weekly, weeks), "place_id", "activity_id") == [(7, 1)]
