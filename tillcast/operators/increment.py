@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.functions.lineage import discard, materialise
+from tillcast.functions.lineage import discard, drop_shuffles, is_kept, materialise
 from tillcast.functions.numbers import exact_mean, flag, ratio
 from tillcast.functions.windows import trailing
 from tillcast.operators import features
@@ -77,9 +77,9 @@ def _to_date(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return rows.groupBy(*keys, "year").agg(F.sum("qty").alias(name))
 
 
-def initial_state(weekly: DataFrame) -> State:
-    """The state after all rows of ``weekly``, kept."""
-    weekly = materialise(weekly)
+def initial_state(weekly: DataFrame, stored: bool = False) -> State:
+    """The state after all rows of ``weekly``, kept. ``stored``: these are read from a table, so need not be written for this."""
+    weekly = weekly if stored else materialise(weekly)
     last = weekly.agg(F.max("week_start")).scalar()
     levels = {n: _level(weekly, keys) for n, keys in LEVELS.items()}
     extremes = levels["family"].groupBy(*FAMILY).agg(F.min("qty").alias("family_min"), F.max("qty").alias("family_max"))
@@ -92,8 +92,15 @@ def initial_state(weekly: DataFrame) -> State:
 
 
 def _kept(state: State) -> State:
-    return State(materialise(state.rows), {n: materialise(f) for n, f in state.levels.items()}, materialise(state.extremes),
-                 materialise(state.counts), {n: materialise(f) for n, f in state.to_date.items()})
+    return State(_put(state.rows), {n: _put(f) for n, f in state.levels.items()}, _put(state.extremes),
+                 _put(state.counts), {n: _put(f) for n, f in state.to_date.items()})
+
+
+def _put(step: DataFrame) -> DataFrame:
+    """``materialise``, after which the step's exchanges leave the disks."""
+    kept = materialise(step)
+    drop_shuffles(kept.sparkSession)
+    return kept
 
 
 def _of(state: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -138,13 +145,13 @@ def advanced(state: State, new: DataFrame) -> State:
 def carried_weeks(weekly: DataFrame, first) -> DataFrame:
     """The features of all weeks from ``first`` on, week by week from the state of the weeks before; one table per week is kept. The
     driver walks over weeks, of which a run has one or a few."""
-    weekly = materialise(weekly)
-    state = initial_state(weekly.where(F.col("week_start") < first))
+    weekly = weekly if is_kept(weekly) else _put(weekly)
+    state = initial_state(weekly.where(F.col("week_start") < first), stored=True)
     weeks = [r[0] for r in weekly.where(F.col("week_start") >= first).select("week_start").distinct().orderBy("week_start").collect()]
     out = []
     for k, week in enumerate(weeks):
         new = weekly.where(F.col("week_start") == F.lit(week))
-        out.append(materialise(next_week(state, new)))
+        out.append(_put(next_week(state, new)))
         if k + 1 < len(weeks):
             later = advanced(state, new)
             discard(*state.frames())
