@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -452,3 +453,80 @@ def test_weeks_conserve_days(spark):
     keys = weeks.select(*shared.DENSE, "week_start")
     assert keys.count() == keys.distinct().count()
     assert sales.calendar_weeks(src.calendar()).where("n_days > 7").count() == 0
+
+
+def test_rows_per_place_are_counted_once_and_rows_step_down_alike(monkeypatch):
+    """All trees of a model have the same rows at the root, so only gradients are summed there; a row's way down is that of its bins."""
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=(300, 3)), rng.integers(0, 4, 300)])
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y, category = np.nan_to_num(x[:, 0]) + (x[:, 3] == 2) * 3, np.array([False] * 3 + [True])
+    summed, whole = [], boosting.Layout.sums
+
+    def counted(self, columns, at, *rest):
+        summed.append(len(at))
+        return whole(self, columns, at, *rest)
+    monkeypatch.setattr(boosting.Layout, "sums", counted)
+    model = boosting.fit_arrays(x, y, boosting.Trees(6, 3, 0.3, columns=1.0), None, category)
+    assert summed.count(300) == 1
+    binned = boosting.to_bins(x, model.edges, category)
+    for tree in model.trees:
+        at = np.zeros(300, np.int64)
+        for _ in range(3):
+            want = []
+            for row, node in zip(binned, at):
+                f = tree.feature[node]
+                b = row[f]
+                left = tree.missing_left[node] if b == 0 else b == tree.cut[node] if category[f] else b <= tree.cut[node]
+                want.append(node if f < 0 else 2 * node + (1 if left else 2))
+            for form in (binned, np.asfortranarray(binned), np.repeat(binned, 2, axis=1)[:, ::2]):
+                assert (tree.step_down(form, at, category) == want).all()
+            at = np.array(want)
+
+
+def test_parts_are_put_together_by_column():
+    parts = [pd.DataFrame({"a": [1, 2], "b": [0.5, np.nan]}), pd.DataFrame([{"a": 3, "top": [{"feature": "x"}]}])]
+    table = forecast._shaped(parts, ["b", "a", "top"])
+    assert table.values.tolist() == [[0.5, 1, None], [None, 2, None], [None, 3, [{"feature": "x"}]]]
+    assert list(forecast._shaped([], ["a", "b"]).columns) == ["a", "b"] and len(forecast._shaped([], ["a"])) == 0
+
+
+def test_cuts_are_compared_in_blocks_with_the_same_tree(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=(400, 2)), rng.integers(0, 50, 400)])
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y, category = np.nan_to_num(x[:, 0]) + (x[:, 2] > 20), np.array([False, False, True])
+    fitted = {}
+    for places in (1, boosting.PLACES):
+        monkeypatch.setattr(boosting, "PLACES", places)
+        fitted[places] = boosting.fit_arrays(x, y, boosting.Trees(5, 4, 0.3, columns=1.0), None, category).trees
+    for a, b in zip(*fitted.values()):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and (a.value == b.value).all() and (a.missing_left == b.missing_left).all()
+
+
+def test_the_driver_gets_one_set_of_sums(spark, monkeypatch):
+    from tillcast.functions.sums import added_up
+    df, got = spark.range(0, 1000, 1, 16), []
+    kind, collect = type(df), type(df).collect
+    monkeypatch.setattr(kind, "collect", lambda self: got.append(collect(self)) or got[-1])
+    total = added_up(df, lambda batch: [batch.column(0).to_numpy().astype(float).sum(keepdims=True), np.ones(2) * batch.num_rows], np.float64)
+    assert [t.tolist() for t in total] == [[499500.0], [1000.0, 1000.0]] and [len(g) for g in got] == [1]
+    assert added_up(df.where("id < 0"), lambda batch: [np.ones(1)], np.float64) == []
+
+
+def test_a_kept_step_leaves_no_shuffle_files(spark, tmp_path):
+    import time
+
+    from tillcast.sources.retail import RetailInputs
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    src, before = RetailInputs(spark, str(tmp_path)), files()
+    kept = src.keep("x", lambda: spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and kept.count() == 10 and src.keep("x", None) is kept
+    src.forget("x", "y")
+    assert src.keep("x", lambda: spark.range(3)).count() == 3
